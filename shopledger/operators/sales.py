@@ -25,20 +25,27 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -
     """Lines of known orders and known products, with amount, year and month.
 
     Lines meet the products first, while they are still narrow, and the orders
-    second. No join is hinted: Catalyst broadcasts a side only when its size is
-    known to be small, and AQE splits a hot product or order otherwise.
+    second. Computed columns are made before the joins: what a report does not
+    read is pruned early, and a filter or semi-join on the fact can move down to
+    the table it concerns. No join is hinted: Catalyst broadcasts a side only
+    when its size is known to be small, and AQE splits a hot product or order.
     """
-    lines = order_items.select("order_id", "product_id", "quantity", "unit_price").join(
-        products.select("product_id"), "product_id"
-    )
-    headers = orders.select("order_id", "customer_id", dated(orders, "order_date").alias("order_date"))
-    return (
-        lines.join(headers, "order_id")
-        .withColumn("sales_amount", F.col("quantity") * F.col("unit_price"))
-        .withColumn("order_year", F.year("order_date"))
-        .withColumn("order_month", F.month("order_date"))
-        .select(*SALES_COLUMNS)
+    lines = order_items.select(
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),
+    ).join(products.select("product_id"), "product_id")
+    day = dated(orders, "order_date")
+    headers = orders.select(
+        "order_id",
+        "customer_id",
+        day.alias("order_date"),
+        F.year(day).alias("order_year"),
+        F.month(day).alias("order_month"),
     )
+    return lines.join(headers, "order_id").select(*SALES_COLUMNS)
 
 
 def sales_with_history(sales: DataFrame, history: DataFrame) -> DataFrame:

@@ -41,8 +41,10 @@ def top_customers(sales: DataFrame, *, n: int = 5) -> DataFrame:
 
 
 def _sales_of_top(sales: DataFrame, n: int, top: DataFrame | None) -> DataFrame:
+    # As a semi-join the restriction moves below the fact's own joins, to the orders.
     top = top_customers(sales, n=n) if top is None else top.limit(n)
-    return sales.join(F.broadcast(top) if n <= BROADCAST_TOP_N else top, "customer_id")
+    small = F.broadcast(top) if n <= BROADCAST_TOP_N else top
+    return sales.join(small, "customer_id", "left_semi")
 
 
 def top_customer_monthly_products(

@@ -28,12 +28,10 @@ def _id_suffix(name: str) -> Column:
     return F.split_part(F.col(name), F.lit("#"), F.lit(2))
 
 
-def _choose(number: Column, *labels: str) -> Column:
-    """The label at ``number`` modulo the count of labels."""
-    chosen = F.when(number % len(labels) == 0, labels[0])
-    for position, label in enumerate(labels[1:], start=1):
-        chosen = chosen.when(number % len(labels) == position, label)
-    return chosen
+def _choose(number: Column, *values: str | int) -> Column:
+    """The value at ``number`` modulo the count of values."""
+    position = (number % len(values) + 1).cast("int")
+    return F.element_at(F.array(*[F.lit(value) for value in values]), position)
 
 
 @dataclass(frozen=True)
@@ -157,12 +155,12 @@ class Retail:
             return F.struct(
                 (event * 10 + step).alias("InteractionID"),
                 F.col("ts").alias("Timestamp"),
-                _choose(k + step, "Email", "Web", "App", "SMS").alias("Channel"),
+                _choose(F.floor(event / 3) + step, "Email", "Web", "App", "SMS").alias("Channel"),
                 _choose(event + step, "Opened", "Clicked", "Ignored").alias("Action"),
             )
 
         steps = F.array(*[interaction(step) for step in range(3)])
-        taken = F.when(k % 10 == 9, 0).otherwise(k % 3 + 1)
+        taken = _choose(k, 1, 2, 3, 1, 2, 3, 1, 2, 3, 0)
         return self.raw("events").select(
             F.col("user_id").alias("CustomerID"),
             (event % 5).alias("CampaignID"),

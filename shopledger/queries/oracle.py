@@ -78,12 +78,12 @@ SHAPED = {
         SELECT user_id AS "CustomerID", event_id % 5 AS "CampaignID",
                (event_type = 'view')::int AS "Opens", (event_type = 'click')::int AS "Clicks",
                event_id * 10 + step AS "InteractionID", ts AS "Timestamp",
-               CASE (k + step) % 4 WHEN 0 THEN 'Email' WHEN 1 THEN 'Web'
+               CASE (event_id // 3 + step) % 4 WHEN 0 THEN 'Email' WHEN 1 THEN 'Web'
                     WHEN 2 THEN 'App' ELSE 'SMS' END AS "Channel",
                CASE (event_id + step) % 3 WHEN 0 THEN 'Opened' WHEN 1 THEN 'Clicked'
                     ELSE 'Ignored' END AS "Action"
         FROM keyed_events, (VALUES (0), (1), (2)) AS steps(step)
-        WHERE event_type <> 'signup' AND k % 10 <> 9 AND step <= k % 3""",
+        WHERE event_type <> 'signup' AND k % 10 <> 9 AND step <= k % 10 % 3""",
     "tickets": """
         SELECT user_id AS "CustomerID", event_id AS "TicketID", ts AS "Timestamp",
                CASE k % 3 WHEN 0 THEN 'Open' WHEN 1 THEN 'Resolved' ELSE 'Pending' END AS "Status"

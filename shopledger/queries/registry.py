@@ -15,7 +15,13 @@ from shopledger import operators as ops
 from shopledger import plans
 from shopledger.queries.adapters import HISTORY_END, ORDER_SHIFT_DAYS, Retail
 from shopledger.session import tune
-from shopledger.sources import read_audit_log, read_path, staging_folder, write_dataset
+from shopledger.sources import (
+    read_audit_log,
+    read_path,
+    stage,
+    staging_folder,
+    write_dataset,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,13 +229,16 @@ def publish_passthrough(t: Retail) -> DataFrame:
 
 @_query
 def sales_reports(t: Retail) -> DataFrame:
-    """Row counts of the seven reports the sales job writes."""
+    """Row counts of the seven reports the sales job writes.
+
+    History is stored first, as it is wherever the job runs.
+    """
     folder = staging_folder(t.spark)
     tables = {
         "orders": t.orders_since(HISTORY_END),
         "order_items": t.order_items(),
         "products": t.products(),
-        "historical_customer_sales": t.history(),
+        "historical_customer_sales": stage(t.history(), folder, "history"),
     }
     counts = plans.sales_trends_job(
         t.spark, tables.__getitem__, f"{folder}/gold", f"{folder}/audit_log"

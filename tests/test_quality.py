@@ -1,0 +1,33 @@
+import pytest
+from conftest import bag
+
+from shopledger.operators import DataQualityError, data_quality_report, validate_data_quality
+
+
+def test_count_of_a_sound_table(spark):
+    assert validate_data_quality(spark.range(5), "numbers", "id") == 5
+
+
+def test_null_keys_matter_only_if_a_key_is_named(spark):
+    df = spark.createDataFrame([(1,), (None,), (None,)], "id int")
+    with pytest.raises(DataQualityError, match="numbers has 2 NULLs in id"):
+        validate_data_quality(df, "numbers", "id")
+    assert validate_data_quality(df, "numbers") == 3
+
+
+def test_empty_table(spark):
+    with pytest.raises(DataQualityError, match="numbers has no rows"):
+        validate_data_quality(spark.range(0), "numbers", "id")
+
+
+def test_report(spark):
+    holed = spark.createDataFrame([(1,), (None,)], "id int")
+    report = data_quality_report(
+        {"a": (spark.range(3), "id"), "b": (holed, "id"), "c": (holed, None), "d": (spark.range(0), "id")}
+    )
+    assert bag(report) == [
+        ("a", "id", 3, 0, True),
+        ("b", "id", 2, 1, False),
+        ("c", None, 2, 0, True),
+        ("d", "id", 0, 0, False),
+    ]

@@ -1,0 +1,96 @@
+from conftest import bag, day, plan
+from pyspark.sql import functions as F
+
+from shopledger import operators as ops
+
+ORDERS = "order_id string, customer_id string, order_date date, total_amount decimal(10,2)"
+CUSTOMERS = (
+    "customer_id string, first_name string, last_name string, email string, country string"
+)
+
+
+def tables(spark, orders, customers):
+    return (
+        spark.createDataFrame(orders, "order_id string, customer_id string, order_date string, "
+                              "total_amount double").select(
+            "order_id", "customer_id", F.col("order_date").cast("date"),
+            F.col("total_amount").cast("decimal(10,2)"),
+        ),
+        spark.createDataFrame(customers, CUSTOMERS),
+    )
+
+
+def test_report_shape_and_window(spark):
+    orders, customers = tables(
+        spark,
+        [
+            ("1", "a", "2024-06-01", 100.0),
+            ("2", "a", "2024-06-03", 50.0),
+            ("3", "b", "2023-06-03", 70.0),
+            ("4", "b", "2023-06-02", 999.0),
+            ("5", "c", "2024-06-01", 500.0),
+            ("6", "nobody", "2024-06-01", 500.0),
+        ],
+        [
+            ("a", "Ann", "Lee", "a@x.de", "United States"),
+            ("b", "Bo", None, "b@x.de", "United States"),
+            ("c", "Cy", "Roe", "c@x.de", "France"),
+            ("idle", "Di", "Fox", "d@x.de", "United Kingdom"),
+        ],
+    )
+    found = ops.top_customers_by_country(orders, customers, as_of="2024-06-02")
+    assert [tuple(map(str, r)) for r in bag(found)] == [
+        ("United States", "a", "Ann Lee", "a@x.de", "150.00", "2", "2024-06-03", "1"),
+        ("United States", "b", "None", "b@x.de", "70.00", "1", "2023-06-03", "2"),
+    ]
+    everywhere = ops.top_customers_by_country(
+        orders, customers, as_of="2024-06-02", country_pattern=None, top_n=1
+    )
+    assert {r.customer_id for r in everywhere.collect()} == {"a", "c"}
+
+
+def test_ties_share_a_rank_and_all_stay(spark):
+    orders, customers = tables(
+        spark,
+        [(str(i), f"c{i}", "2024-06-01", 10.0 if i < 30 else 20.0) for i in range(31)],
+        [(f"c{i}", "F", "L", "e", "United Oz") for i in range(31)],
+    )
+    found = ops.top_customers_by_country(orders, customers, as_of="2024-06-02", top_n=2)
+    ranks = sorted(r.spending_rank for r in found.collect())
+    assert ranks == [1] + [2] * 30
+
+
+def test_all_columns(spark):
+    orders, customers = tables(
+        spark,
+        [("1", "a", "2024-06-01", 100.0)],
+        [("a", "Ann", "Lee", "a@x.de", "United States")],
+    )
+    found = ops.top_customers_by_country(
+        orders, customers, as_of="2024-06-02", all_columns=True
+    )
+    assert found.columns == [
+        "customer_id", "total_spent", "total_orders", "last_purchase_date", "first_name",
+        "last_name", "email", "country", "spending_rank",
+    ]
+    assert found.count() == 1
+
+
+def test_rank_limit_runs_before_the_shuffle_and_filters_reach_the_scans(spark, tmp_path):
+    orders, customers = tables(
+        spark,
+        [("1", "a", "2024-06-01", 100.0)],
+        [("a", "Ann", "Lee", "a@x.de", "United States")],
+    )
+    orders.write.parquet(f"{tmp_path}/orders")
+    customers.write.parquet(f"{tmp_path}/customers")
+    text = plan(
+        ops.top_customers_by_country(
+            spark.read.parquet(f"{tmp_path}/orders"),
+            spark.read.parquet(f"{tmp_path}/customers"),
+            as_of=day("2024-06-02"),
+        )
+    )
+    assert text.count("WindowGroupLimit") == 2
+    assert "GreaterThanOrEqual(order_date,2023-06-03)" in text
+    assert "StringStartsWith(country,United )" in text

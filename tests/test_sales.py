@@ -1,0 +1,66 @@
+from datetime import datetime
+from decimal import Decimal as D
+
+from conftest import bag, day
+
+from shopledger import operators as ops
+from shopledger.operators.sales import SALES_COLUMNS
+
+ORDERS = "order_id bigint, customer_id bigint, order_date date, status string"
+ITEMS = "order_id bigint, product_id bigint, quantity int, unit_price decimal(10,2)"
+PRODUCTS = "product_id bigint, name string, category string"
+
+
+def fact(spark):
+    orders = spark.createDataFrame(
+        [(1, 7, day("2024-02-03"), "F"), (2, 8, day("2023-12-31"), "F"), (3, 8, None, "F")], ORDERS
+    )
+    items = spark.createDataFrame(
+        [
+            (1, 100, 2, D("1.50")),
+            (1, 100, 2, D("1.50")),
+            (2, 200, 1, D("9.99")),
+            (2, 999, 1, D("9.99")),
+            (3, 200, 1, D("9.99")),
+            (4, 200, 1, D("9.99")),
+        ],
+        ITEMS,
+    )
+    products = spark.createDataFrame([(100, "cup", "kitchen"), (200, "pen", "desk")], PRODUCTS)
+    return ops.sales_fact(orders, items, products)
+
+
+def test_lines_with_known_orders_and_products(spark):
+    sales = fact(spark)
+    assert sales.columns == SALES_COLUMNS
+    assert dict(sales.dtypes)["sales_amount"] == "decimal(21,2)"
+    cup = (1, 7, day("2024-02-03"), 100, 2, D("1.50"), D("3.00"), 2024, 2)
+    pen = (2, 8, day("2023-12-31"), 200, 1, D("9.99"), D("9.99"), 2023, 12)
+    undated = (3, 8, None, 200, 1, D("9.99"), D("9.99"), None, None)
+    assert bag(sales) == sorted([cup, cup, pen, undated], key=repr)
+
+
+def test_history_is_appended_in_the_facts_types(spark):
+    history = spark.createDataFrame(
+        [
+            ("1", "7", datetime(2020, 5, 6, 7), "100", "2", "1.5", "3", "2020", "5"),
+            ("x", "7", datetime(2020, 5, 6), "100", "many", "1.5", "3", "2020", "5"),
+        ],
+        "order_id string, customer_id string, order_date timestamp, product_id string, "
+        "quantity string, unit_price string, sales_amount string, order_year string, "
+        "order_month string",
+    )
+    sales = fact(spark)
+    both = ops.sales_with_history(sales, history)
+    assert both.schema.simpleString() == sales.schema.simpleString()
+    assert both.count() == 6
+    assert bag(both.filter("order_year = 2020")) == [
+        (1, 7, day("2020-05-06"), 100, 2, D("1.50"), D("3.00"), 2020, 5),
+        (None, 7, day("2020-05-06"), 100, None, D("1.50"), D("3.00"), 2020, 5),
+    ]
+
+
+def test_history_columns_go_by_name(spark):
+    sales = fact(spark)
+    history = sales.select(*reversed(SALES_COLUMNS))
+    assert bag(ops.sales_with_history(sales, history)) == sorted(bag(sales) * 2, key=repr)
