@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.dates import AsOf, in_trailing_days
 
+# What the sources call channels, actions and ticket states.
+EMAIL = "Email"
+AD_CHANNELS = ["Web", "App"]
+OPENED, CLICKED = "Opened", "Clicked"
+OPEN_TICKET, RESOLVED_TICKET = "Open", "Resolved"
+
 # The output columns in report order.
 ENGAGEMENT_COUNTS = ["emails_opened", "emails_clicked", "ad_clicks", "ad_views"]
 PURCHASE_TOTALS = ["purchases", "total_spent"]
@@ -40,8 +48,8 @@ def flatten_support_tickets(tickets: DataFrame) -> DataFrame:
     return tickets.select("*", "Issue.Status")
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+def _count_where(condition: Column, name: str) -> Column:
+    return F.count_if(condition).alias(name)
 
 
 def omni_channel_engagement(
@@ -60,49 +68,59 @@ def omni_channel_engagement(
     nothing on a customer gives zeros, or NULLs with ``zero_fill=False``. Rows
     without a customer id match nothing, so they stay one row per source.
 
-    The sources are stacked and aggregated once: map-side partial sums and a
-    single shuffle on the customer, in place of an aggregate per source and a
-    chain of full outer joins. SUM skips NULLs, so a measure stays NULL exactly
-    when its source has no row for the customer.
+    Each source is reduced to one narrow row per customer (one shuffle each,
+    after map-side partial counts). The three results are stacked and merged by
+    a second aggregate: they are hashed on the customer alike, so it needs no
+    further shuffle or sort, which a chain of full outer joins would.
     """
     key_type = orders.select("customer_id").schema[0].dataType
 
-    recent = interactions.filter(in_trailing_days(interactions, "Timestamp", as_of, days))
-    opened, clicked = F.col("Action") == "Opened", F.col("Action") == "Clicked"
-    by_email, by_ad = F.col("Channel") == "Email", F.col("Channel").isin("Web", "App")
-    engagement_rows = recent.select(
-        F.lit("engagement").alias("source"),
-        F.col("CustomerID").try_cast(key_type).alias("customer_id"),
-        _flag(opened & by_email).alias("emails_opened"),
-        _flag(clicked & by_email).alias("emails_clicked"),
-        _flag(clicked & by_ad).alias("ad_clicks"),
-        _flag(opened & by_ad).alias("ad_views"),
+    def per_customer(df: DataFrame, key: str, day: str, measures: list[Column]) -> DataFrame:
+        return (
+            df.filter(in_trailing_days(df, day, as_of, days))
+            .groupBy(F.col(key).try_cast(key_type).alias("customer_id"))
+            .agg(*measures)
+        )
+
+    opened, clicked = F.col("Action") == OPENED, F.col("Action") == CLICKED
+    by_email, by_ad = F.col("Channel") == EMAIL, F.col("Channel").isin(AD_CHANNELS)
+    engagement = per_customer(
+        interactions,
+        "CustomerID",
+        "Timestamp",
+        [
+            _count_where(opened & by_email, "emails_opened"),
+            _count_where(clicked & by_email, "emails_clicked"),
+            _count_where(clicked & by_ad, "ad_clicks"),
+            _count_where(opened & by_ad, "ad_views"),
+        ],
     )
-
-    bought = orders.filter(in_trailing_days(orders, "order_date", as_of, days))
-    purchase_rows = bought.select(
-        F.lit("purchases").alias("source"),
+    purchases = per_customer(
+        orders,
         "customer_id",
-        _flag(F.col("order_id").isNotNull()).alias("purchases"),
-        F.col("total_amount").alias("total_spent"),
+        "order_date",
+        [F.count("order_id").alias("purchases"), F.sum("total_amount").alias("total_spent")],
     )
-
-    filed = tickets.filter(in_trailing_days(tickets, "Timestamp", as_of, days))
-    ticket_rows = filed.select(
-        F.lit("tickets").alias("source"),
-        F.col("CustomerID").try_cast(key_type).alias("customer_id"),
-        _flag(F.col("TicketID").isNotNull()).alias("total_ticket"),
-        _flag(F.col("Status") == "Open").alias("open_ticket"),
-        _flag(F.col("Status") == "Resolved").alias("resolved_ticket"),
+    support = per_customer(
+        tickets,
+        "CustomerID",
+        "Timestamp",
+        [
+            F.count("TicketID").alias("total_ticket"),
+            _count_where(F.col("Status") == OPEN_TICKET, "open_ticket"),
+            _count_where(F.col("Status") == RESOLVED_TICKET, "resolved_ticket"),
+        ],
     )
 
-    stacked = engagement_rows.unionByName(purchase_rows, allowMissingColumns=True).unionByName(
-        ticket_rows, allowMissingColumns=True
-    )
+    sources = [
+        df.withColumn("source", F.lit(position))
+        for position, df in enumerate([engagement, purchases, support])
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
     unknown_from = F.when(F.col("customer_id").isNull(), F.col("source")).alias("unknown_from")
     profile = (
         stacked.groupBy("customer_id", unknown_from)
-        .agg(*[F.sum(name).alias(name) for name in PROFILE_MEASURES])
+        .agg(*[F.max(name).alias(name) for name in PROFILE_MEASURES])
         .drop("unknown_from")
     )
     if zero_fill:

@@ -26,22 +26,18 @@ def high_risk_customers(
     DISTINCT. The distinct IP count is spread over (customer, ip) before it is
     gathered per customer.
     """
-    suspicious = (
+    ips, attempts = F.count_distinct("ip_address"), F.count(F.lit(1))
+    restless = (
         logins.filter(in_trailing_days(logins, "login_date", as_of, days))
         .groupBy("customer_id")
-        .agg(
-            F.count_distinct("ip_address").alias("unique_ips"),
-            F.count(F.lit(1)).alias("total_attempts"),
-        )
-        .filter((F.col("unique_ips") > max_ips) | (F.col("total_attempts") > max_logins))
+        .agg(((ips > max_ips) | (attempts > max_logins)).alias("flagged"))
+        .filter("flagged")
     )
-    big_spenders = (
+    spent, bought = F.sum("total_amount"), F.count("order_id")
+    lavish = (
         orders.filter(in_trailing_days(orders, "order_date", as_of, days))
         .groupBy("customer_id")
-        .agg(
-            F.count("order_id").alias("order_count"),
-            F.sum("total_amount").alias("total_spent"),
-        )
-        .filter((F.col("total_spent") > max_spent) | (F.col("order_count") > max_orders))
+        .agg(((spent > max_spent) | (bought > max_orders)).alias("flagged"))
+        .filter("flagged")
     )
-    return suspicious.select("customer_id").join(big_spenders, "customer_id", "left_semi")
+    return restless.select("customer_id").join(lavish, "customer_id", "left_semi")

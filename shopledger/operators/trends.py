@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.measures import growth_pct, percent
 
+# The customer segments, best first.
+HIGH_VALUE = "High-Value Customer"
+REGULAR = "Regular Customer"
+OCCASIONAL = "Occasional Buyer"
+
 # A top-n list is broadcast only up to this many ids; LIMIT n proves its size.
 BROADCAST_TOP_N = 10_000
 
@@ -235,8 +240,8 @@ def customer_segments(
         )
         .withColumn(
             "customer_segment",
-            F.when(reaches(high_value), "High-Value Customer")
-            .when(reaches(regular), "Regular Customer")
-            .otherwise("Occasional Buyer"),
+            F.when(reaches(high_value), HIGH_VALUE)
+            .when(reaches(regular), REGULAR)
+            .otherwise(OCCASIONAL),
         )
     )

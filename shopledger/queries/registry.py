@@ -16,8 +16,10 @@ from shopledger import plans
 from shopledger.queries.adapters import HISTORY_END, ORDER_SHIFT_DAYS, Retail
 from shopledger.session import tune
 from shopledger.sources import (
+    drop_staged,
     read_audit_log,
     read_path,
+    rows,
     stage,
     staging_folder,
     write_dataset,
@@ -179,8 +181,9 @@ def data_quality_report(t: Retail) -> DataFrame:
     return ops.data_quality_report(tables)
 
 
-def _counts(counts: dict[str, int], t: Retail) -> DataFrame:
-    return t.spark.createDataFrame(sorted(counts.items()), "output string, row_count bigint")
+def _kept(df: DataFrame) -> DataFrame:
+    """A report of a few rows, held on the driver so that its files can be dropped."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 @_query
@@ -210,21 +213,23 @@ def _source(t: Retail) -> Callable[[str], DataFrame]:
 @_query
 def publish_passthrough(t: Retail) -> DataFrame:
     """Row counts of the nine tables the preprocessing job publishes, read from the catalog."""
-    folder = staging_folder(t.spark)
-    database = "shopledger_silver"
-    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}/warehouse'")
-    counts = plans.preprocessing_job(
-        t.spark,
-        _source(t),
-        f"{folder}/silver",
-        database,
-        f"{folder}/audit_log",
-        as_of="2000-12-31",
-    )
-    published = {name: (t.spark.read.table(f"{database}.{name}"), None) for name in counts}
-    return ops.data_quality_report(published).select(
-        F.col("table_name").alias("output"), "row_count"
-    )
+    folder, database = staging_folder(t.spark), "shopledger_silver"
+    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    try:
+        counts = plans.preprocessing_job(
+            t.spark,
+            _source(t),
+            f"{folder}/silver",
+            database,
+            f"{folder}/audit_log",
+            as_of="2000-12-31",
+        )
+        published = {name: (t.spark.read.table(f"{database}.{name}"), None) for name in counts}
+        report = ops.data_quality_report(published)
+        return _kept(report.select(F.col("table_name").alias("output"), "row_count"))
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+        drop_staged(t.spark, folder)
 
 
 @_query
@@ -234,16 +239,19 @@ def sales_reports(t: Retail) -> DataFrame:
     History is stored first, as it is wherever the job runs.
     """
     folder = staging_folder(t.spark)
-    tables = {
-        "orders": t.orders_since(HISTORY_END),
-        "order_items": t.order_items(),
-        "products": t.products(),
-        "historical_customer_sales": stage(t.history(), folder, "history"),
-    }
-    counts = plans.sales_trends_job(
-        t.spark, tables.__getitem__, f"{folder}/gold", f"{folder}/audit_log"
-    )
-    return _counts(counts, t)
+    try:
+        tables = {
+            "orders": t.orders_since(HISTORY_END),
+            "order_items": t.order_items(),
+            "products": t.products(),
+            "historical_customer_sales": stage(t.history(), folder, "history"),
+        }
+        counts = plans.sales_trends_job(
+            t.spark, tables.__getitem__, f"{folder}/gold", f"{folder}/audit_log"
+        )
+    finally:
+        drop_staged(t.spark, folder)
+    return rows(t.spark, counts.items(), "output string, row_count bigint")
 
 
 @_query
@@ -259,10 +267,13 @@ def audit_log(t: Retail) -> DataFrame:
         "customersupport": t.support(),
     }
     source = tables.__getitem__
-    plans.churn_job(t.spark, source, gold, log, as_of="2024-01-31")
-    plans.fraud_job(t.spark, source, gold, log, as_of="2024-01-31")
-    plans.purchase_behavior_job(
-        t.spark, source, gold, log, as_of="2024-01-31", country_pattern="NATION_1%"
-    )
-    plans.engagement_job(t.spark, source, gold, log, as_of="2024-04-09")
-    return read_audit_log(t.spark, log).select("job_name", "status", "record_count")
+    try:
+        plans.churn_job(t.spark, source, gold, log, as_of="2024-01-31")
+        plans.fraud_job(t.spark, source, gold, log, as_of="2024-01-31")
+        plans.purchase_behavior_job(
+            t.spark, source, gold, log, as_of="2024-01-31", country_pattern="NATION_1%"
+        )
+        plans.engagement_job(t.spark, source, gold, log, as_of="2024-04-09")
+        return _kept(read_audit_log(t.spark, log).select("job_name", "status", "record_count"))
+    finally:
+        drop_staged(t.spark, folder)

@@ -2,6 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 from conftest import bag, day, plan, tuples
+from pyspark.sql import functions as F
 
 from shopledger import operators as ops
 from shopledger.sources import SCHEMAS
@@ -112,13 +113,47 @@ def test_absent_sources_stay_null_on_request(spark):
     assert by_id[5] == (None, None, None, None, None, None, 1, 0, 0)
 
 
-def test_one_shuffle_for_all_sources(spark):
+def test_one_shuffle_per_source_and_no_join(spark):
     found = ops.omni_channel_engagement(
         *profile_inputs(spark), as_of="2024-05-31", ordered=False
     )
     text = plan(found)
-    assert text.count("Exchange") == 1
+    assert text.count("Exchange") == 3
     assert "Join" not in text
+    assert "Sort" not in text
+
+
+def test_sources_of_unlike_size_meet_in_one_row(spark, conf):
+    conf(
+        shuffle__partitions="16",
+        adaptive__advisoryPartitionSizeInBytes="4KB",
+        adaptive__coalescePartitions__minPartitionSize="4KB",
+    )
+
+    def customers(count):
+        return spark.range(count * 3).select((F.col("id") % count).alias("customer_id"))
+
+    orders = customers(20_000).select(
+        "customer_id",
+        F.monotonically_increasing_id().alias("order_id"),
+        F.lit(day("2024-05-01")).alias("order_date"),
+        F.lit(1.0).alias("total_amount"),
+    )
+    interactions = customers(3_000).select(
+        F.col("customer_id").alias("CustomerID"),
+        F.lit(NOON).alias("Timestamp"),
+        F.lit("Email").alias("Channel"),
+        F.lit("Opened").alias("Action"),
+    )
+    tickets = customers(40).select(
+        F.col("customer_id").alias("CustomerID"),
+        F.lit(1).alias("TicketID"),
+        F.lit(NOON).alias("Timestamp"),
+        F.lit("Open").alias("Status"),
+    )
+    found = ops.omni_channel_engagement(orders, interactions, tickets, as_of="2024-05-31")
+    shapes = found.groupBy("emails_opened", "purchases", "open_ticket").count()
+    assert bag(shapes) == [(0, 3, 0, 17_000), (3, 3, 0, 2_960), (3, 3, 3, 40)]
 
 
 def test_ids_of_other_types_are_matched(spark):

@@ -1,0 +1,15 @@
+from shopledger.session import GB, MAX_REDUCERS, sized_for
+
+REDUCERS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def test_reducers_grow_with_the_input():
+    assert sized_for(0)[REDUCERS] == "200"
+    assert sized_for(10_000 * GB)[REDUCERS] == "10000"
+    assert sized_for(10**17)[REDUCERS] == str(MAX_REDUCERS)
+
+
+def test_sizes_are_valid_settings(spark, conf):
+    for name, value in sized_for(5000 * GB).items():
+        conf(**{name.removeprefix("spark.sql.").replace(".", "__"): value})
+    assert spark.range(10).groupBy("id").count().count() == 10
