@@ -1,7 +1,7 @@
 from decimal import Decimal as D
 
 import pytest
-from conftest import bag, day, tuples
+from conftest import bag, day, plan, tuples
 
 from shopledger import operators as ops
 
@@ -118,6 +118,23 @@ def test_purchase_trend(spark):
     assert bag(ops.customer_purchase_trend(df, ordered=False)) == bag(found)
 
 
+def test_trend_is_sorted_across_partitions_without_a_second_range_shuffle(spark):
+    many = spark.range(5000).selectExpr(
+        "id AS order_id", "id % 700 AS customer_id", "1 AS product_id", "1 AS quantity",
+        "date_add(date'2020-01-01', cast(id % 400 AS int)) AS order_date",
+        "1.0 AS unit_price", "cast(id % 97 AS decimal(21,2)) AS sales_amount",
+        "cast(2020 AS int) AS order_year", "cast(id % 12 + 1 AS int) AS order_month",
+    )
+    found = ops.customer_purchase_trend(many)
+    assert plan(found).count("Exchange rangepartitioning") == 1
+    nulls_first = [
+        (r.customer_id, float("-inf") if r.spending_growth_pct is None else r.spending_growth_pct)
+        for r in found.collect()
+    ]
+    assert nulls_first == sorted(nulls_first)
+    assert bag(found) == bag(ops.customer_purchase_trend(many, ordered=False))
+
+
 def test_retention(spark):
     df = sales(
         spark,
