@@ -29,7 +29,9 @@ def peak_sales_months(sales: DataFrame) -> DataFrame:
     return (
         sales.groupBy(F.trunc("order_date", "MM").alias("month_start"))
         .agg(F.sum("sales_amount").alias("monthly_product_sales"))
-        .select(F.date_format("month_start", "yyyy-MM").alias("year_month"), "monthly_product_sales")
+        .select(
+            F.date_format("month_start", "yyyy-MM").alias("year_month"), "monthly_product_sales"
+        )
         .orderBy(F.desc("monthly_product_sales"), "year_month")
     )
 

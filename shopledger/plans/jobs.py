@@ -195,7 +195,12 @@ def sales_outputs(
 
 
 def sales_trends_job(
-    spark: SparkSession, source: Source, output: str, audit_path: str, *, job_name: str = "pricing_trends"
+    spark: SparkSession,
+    source: Source,
+    output: str,
+    audit_path: str,
+    *,
+    job_name: str = "pricing_trends",
 ) -> Counts:
     """The seven sales reports.
 

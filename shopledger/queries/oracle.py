@@ -89,8 +89,8 @@ SHAPED = {
                CASE k % 3 WHEN 0 THEN 'Open' WHEN 1 THEN 'Resolved' ELSE 'Pending' END AS "Status"
         FROM keyed_events WHERE event_type = 'error'""",
     "spending": """
-        SELECT customer_id, sum(total_amount) AS total_spent, count(order_id) AS total_orders,
-               max(order_date) AS last_purchase_date
+        SELECT customer_id, sum(total_amount)::decimal(20,2) AS total_spent,
+               count(order_id) AS total_orders, max(order_date) AS last_purchase_date
         FROM shop_orders WHERE order_date >= DATE '2001-08-01' - 365
         GROUP BY customer_id""",
     "ranked": """
@@ -140,7 +140,7 @@ _PROFILE = """
                          AS ad_views
               FROM interactions WHERE "Timestamp" >= DATE '2024-04-09' - 90 GROUP BY 1) e
         FULL JOIN (SELECT customer_id, count(order_id) AS purchases,
-                          sum(total_amount) AS total_spent
+                          sum(total_amount)::decimal(20,2) AS total_spent
                    FROM shifted_orders WHERE order_date >= DATE '2024-04-09' - 90
                    GROUP BY 1) p USING (customer_id)
         FULL JOIN (SELECT "CustomerID" AS customer_id, count("TicketID") AS total_ticket,
@@ -277,7 +277,7 @@ ORACLE: dict[str, str] = {
     "peak_sales_months": _with(
         "shop_orders sales",
         """SELECT strftime(order_date, '%Y-%m') AS year_month,
-                  sum(sales_amount) AS monthly_product_sales
+                  sum(sales_amount)::decimal(31,2) AS monthly_product_sales
            FROM sales GROUP BY 1""",
     ),
     "top_customer_monthly_products": _with(
@@ -293,7 +293,7 @@ ORACLE: dict[str, str] = {
         f""", monthly AS (
                 SELECT customer_id, order_year, order_month,
                        count(DISTINCT order_id) AS orders_per_month,
-                       sum(sales_amount) AS monthly_spent,
+                       sum(sales_amount)::decimal(31,2) AS monthly_spent,
                        sum(sales_amount)::double / count(sales_amount)::double AS avg_order_value
                 FROM sales GROUP BY ALL),
             grown AS (
@@ -321,7 +321,7 @@ ORACLE: dict[str, str] = {
         f""", monthly AS (
                 SELECT order_year, order_month, product_id,
                        sum(quantity)::bigint AS total_quantity_sold,
-                       sum(sales_amount) AS total_sales_amount
+                       sum(sales_amount)::decimal(31,2) AS total_sales_amount
                 FROM sales GROUP BY ALL),
             grown AS (
                 SELECT *, lag(total_sales_amount) OVER (PARTITION BY product_id
@@ -348,7 +348,8 @@ ORACLE: dict[str, str] = {
     "customer_segments": _with(
         "shop_orders sales",
         """SELECT customer_id, count(order_id) AS purchase_count,
-                  sum(sales_amount) AS total_spent, max(order_date) AS last_order_date,
+                  sum(sales_amount)::decimal(31,2) AS total_spent,
+                  max(order_date) AS last_order_date,
                   CASE WHEN count(order_id) >= 10 AND sum(sales_amount) >= 1000
                        THEN 'High-Value Customer'
                        WHEN count(order_id) >= 5 AND sum(sales_amount) >= 500

@@ -43,6 +43,5 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     Meant for untyped sources such as CSV. A missing column raises when the
     plan is analysed; a value that does not fit its type becomes NULL.
     """
-    return df.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(SCHEMAS[table])]
-    )
+    schema = T.StructType.fromDDL(SCHEMAS[table])
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
