@@ -20,7 +20,12 @@ from shopledger.session import tune
 from shopledger.sources.audit import write_audit_log
 from shopledger.sources.reading import Source
 from shopledger.sources.staging import drop_staged, stage, staging_folder
-from shopledger.sources.writing import publish_table, write_dataset, write_datasets
+from shopledger.sources.writing import (
+    publish_table,
+    side_by_side,
+    write_dataset,
+    write_datasets,
+)
 
 # Tables that go from raw to cleaned unchanged.
 PASSTHROUGH_TABLES = [
@@ -85,9 +90,9 @@ def preprocessing_job(
         known = spark.read.table(f"{database}.customers")
         orders = ops.clean_orders(source("orders"), known, as_of=_fixed_date(spark, as_of))
         counts["orders"] = publish(orders, "orders", "orders_clean")
-        for table in PASSTHROUGH_TABLES:
-            counts[table] = publish(source(table), table, table)
-        return counts
+        return counts | side_by_side(
+            lambda table: publish(source(table), table, table), PASSTHROUGH_TABLES
+        )
 
     return _audited(spark, "pre_processing", audit_path, "customers", run)
 

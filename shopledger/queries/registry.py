@@ -7,6 +7,7 @@ over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -213,8 +214,8 @@ def _source(t: Retail) -> Callable[[str], DataFrame]:
 @_query
 def publish_passthrough(t: Retail) -> DataFrame:
     """Row counts of the nine tables the preprocessing job publishes, read from the catalog."""
-    folder, database = staging_folder(t.spark), "shopledger_silver"
-    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    folder, database = staging_folder(t.spark), f"silver_{uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database}")
     try:
         counts = plans.preprocessing_job(
             t.spark,

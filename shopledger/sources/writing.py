@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
@@ -53,10 +54,32 @@ def publish_table(
 
 
 def write_datasets(
-    outputs: Mapping[str, DataFrame], root: str, *, fmt: str = "parquet", mode: str = "overwrite"
+    outputs: Mapping[str, DataFrame],
+    root: str,
+    *,
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+    parallel: int = 4,
 ) -> dict[str, int]:
     """Writes every DataFrame to ``root/<name>``; returns the row counts by name."""
-    return {
-        name: write_dataset(df, f"{root}/{name}", fmt=fmt, mode=mode)
-        for name, df in outputs.items()
-    }
+    return side_by_side(
+        lambda name: write_dataset(outputs[name], f"{root}/{name}", fmt=fmt, mode=mode),
+        list(outputs),
+        parallel,
+    )
+
+
+def side_by_side(
+    write: Callable[[str], int], names: Sequence[str], parallel: int = 4
+) -> dict[str, int]:
+    """``write(name)`` for every name, a few at a time.
+
+    The last tasks of one output then leave no executors idle that another
+    output could use. The first error is raised once running writes have ended.
+    """
+    with ThreadPoolExecutor(parallel) as pool:
+        running = {name: pool.submit(write, name) for name in names}
+        try:
+            return {name: job.result() for name, job in running.items()}
+        finally:
+            pool.shutdown(cancel_futures=True)

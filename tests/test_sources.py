@@ -94,6 +94,13 @@ def test_many_outputs_under_one_root(spark, tmp_path):
     assert sources.read_parquet(spark, f"{tmp_path}/b").count() == 2
 
 
+def test_one_failing_output_fails_the_run(spark, tmp_path):
+    bad = spark.range(1).select(F.raise_error(F.lit("lost input")).alias("x"))
+    with pytest.raises(Exception, match="lost input"):
+        sources.write_datasets({"a": spark.range(3), "b": bad}, str(tmp_path))
+    assert sources.read_parquet(spark, f"{tmp_path}/a").count() == 3
+
+
 def test_rows_with_schema(spark):
     assert bag(sources.rows(spark, [(1, "a")], "id bigint, name string")) == [(1, "a")]
 
