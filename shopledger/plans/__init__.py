@@ -6,7 +6,7 @@ from shopledger.plans.jobs import (
     engagement_job,
     fraud_job,
     preprocessing_job,
-    purchase_behavior_job,
+    top_customers_job,
     sales_outputs,
     sales_trends_job,
 )
@@ -17,7 +17,7 @@ __all__ = [
     "engagement_job",
     "fraud_job",
     "preprocessing_job",
-    "purchase_behavior_job",
+    "top_customers_job",
     "sales_outputs",
     "sales_trends_job",
 ]

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shopledger import operators as ops
 from shopledger.functions.dates import AsOf, as_of_date
@@ -94,7 +93,7 @@ def preprocessing_job(
             lambda table: publish(source(table), table, table), PASSTHROUGH_TABLES
         )
 
-    return _audited(spark, "pre_processing", audit_path, "customers", run)
+    return _audited(spark, "preprocessing", audit_path, "customers", run)
 
 
 def _report_job(
@@ -116,7 +115,7 @@ def churn_job(
     """Churn risk per customer."""
     return _report_job(
         spark,
-        "churn_prediction",
+        "churn_risk",
         output,
         audit_path,
         lambda: ops.churn_risk(source("orders"), as_of=_fixed_date(spark, as_of)),
@@ -129,7 +128,7 @@ def fraud_job(
     """Ids of high-risk customers."""
     return _report_job(
         spark,
-        "fraud_detection",
+        "high_risk_customers",
         output,
         audit_path,
         lambda: ops.high_risk_customers(
@@ -138,7 +137,7 @@ def fraud_job(
     )
 
 
-def purchase_behavior_job(
+def top_customers_job(
     spark: SparkSession,
     source: Source,
     output: str,
@@ -150,7 +149,7 @@ def purchase_behavior_job(
     """Top customers by country."""
     return _report_job(
         spark,
-        "purchase_behavior",
+        "top_customers_by_country",
         output,
         audit_path,
         lambda: ops.top_customers_by_country(
@@ -181,19 +180,25 @@ def engagement_job(
 
 
 def sales_outputs(
-    sales: DataFrame, current: DataFrame, products: DataFrame, top: DataFrame | None = None
+    sales: DataFrame,
+    current: DataFrame,
+    products: DataFrame,
+    top: DataFrame | None = None,
+    *,
+    ordered: bool = True,
 ) -> dict[str, DataFrame]:
     """The seven sales reports by output name.
 
     ``sales`` holds current and historical sales, ``current`` only the current
     ones (segments look at those), ``top`` an already computed top-customer list.
+    ``ordered=False`` leaves the two large reports unsorted.
     """
     return {
         "peak_sales_months": ops.peak_sales_months(sales),
         "top_customers": ops.top_customer_monthly_products(sales, products, top=top),
-        "customer_purchase_trend": ops.customer_purchase_trend(sales),
+        "customer_purchase_trend": ops.customer_purchase_trend(sales, ordered=ordered),
         "retention_rate_pct": ops.retention_rate(sales),
-        "month_over_month_growth_pct": ops.product_mom_growth(sales, products),
+        "month_over_month_growth_pct": ops.product_mom_growth(sales, products, ordered=ordered),
         "yoy_comparison": ops.yoy_comparison(sales, products, top=top),
         "customer_segmented": ops.customer_segments(current),
     }
@@ -205,7 +210,8 @@ def sales_trends_job(
     output: str,
     audit_path: str,
     *,
-    job_name: str = "pricing_trends",
+    job_name: str = "sales_trends",
+    ordered: bool = True,
 ) -> Counts:
     """The seven sales reports.
 
@@ -221,7 +227,7 @@ def sales_trends_job(
             current = stage(fact, folder, "sales")
             sales = ops.sales_with_history(current, source("historical_customer_sales"))
             top = stage(ops.top_customers(sales), folder, "top_customers")
-            reports = sales_outputs(sales, current, source("products"), top)
+            reports = sales_outputs(sales, current, source("products"), top, ordered=ordered)
             return write_datasets(reports, f"{output}/{job_name}")
         finally:
             drop_staged(spark, folder)

@@ -384,9 +384,9 @@ ORACLE: dict[str, str] = {
         "shop_customers shop_orders shifted_orders logins keyed_events interactions tickets",
         "\nUNION ALL\n".join(
             [
-                _run_row("churn_prediction", _churn("shifted_orders", "2024-01-31")),
-                _run_row("fraud_detection", _HIGH_RISK),
-                _run_row("purchase_behavior", _RANKED_2024),
+                _run_row("churn_risk", _churn("shifted_orders", "2024-01-31")),
+                _run_row("high_risk_customers", _HIGH_RISK),
+                _run_row("top_customers_by_country", _RANKED_2024),
                 _run_row(
                     "omni_channel_engagement", _PROFILE.format(columns=", ".join(_MEASURES))
                 ),

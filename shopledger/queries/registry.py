@@ -271,7 +271,7 @@ def audit_log(t: Retail) -> DataFrame:
     try:
         plans.churn_job(t.spark, source, gold, log, as_of="2024-01-31")
         plans.fraud_job(t.spark, source, gold, log, as_of="2024-01-31")
-        plans.purchase_behavior_job(
+        plans.top_customers_job(
             t.spark, source, gold, log, as_of="2024-01-31", country_pattern="NATION_1%"
         )
         plans.engagement_job(t.spark, source, gold, log, as_of="2024-04-09")

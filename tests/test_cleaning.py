@@ -1,7 +1,11 @@
+import re
+from itertools import product
+
 import pytest
 from conftest import bag, day, plan
 
 from shopledger import operators as ops
+from shopledger.operators.cleaning import EMAIL_PATTERN
 
 RAW_CUSTOMERS = (
     "customer_id bigint, first_name string, last_name string, email string, phone string, "
@@ -42,6 +46,14 @@ def test_email_needs_one_at_and_a_dot(spark, email, kept):
     assert bool(bag(ops.clean_customers(raw))) is kept
 
 
+def test_email_check_agrees_with_a_plain_regex_search(spark):
+    texts = ["".join(parts) for parts in product("@. a", repeat=5)]
+    df = spark.createDataFrame([(1, text) for text in texts], "customer_id int, email string")
+    kept = {row.email for row in ops.valid_customers(df).collect()}
+    assert kept == {text for text in texts if re.search(EMAIL_PATTERN, text)}
+    assert 0 < len(kept) < len(texts)
+
+
 def test_customers_without_id_go_and_whole_copies_merge(spark):
     rows = [
         customer(None, "a@b.c"),

@@ -1,6 +1,7 @@
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
 from conftest import bag, day, plan, tuples
 from pyspark.sql import functions as F
 
@@ -123,8 +124,10 @@ def test_one_shuffle_per_source_and_no_join(spark):
     assert "Sort" not in text
 
 
-def test_sources_of_unlike_size_meet_in_one_row(spark, conf):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_sources_of_unlike_size_meet_in_one_row(spark, conf, adaptive):
     conf(
+        adaptive__enabled=adaptive,
         shuffle__partitions="16",
         adaptive__advisoryPartitionSizeInBytes="4KB",
         adaptive__coalescePartitions__minPartitionSize="4KB",

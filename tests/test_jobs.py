@@ -39,7 +39,7 @@ def test_preprocessing_publishes_nine_tables(spark, silver, tmp_path):
         assert spark.read.table(f"silver.{table}").count() == count > 0
     assert read_parquet(spark, f"{tmp_path}/silver/customers_clean").count() == silver["customers"]
     assert log_rows(spark, f"{tmp_path}/log") == [
-        ("pre_processing", "SUCCESS", silver["customers"])
+        ("preprocessing", "SUCCESS", silver["customers"])
     ]
     customers = spark.read.table("silver.customers")
     orphans = spark.read.table("silver.orders").join(customers, "customer_id", "left_anti")
@@ -50,7 +50,7 @@ def test_report_jobs_read_what_preprocessing_published(spark, silver, tmp_path):
     source, gold, log = catalog_source(spark, "silver"), f"{tmp_path}/gold", f"{tmp_path}/log"
     found = [
         plans.churn_job(spark, source, gold, log, as_of="2001-01-01"),
-        plans.purchase_behavior_job(
+        plans.top_customers_job(
             spark, source, gold, log, as_of="2000-12-31", country_pattern="NATION_%"
         ),
         plans.fraud_job(spark, source, gold, log, as_of="2024-01-31"),
@@ -63,14 +63,14 @@ def test_report_jobs_read_what_preprocessing_published(spark, silver, tmp_path):
     reports = found[4]
     assert len(reports) == 7
     for name, count in reports.items():
-        assert read_parquet(spark, f"{gold}/pricing_trends/{name}").count() == count > 0
+        assert read_parquet(spark, f"{gold}/sales_trends/{name}").count() == count > 0
     assert [row[:2] for row in log_rows(spark, log)] == [
-        ("pre_processing", "SUCCESS"),
-        ("churn_prediction", "SUCCESS"),
-        ("purchase_behavior", "SUCCESS"),
-        ("fraud_detection", "SUCCESS"),
+        ("preprocessing", "SUCCESS"),
+        ("churn_risk", "SUCCESS"),
+        ("top_customers_by_country", "SUCCESS"),
+        ("high_risk_customers", "SUCCESS"),
         ("omni_channel_engagement", "SUCCESS"),
-        ("pricing_trends", "SUCCESS"),
+        ("sales_trends", "SUCCESS"),
     ]
 
 
@@ -88,14 +88,14 @@ def test_log_survives_runs_that_overwrite_the_output(spark, tmp_path):
     }.__getitem__
     for _ in range(2):
         plans.churn_job(spark, source, f"{tmp_path}/gold", f"{tmp_path}/log", as_of="2024-03-01")
-    assert log_rows(spark, f"{tmp_path}/log") == [("churn_prediction", "SUCCESS", 1)] * 2
-    assert read_parquet(spark, f"{tmp_path}/gold/churn_prediction").count() == 1
+    assert log_rows(spark, f"{tmp_path}/log") == [("churn_risk", "SUCCESS", 1)] * 2
+    assert read_parquet(spark, f"{tmp_path}/gold/churn_risk").count() == 1
 
 
 def test_failure_is_logged_and_raised(spark, tmp_path):
     with pytest.raises(KeyError, match="orders"):
         plans.churn_job(spark, {}.__getitem__, f"{tmp_path}/gold", f"{tmp_path}/log")
-    assert log_rows(spark, f"{tmp_path}/log") == [("churn_prediction", "FAILURE", 0)]
+    assert log_rows(spark, f"{tmp_path}/log") == [("churn_risk", "FAILURE", 0)]
 
 
 def test_failure_while_running_is_logged(spark, tmp_path):
@@ -104,7 +104,7 @@ def test_failure_while_running_is_logged(spark, tmp_path):
     )
     with pytest.raises(Exception, match="lost input"):
         plans.churn_job(spark, lambda _: broken, f"{tmp_path}/gold", f"{tmp_path}/log")
-    assert log_rows(spark, f"{tmp_path}/log") == [("churn_prediction", "FAILURE", 0)]
+    assert log_rows(spark, f"{tmp_path}/log") == [("churn_risk", "FAILURE", 0)]
 
 
 def test_unloggable_failure_keeps_its_own_error(spark, tmp_path):
@@ -133,4 +133,4 @@ def test_outputs_equal_the_operators_on_the_whole_fact(spark, silver, tmp_path):
     current = ops.sales_fact(source("orders"), source("order_items"), source("products"))
     sales = ops.sales_with_history(current, source("historical_customer_sales"))
     for name, df in plans.sales_outputs(sales, current, source("products")).items():
-        assert bag(read_parquet(spark, f"{tmp_path}/gold/pricing_trends/{name}")) == bag(df), name
+        assert bag(read_parquet(spark, f"{tmp_path}/gold/sales_trends/{name}")) == bag(df), name
