@@ -59,9 +59,10 @@ def top_customer_monthly_products(
 ) -> DataFrame:
     """What the top customers bought, per month and product.
 
-    ``top`` may carry an already computed ``top_customers`` list. Lines are
-    summed per product before the product join, so the join and the final sum
-    (which merges repeated product rows) see no raw lines.
+    ``top`` may carry an already computed ``top_customers`` list; without it the
+    fact is read twice, so an expensive one is best staged, as the sales job does.
+    Lines are summed per product before the product join, so the join and the
+    final sum (which merges repeated product rows) see no raw lines.
     """
     monthly = (
         _sales_of_top(sales, n, top)

@@ -215,7 +215,7 @@ def _source(t: Retail) -> Callable[[str], DataFrame]:
 def publish_passthrough(t: Retail) -> DataFrame:
     """Row counts of the nine tables the preprocessing job publishes, read from the catalog."""
     folder, database = staging_folder(t.spark), f"silver_{uuid4().hex}"
-    t.spark.sql(f"CREATE DATABASE {database}")
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/warehouse'")
     try:
         counts = plans.preprocessing_job(
             t.spark,
