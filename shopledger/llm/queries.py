@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import simhash
+from shopledger.llm import langid, simhash, toxicity
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -25,6 +25,34 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _held_out(folds: int, fold: int) -> Column:
+    """Whether the crc32 of doc_id's text leaves ``fold`` on division by ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold
+
+
+@_query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the two folds that are not held out."""
+    docs = _table(spark, folder, "documents")
+    model = langid.fit(docs.filter(~_held_out(3, 1)))
+    return langid.predict(docs, model).withColumnRenamed("key", "doc_id").withColumn(
+        "held_out", _held_out(3, 1)
+    )
+
+
+@_query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learned from the four folds not held out."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.filter(~_held_out(5, 0)), staging_folder(spark))
+    return (
+        toxicity.score(docs, model)
+        .withColumnRenamed("key", "doc_id")
+        .withColumn("held_out", _held_out(5, 0))
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    )
+
+
 @_query
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
