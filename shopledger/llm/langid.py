@@ -38,7 +38,7 @@ class Settings:
     dictionary_bytes: int = 1 << 16
     max_languages: int = 64
     block_bytes: int = 1 << 11
-    level: int = 5
+    level: int = 9
     min_margin: float = 0.002
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import langid, simhash, toxicity
+from shopledger.llm import langid, pieces, pii, simhash, toxicity
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -53,6 +55,32 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The pseudonyms of the test tables need no secrecy; a real key comes from a vault.
+PII_KEY = b"test tables"
+
+
+@_query
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text with pseudonyms, and what was replaced."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, findings="findings").withColumn(
+        "n_replaced", F.size("findings").cast("long")
+    )
+
+
+def tokenizer_file(name: str) -> bytes:
+    """A public vocabulary file, read on the driver: its size is fixed."""
+    return Path(public_tokenizers.path(name)).read_bytes()
+
+
+@_query
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document, and the text they decode to."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    found = pieces.encode(_table(spark, folder, "documents"), model, decoded=True)
+    return found.withColumnRenamed("key", "doc_id")
+
+
 @_query
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
