@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import langid, pieces, pii, simhash, toxicity
+from shopledger.llm import langid, pieces, pii, simhash, tokenfiles, toxicity
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -42,6 +42,31 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Where every document's ids are in the files, and their checksum, read back.
+
+    The index says where a document is; what lies there is read from the shards.
+    """
+    docs, staged = _table(spark, folder, "documents"), staging_folder(spark)
+    path, index = f"{staged}/shards", f"{staged}/index"
+    tokenizer = tokenizer_file("word_bpe_49k.json").decode()
+    tokenfiles.write_shards(docs, path, tokenizer, end_id=2)
+    tokenfiles.write_index(spark, path, index)
+    places = tokenfiles.look_up(docs, spark.read.parquet(index))
+    found = tokenfiles.documents(spark, path).drop("key", "n_ids")
+    return (
+        places.join(found, ["shard", "first"])
+        .join(tokenfiles.shard_starts(spark, path), "shard")
+        .select(
+            F.col("key").alias("doc_id"),
+            (F.col("before") + F.col("first")).alias("start"),
+            F.col("n_ids").alias("n_tokens"),
+            "ids_crc32",
+        )
+    )
+
+
 @_query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from the four folds not held out."""
