@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import langid, pieces, pii, simhash, tokenfiles, toxicity
+from shopledger.llm import decontaminate, langid, pieces, pii, simhash, tokenfiles, toxicity
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -106,6 +106,15 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id")
 
 
+@_query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in which a benchmark item occurs, with the item and the place."""
+    found = decontaminate.find(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+    return found.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
 @_query
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""

@@ -127,16 +127,10 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return left.join(right, "bucket").filter((a < b) & near).select("a", "b").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, folder: str, fields: Fields = Fields(), max_bits: int = MAX_BITS
-) -> DataFrame:
-    """(key, fingerprint, component) of every row.
-
-    ``component`` is the smallest key reachable over links between fingerprints; null
-    keys only count where a component has no other. Equal fingerprints are merged
-    before they are linked, so copies cost no links. ``folder`` is a staging folder.
-    An empty table gives an empty result.
-    """
+def _classes(
+    docs: DataFrame, folder: str, fields: Fields, max_bits: int
+) -> tuple[DataFrame, DataFrame]:
+    """Staged (key, fingerprint) of every row, and (fingerprint, least key, root)."""
     prints = stage(fingerprints(docs, fields), folder, "fingerprints")
     distinct = stage(
         prints.groupBy("fingerprint").agg(F.min("key").alias("least")), folder, "distinct"
@@ -147,8 +141,78 @@ def near_duplicates(
     classes = stage(
         rooted.select("fingerprint", "least", root.alias("root")), folder, "classes"
     )
+    return prints, classes
+
+
+def near_duplicates(
+    docs: DataFrame, folder: str, fields: Fields = Fields(), max_bits: int = MAX_BITS
+) -> DataFrame:
+    """(key, fingerprint, component) of every row.
+
+    ``component`` is the smallest key reachable over links between fingerprints; null
+    keys only count where a component has no other. Equal fingerprints are merged
+    before they are linked, so copies cost no links. ``folder`` is a staging folder.
+    An empty table gives an empty result.
+    """
+    prints, classes = _classes(docs, folder, fields, max_bits)
     least = stage(
         classes.groupBy("root").agg(F.min("least").alias("component")), folder, "least_of_class"
     )
     members = classes.join(least, "root").select("fingerprint", "component")
     return prints.join(members, "fingerprint").select("key", "fingerprint", "component")
+
+
+def keep_one_of_each(
+    docs: DataFrame, folder: str, fields: Fields = Fields(), max_bits: int = MAX_BITS
+) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, without near-duplicates.
+
+    Of each component the row with the smallest key stays; a null key stays only where
+    there is no other. Of rows that share key and fingerprint one stays. Rows with an
+    unrepeated key are chosen by the key alone; only the others are hashed again.
+    """
+    prints, classes = _classes(docs, folder, fields, max_bits)
+    # The smallest key of a fingerprint is its candidate, the smallest of a root wins.
+    by = F.struct(F.col("least").isNull(), "least", "fingerprint")
+    winners = stage(
+        classes.groupBy("root").agg(F.min(by).alias("w")).select(
+            F.col("w.least").alias("key"), F.col("w.fingerprint").alias("fingerprint")
+        ),
+        folder,
+        "winners",
+    )
+    counts = prints.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(
+        counts.filter((F.col("n") > 1) & F.col("key").isNotNull()).select("key"), folder, "repeated"
+    )
+    key = docs[fields.key]
+    chosen = winners.join(repeated, "key", "left_anti").filter("key is not null")
+    plain = docs.join(chosen, key == chosen["key"], "left_semi")
+
+    unclear = docs.join(repeated, key == repeated["key"], "left_semi").unionAll(
+        docs.filter(key.isNull())
+    )
+    row, print_ = "row", "fingerprint"
+    hashed = unclear.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
+        F.col(fields.key).alias("key"),
+        F.col(fields.text).alias("text"),
+    )
+
+    def run(batches):
+        for batch in batches:
+            found = np.array([fingerprint(t) for t in texts_of(batch)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(row), batch.column("key"), pa.array(found)], [row, "key", print_]
+            )
+
+    kinds = hashed.schema
+    schema = f"row {kinds[row].dataType.simpleString()}, key {kinds['key'].dataType.simpleString()}"
+    w = winners.select(F.col("key").alias("w_key"), F.col("fingerprint").alias("w_print"))
+    again = (
+        hashed.mapInArrow(run, f"{schema}, fingerprint bigint")
+        .join(w, F.col("key").eqNullSafe(w["w_key"]) & (F.col(print_) == w["w_print"]), "left_semi")
+        .dropDuplicates(["key", print_])
+        .select("row.*")
+    )
+    return plain.unionAll(again)
