@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import decontaminate, langid, pieces, pii, simhash, tokenfiles, toxicity
+from shopledger.llm import decontaminate, langid, pieces, pii, simhash, tokenfiles, topk, toxicity
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -124,3 +124,10 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@_query
+def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest other vectors of every fiftieth vector."""
+    vectors = _table(spark, folder, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, staging_folder(spark))
