@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import decontaminate, langid, pieces, pii, simhash, tokenfiles, topk, toxicity
+from shopledger.llm import decontaminate, htmltext, langid, pieces, pii, simhash, tokenfiles, topk, toxicity
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -98,6 +98,19 @@ def tokenizer_file(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+@_query
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, folder, "pages")
+    found = htmltext.extract(pages, htmltext.fit(pages), carried=("url",))
+    return found.select(
+        F.col("key").alias("page_id"),
+        "url",
+        F.col("main_text").alias("text"),
+        F.length("main_text").cast("long").alias("n_chars"),
+    )
+
+
 @_query
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every document, and the text they decode to."""
