@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import decontaminate, htmltext, langid, pieces, pii, simhash, tokenfiles, topk, toxicity
+from shopledger.llm import decontaminate, htmltext, langid, lm, pieces, pii, simhash, tokenfiles, topk, toxicity
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -111,6 +111,17 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probabilities of every document, learned from the four folds not held out."""
+    docs = _table(spark, folder, "documents")
+    found = lm.score(docs, ~_held_out(5, 1), staging_folder(spark))
+    return found.withColumnRenamed("key", "doc_id").select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 @_query
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every document, and the text they decode to."""
