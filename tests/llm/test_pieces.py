@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from shopledger.llm.batches import Fields
+from shopledger.llm import pieces
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+CONTENT = Path(PATH).read_bytes()
+
+
+def texts(n: int, seed: int = 0) -> list[str]:
+    rng = random.Random(seed)
+    letters = "aabcdething  .,\n\tñé京😀XYZ 012-_'“”<>"
+    english = (
+        "Hello world, this is internationalization of tokenizers def foo(self): return x[1:] "
+        "www.example.com/path?query=1 naïve café 1234567890 !!! ###"
+    ).split(" ")
+    out = ["".join(rng.choices(letters, k=rng.randint(0, 80))) for _ in range(n)]
+    return out + [" ".join(rng.choices(english, k=rng.randint(1, 40))) for _ in range(n)]
+
+
+def encoded(model: pieces.PieceModel, some: list[str]) -> list[list[int]]:
+    ids, counts = model.encode(some)
+    out, at = [], 0
+    for n in counts.tolist():
+        out.append(ids[at : at + n].tolist())
+        at += n
+    return out
+
+
+def test_equals_the_library():
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    model = pieces.PieceModel(CONTENT)
+    some = [*texts(1500), "", " ", "  ", "\n", "a\n\nb", "x" * 5000, "▁x y", "ab" * 3000]
+    found = encoded(model, some)
+    assert found == library.encode(some)
+    for ids in found:
+        assert model.decode(ids) == library.decode(ids)
+
+
+def test_round_trip():
+    model = pieces.PieceModel(CONTENT)
+    some = texts(500, seed=3)
+    assert [model.decode(ids) for ids in encoded(model, some)] == some
+    assert model.decode([]) == ""
+    assert model.decode([model.byte_ids[0xC3]]) == "�"
+
+
+def unigram_model(scores: dict[str, float], byte_fallback: bool = False) -> bytes:
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto()
+    model.ParseFromString(CONTENT)
+    model.trainer_spec.model_type = pieces.UNIGRAM
+    model.trainer_spec.byte_fallback = byte_fallback
+    del model.pieces[3:]
+    for piece, score in scores.items():
+        model.pieces.add(piece=piece, score=score, type=pieces.NORMAL)
+    return model.SerializeToString()
+
+
+def best_by_brute_force(word: str, scores: dict[str, float]) -> float:
+    """The best sum of scores over all ways to cut a word."""
+    unknown = min(scores.values()) - pieces.UNKNOWN_PENALTY
+    if not word:
+        return 0.0
+    options = [
+        scores[word[:n]] + best_by_brute_force(word[n:], scores)
+        for n in range(1, len(word) + 1)
+        if word[:n] in scores
+    ]
+    if word[0] not in scores:
+        options.append(unknown + best_by_brute_force(word[1:], scores))
+    return max(options)
+
+
+def test_unigram_paths_are_the_best_ones():
+    rng = random.Random(5)
+    mark = pieces.MARK
+    scores = {mark: -3.0}
+    for _ in range(60):
+        piece = "".join(rng.choices("abc", k=rng.randint(1, 4)))
+        scores[rng.choice(["", mark]) + piece] = -rng.uniform(1, 9)
+    content = unigram_model(scores)
+    model = pieces.PieceModel(content)
+    words = sorted({mark + "".join(rng.choices("abcd", k=rng.randint(0, 9))) for _ in range(300)})
+    by_id = {at: piece for piece, at in model.ids.items()}
+    library = sentencepiece.SentencePieceProcessor(model_proto=content)
+    for word, ids in zip(words, model.encode_words(words)):
+        if model.unknown not in ids:
+            assert "".join(by_id[i] for i in ids) == word
+            total = sum(scores[by_id[i]] for i in ids)
+            assert total == pytest.approx(best_by_brute_force(word, scores))
+    plain = [w.replace(mark, "") for w in words]
+    assert encoded(model, plain) == library.encode(plain)
+
+
+def test_table(spark):
+    rows = [(1, None), (2, ""), (None, "some text"), (3, "long text " * 60_000), (4, "y" * 100_000)]
+    rows += [(5, "same same")] * 2
+    docs = spark.createDataFrame(rows, "id long, body string").selectExpr("*", "1 AS key", "2 AS ids")
+    found = pieces.encode(docs, CONTENT, Fields("id", "body"), decoded=True)
+    by_key = {r["key"]: r for r in found.collect()}
+    assert found.count() == len(rows)
+    assert by_key[1]["ids"] == by_key[2]["ids"] == [] and by_key[1]["decoded"] == ""
+    for key, text in rows:
+        assert by_key[key]["decoded"] == (text or "")
+        assert by_key[key]["n_pieces"] == len(by_key[key]["ids"])
+    assert pieces.encode(docs.limit(0), CONTENT, Fields("id", "body")).count() == 0
+
+
+def test_unsupported_models():
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    for change in (
+        lambda m: setattr(m.normalizer_spec, "remove_extra_whitespaces", True),
+        lambda m: setattr(m.trainer_spec, "treat_whitespace_as_suffix", True),
+        lambda m: setattr(m.trainer_spec, "model_type", 3),
+        lambda m: m.pieces.add(piece="a▁b", score=-1, type=pieces.NORMAL),
+    ):
+        model = proto.ModelProto()
+        model.ParseFromString(CONTENT)
+        change(model)
+        with pytest.raises(ValueError):
+            pieces.PieceModel(model.SerializeToString())

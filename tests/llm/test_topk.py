@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pyspark.sql.functions as F
+import pytest
+
+from shopledger.llm import topk
+from shopledger.sources.staging import staging_folder
+
+
+def brute_force(rows, k=5):
+    whole = []
+    for key, vec in rows:
+        if key is None or vec is None or any(x is None or not math.isfinite(x) for x in vec):
+            continue
+        whole.append((key, [math.floor(256 * x) for x in vec]))
+    queries = {}
+    for key, vec in whole:
+        if key % 3 == 0 and (key not in queries or vec < queries[key]):
+            queries[key] = vec
+    out = []
+    for query, vec in queries.items():
+        scored = [
+            (-sum(a * b for a, b in zip(vec, other)), key)
+            for key, other in whole
+            if key != query and len(other) == len(vec) and vec
+        ]
+        for rank, (score, key) in enumerate(sorted(scored)[:k], 1):
+            out.append((query, rank, key, -score))
+    return sorted(out)
+
+
+def run(spark, rows, k=5, **names):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr(
+        "'x' AS key", "*", "1 AS score", "2 AS low"
+    )
+    found = topk.top_k(table, F.col("vec_id") % 3 == 0, staging_folder(spark), k=k)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def vectors(n, seed=0, size=4):
+    rng = random.Random(seed)
+    return [(i, [rng.gauss(0, 1) for _ in range(size)]) for i in range(n)]
+
+
+def test_against_brute_force_over_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES_PER_CELL", 40)
+    monkeypatch.setattr(topk, "QUERIES_PER_CELL", 16)
+    rows = vectors(150)
+    assert run(spark, rows) == brute_force(rows)
+
+
+def test_ties_copies_and_awkward_rows(spark):
+    same = [(i, [1.0, 0.0]) for i in range(60)]
+    rng = random.Random(2)
+    rng.shuffle(same)
+    rows = same + [(100, [2.0, 0.0]), (101, [2.0, 0.0]), (102, [-1.0, 0.5]), (102, [-1.0, 0.5])]
+    rows += [(103, None), (105, [None, 1.0]), (108, [math.nan, 1.0]), (111, [math.inf, 1.0])]
+    rows += [(None, [9.0, 9.0]), (114, [1.0, 2.0, 3.0]), (115, [1.0, 2.0, 3.0]), (117, [])]
+    assert run(spark, rows) == brute_force(rows)
+
+
+def test_fewer_candidates_than_k_and_none(spark):
+    rows = [(0, [1.0]), (1, [2.0]), (2, [-3.0])]
+    assert run(spark, rows) == brute_force(rows) == [(0, 1, 1, 131072), (0, 2, 2, -196608)]
+    assert run(spark, [(0, [1.0])]) == []
+    assert run(spark, []) == []
+    assert run(spark, [(1, [1.0]), (2, [1.0])]) == []
+
+
+@pytest.mark.parametrize("scale", [1e-3, 1e5, 1e6])
+def test_any_scale_is_exact(spark, scale):
+    rows = [(key, [x * scale for x in vec]) for key, vec in vectors(40, seed=4)]
+    assert run(spark, rows, k=3) == brute_force(rows, k=3)

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import random
+
+from shopledger.llm import toxicity
+from shopledger.sources.staging import staging_folder
+
+BAD = ["grumbler", "nastyish"]
+STEM = "vilex"  # only ever with endings
+PLAIN = [f"{a}{b}" for a in ("ta", "lo", "mi", "re", "su") for b in ("na", "do", "ki", "pe", "vu", "ra")]
+
+
+def corpus(n: int, seed: int = 0):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for key in range(n):
+        words = rng.choices(PLAIN, k=rng.randint(20, 200))
+        toxic = key % 4 == 0
+        if toxic:
+            for _ in range(max(2, len(words) // 25)):
+                bad = rng.choice([*BAD, STEM + rng.choice(["a", "ona", "irus", "et"])])
+                words[rng.randrange(len(words))] = bad
+        elif key % 16 == 1:
+            words[3:5] = ["mister", "grumbler"]  # a name, and harmless
+        rows.append((key, " ".join(words)))
+        labels.append((key, int(toxic)))
+    return rows, labels
+
+
+def frames(spark, rows, labels):
+    return (
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+    )
+
+
+def fitted(spark, n=400):
+    docs, labels = frames(spark, *corpus(n))
+    settings = toxicity.Settings(min_log_odds=2.0)
+    return toxicity.fit(docs, labels, staging_folder(spark), settings=settings)
+
+
+def test_held_out_accuracy_with_stems_and_exceptions(spark):
+    model = fitted(spark)
+    assert any(t.startswith("viie") for t in model.weights)  # l is folded to i
+    assert any("mister" in p for p in model.exceptions)
+    rows, labels = corpus(400, seed=7)
+    docs, _ = frames(spark, rows, labels)
+    score = {r["key"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    wrong = sum((score[key] >= 0.5) != bool(label) for key, label in labels)
+    assert wrong <= 0.03 * len(labels)
+
+
+def test_disguised_spellings_match():
+    model = toxicity.Model({toxicity.fold("grumbler") + toxicity.WHOLE: 5.0}, slope=10, offset=-1)
+    scorer = toxicity.Scorer(model)
+    for text in ["grumbler", "GRUMBLER!", "grumb1er", "grum8ler", "grуmblеr".replace("у", "u"),
+                 "ｇrumbler", "(grumbl3r)"]:
+        assert len(scorer.hits(text)) == 1, text
+    for text in ["grumblers", "xgrumbler", "grum bler", ""]:
+        assert not scorer.hits(text), text
+
+
+def test_longest_weight_of_a_word_counts_once_and_length_normalises():
+    model = toxicity.Model({"viie": 2.0, "viiex": 4.0, toxicity.fold("vilexa") + toxicity.WHOLE: 3.0})
+    scorer = toxicity.Scorer(model)
+    assert [h[2] for h in scorer.hits("a vilexa b")] == [4.0]
+    short, long = scorer.density("vilexa"), scorer.density("vilexa " + "word " * 500)
+    assert short[1] == long[1] == 1 and short[0] > long[0] > 0
+
+
+def test_exception_phrase_cancels_only_what_it_covers():
+    word = toxicity.fold("grumbler")
+    model = toxicity.Model({word + toxicity.WHOLE: 5.0}, (toxicity.fold("mister grumbler"),))
+    scorer = toxicity.Scorer(model)
+    assert not scorer.hits("dear mister grumbler")
+    assert len(scorer.hits("mister grumbler, grumbler")) == 1
+    assert len(scorer.hits("sister grumbler")) == 1
+
+
+def test_edge_cases(spark):
+    model = fitted(spark, 200)
+    rows = [(1, None), (2, ""), (None, "grumbler grumbler"), (3, "word " * 100_000 + "grumbler")]
+    rows += [(4, "a grumbler")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 AS key", "2 AS score", "3 AS label"
+    )
+    found = toxicity.score(docs, model)
+    assert found.count() == len(rows)
+    by_key = {r["key"]: r for r in found.collect()}
+    assert by_key[1]["score"] == by_key[2]["score"] < 0.5
+    assert by_key[None]["score"] > 0.5
+    assert by_key[3]["n_hits"] == 1 and by_key[3]["score"] < 0.5
+    assert all(0 <= r["score"] <= 1 for r in found.collect())
+
+
+def test_without_both_labels(spark):
+    docs, labels = frames(spark, [(1, "text")], [(1, 0), (None, 1), (2, None), (3, 7)])
+    model = toxicity.fit(docs, labels, staging_folder(spark))
+    assert model.weights == {}
+    assert toxicity.score(docs, model).first()["score"] < 0.5
+    none, no_labels = frames(spark, [], [])
+    assert toxicity.score(none, toxicity.fit(none, no_labels, staging_folder(spark))).count() == 0
