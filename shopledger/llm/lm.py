@@ -488,10 +488,12 @@ def score(
     folder: str,
     fields: Fields = Fields(),
     settings: Settings = Settings(),
+    weights: tuple[tuple[float, ...], ...] | None = None,
 ) -> DataFrame:
     """(key, train, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
-    The model learns from the rows where ``train`` is true. Null texts are empty: they
+    The model learns from the rows where ``train`` is true. ``weights`` are those of a
+    Mixture, and are fitted if not given. Null texts are empty: they
     have the end as their only token. Repeated rows stay and count as often as they
     occur; other columns are ignored. Without training texts all tokens are unknown.
     """
@@ -503,7 +505,9 @@ def score(
     answers = _bucketed(answered.repartition(_buckets(spark), "block"), f"{folder}/lm_answers")
     size = answers.filter("block = -1").agg(F.sum("kinds"), F.sum("tokens")).first()
     first = Mixture(size[1] or 0, size[0] or 0, (FIRST_WEIGHTS,) * (settings.order - 1))
-    mixture = Mixture(first.tokens, first.kinds, _fitted(blocks, answers, first, settings))
+    if weights is None:
+        weights = _fitted(blocks, answers, first, settings)
+    mixture = Mixture(first.tokens, first.kinds, weights)
 
     kind = blocks.schema["key"].dataType.simpleString()
 
@@ -548,7 +552,7 @@ def _fitted(
         .orderBy(F.xxhash64("block")).limit(settings.sample_blocks)
     )
     ids = [row["block"] for row in chosen.collect()]
-    if not ids:
+    if not ids or settings.order == 1:
         return first.weights
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:

@@ -1,0 +1,103 @@
+"""The pipeline against a plain version of its stages, on a small table."""
+
+from __future__ import annotations
+
+import random
+
+import pyspark.sql.functions as F
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+from shopledger.llm import decontaminate, langid, pieces, pii
+from shopledger.llm.queries import PII_KEY, QUERIES, tokenizer_file
+from tests.llm.test_decontaminate import brute_force
+from tests.llm.test_langid import sentence
+from tests.llm.test_simhash import plain_components
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(6)
+    rows = []
+    for key in range(150):
+        lang = ["aa", "bb", "cc"][key % 3]
+        text = sentence(lang, rng, rng.randint(30, 120))
+        if key % 10 == 7:
+            text += " reach me at jo.42@mail8.example.com or +1 (988) 555-2485"
+        rows.append((key, text, lang, f"s{key % 4}", len(text)))
+    rows += [(200 + i, rows[i][1].upper(), "aa", None, None) for i in range(0, 30, 3)]
+    items = [(1, sentence("aa", rng, 20)), (2, sentence("bb", rng, 40))]
+    rows += [(300 + i, rows[i + 60][1] + " " + items[i][1], "aa", "s", 5) for i in range(2)]
+    rows += [(400, None, "aa", "s", None), (401, "", None, "s", 0), (402, "12 34", "bb", "s", 5)]
+    path = tmp_path_factory.mktemp("tables")
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, columns).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return str(path), rows, items
+
+
+def test_run_against_plain_stages(spark, folder):
+    path, rows, items = folder
+    model = langid.fit(spark.read.parquet(f"{path}/documents.parquet"))
+    settings = langid.Settings()
+    classify = langid.Classifier(model, settings)
+    kept = []
+    for row in rows:
+        label, _, margin = classify(row[1] or "")
+        if label != langid.UNDETERMINED and margin >= settings.min_margin:
+            kept.append((row[0], row[1]))
+    assert {400, 401, 402}.isdisjoint({key for key, _ in kept})
+    component = plain_components(kept)
+    kept = [(key, text) for key, text in kept if component[key] == key]
+    dirty = {key for key, _ in brute_force(kept, items)}
+    assert {300, 301} <= dirty
+    change = pii.Pseudonymiser(PII_KEY)
+    texts = {key: change.replace(text)[0] for key, text in kept if key not in dirty}
+    assert any(texts[key] != text for key, text in kept if key in texts)
+
+    found = {r["doc_id"]: r for r in corpus_pipeline.run(spark, path).collect()}
+    assert {key: r["decoded"] for key, r in found.items()} == texts
+    encoder = pieces.PieceModel(tokenizer_file("piece_bpe_32k.model"))
+    for key, text in texts.items():
+        assert found[key]["ids"] == encoder.encode([text])[0].tolist()
+
+
+def test_stages_keep_the_columns_of_documents(spark, folder):
+    path, _, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, path).schema.simpleString() == docs.schema.simpleString()
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, path).count() == 0
+
+
+def test_stages_and_registration():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language_id", "near_duplicates", "decontamination", "personal_data", "sentencepiece",
+    ]
+    queries = __spark_entry__.queries()
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {"pipeline", *QUERIES} <= set(queries)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_query_covers_its_table(spark, name):
+    found = QUERIES[name](spark, SF)
+    tables = {"op5": "pages", "op10": "embeddings"}
+    table = spark.read.parquet(f"{SF}/{tables.get(name.split('_')[0], 'documents')}.parquet")
+    if name.startswith("op8"):
+        docs = [(r["doc_id"], r["text"]) for r in table.collect()]
+        items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+        got = {(r["doc_id"], r["item_id"]): r["distance"] for r in found.collect()}
+        assert got == brute_force(docs, items, decontaminate.Settings())
+    elif name.startswith("op10"):
+        assert found.count() == 5 * table.filter("vec_id % 50 = 0").count()
+    else:
+        key = table.columns[0]
+        assert found.count() == table.count() == found.select(key).distinct().count()
+        if "score" in found.columns and not name.startswith("op6"):
+            assert found.filter(~F.col("score").between(0, 1)).count() == 0
