@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shopledger.functions.casts import fitted
 from shopledger.functions.dates import AsOf, as_of_date, dated
 from shopledger.functions.measures import numeric
 
@@ -13,6 +15,11 @@ from shopledger.functions.measures import numeric
 EMAIL_PATTERN = r"^[^@]+@[^@]+\.[^@]+$"
 
 
+# Fixed value: the published type of amounts. What does not fit becomes NULL; the
+# preprocessing job counts that and fails on it.
+ORDER_TYPES = {"total_amount": T.DecimalType(10, 2)}
+
+
 def valid_customers(customers: DataFrame, *, email_pattern: str = EMAIL_PATTERN) -> DataFrame:
     """Raw rows that have a customer_id and a well-formed email. No shuffle."""
     return customers.filter(
@@ -66,7 +73,7 @@ def clean_orders(orders: DataFrame, customers: DataFrame, *, as_of: AsOf = None)
             "customer_id",
             "order_date",
             "status",
-            F.col("total_amount").try_cast("decimal(10,2)").alias("total_amount"),
+            *fitted(ORDER_TYPES),
         )
         .distinct()
     )

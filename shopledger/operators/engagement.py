@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.functions.casts import common_id_type
 from shopledger.functions.dates import AsOf, in_trailing_days
 
 # What the sources call channels, actions and ticket states.
@@ -66,19 +67,22 @@ def omni_channel_engagement(
 
     ``interactions`` and ``tickets`` are flattened tables. A source that has
     nothing on a customer gives zeros, or NULLs with ``zero_fill=False``. Rows
-    without a customer id match nothing, so they stay one row per source.
+    without a customer id match nothing, so they stay one row per source. Ids of
+    different types are compared as the wider integer, or as text if one of them is
+    none; telling that takes a scan of the ids that are text.
 
     Each source is reduced to one narrow row per customer (one shuffle each,
     after map-side partial counts). The three results are stacked and merged by
     a second aggregate: they are hashed on the customer alike, so it needs no
     further shuffle or sort, which a chain of full outer joins would.
     """
-    key_type = orders.select("customer_id").schema[0].dataType
+    keys = ((orders, "customer_id"), (interactions, "CustomerID"), (tickets, "CustomerID"))
+    key_type = common_id_type(keys)
 
     def per_customer(df: DataFrame, key: str, day: str, measures: list[Column]) -> DataFrame:
         return (
             df.filter(in_trailing_days(df, day, as_of, days))
-            .groupBy(F.col(key).try_cast(key_type).alias("customer_id"))
+            .groupBy(F.col(key).cast(key_type).alias("customer_id"))
             .agg(*measures)
         )
 

@@ -8,6 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.functions.casts import Types, lost
+
+
+class RejectedValuesError(ValueError):
+    """More values than accepted did not fit the type of their column."""
+
 
 class DataQualityError(ValueError):
     """A table is empty or has rows without a key."""
@@ -44,3 +50,15 @@ def data_quality_report(tables: Mapping[str, tuple[DataFrame, str | None]]) -> D
         for name, (df, key) in tables.items()
     ]
     return reduce(DataFrame.unionByName, rows)
+
+
+def rejected_values(df: DataFrame, types: Types) -> DataFrame:
+    """(column_name, rejected): per column, how many values do not fit its type.
+
+    One scan, one row per column of ``types``. Missing values are not rejected ones.
+    """
+    counts = df.agg(*[F.count_if(lost(name, kind)).alias(name) for name, kind in types.items()])
+    rows = F.array(
+        *[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("rejected")) for n in types]
+    )
+    return counts.select(F.inline(rows))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.functions.casts import Types, fitted
 from shopledger.functions.dates import dated
 
 # The fact's columns in order.
@@ -51,11 +52,14 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -
 def sales_with_history(sales: DataFrame, history: DataFrame) -> DataFrame:
     """Current sales followed by historical ones (UNION ALL).
 
-    History takes the current fact's types; a value that does not fit them
-    becomes NULL instead of failing the job.
+    History takes the current fact's types. A value that does not fit them becomes
+    NULL; ``rejected_values(history, fact_types(sales))`` counts those, and the sales
+    job fails on them unless it is told how many to accept.
     """
-    shaped = [
-        F.col(field.name).try_cast(field.dataType).alias(field.name)
-        for field in sales.select(*SALES_COLUMNS).schema
-    ]
-    return sales.select(*SALES_COLUMNS).unionByName(history.select(*shaped))
+    current = sales.select(*SALES_COLUMNS)
+    return current.unionByName(history.select(*fitted(fact_types(sales))))
+
+
+def fact_types(sales: DataFrame) -> Types:
+    """The fact's columns with their types."""
+    return {field.name: field.dataType for field in sales.select(*SALES_COLUMNS).schema}

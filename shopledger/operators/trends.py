@@ -20,6 +20,32 @@ OCCASIONAL = "Occasional Buyer"
 BROADCAST_TOP_N = 10_000
 
 
+def sales_by_month(sales: DataFrame) -> DataFrame:
+    """The fact summed per customer, product and month, in the fact's own columns.
+
+    ``order_date`` is the month's first day, ``lines`` counts the summed lines. Every
+    report but the purchase trend and the segments gives the same rows on it as on the
+    fact, so several reports can share one scan: stage it and pass it as ``sales``.
+    Months by date and by the year and month columns are kept apart where they differ,
+    as are missing ones. Amounts keep the fact's type, so sums keep theirs.
+    """
+    amount_type = sales.select("sales_amount").schema[0].dataType
+    return (
+        sales.groupBy(
+            "customer_id",
+            "product_id",
+            F.trunc("order_date", "MM").alias("order_date"),
+            "order_year",
+            "order_month",
+        )
+        .agg(
+            F.sum("quantity").alias("quantity"),
+            F.sum("sales_amount").cast(amount_type).alias("sales_amount"),
+            F.count("product_id").alias("lines"),
+        )
+    )
+
+
 def peak_sales_months(sales: DataFrame) -> DataFrame:
     """Sales per calendar month, best month first.
 
@@ -49,8 +75,11 @@ def top_customers(sales: DataFrame, *, n: int = 5) -> DataFrame:
 
 def _sales_of_top(sales: DataFrame, n: int, top: DataFrame | None) -> DataFrame:
     # As a semi-join the restriction moves below the fact's own joins, to the orders.
-    top = top_customers(sales, n=n) if top is None else top.limit(n)
-    small = F.broadcast(top) if n <= BROADCAST_TOP_N else top
+    if top is not None:
+        # A given list counts whole; its size is not known, so Catalyst picks the join.
+        return sales.join(top.select("customer_id"), "customer_id", "left_semi")
+    own = top_customers(sales, n=n)
+    small = F.broadcast(own) if n <= BROADCAST_TOP_N else own
     return sales.join(small, "customer_id", "left_semi")
 
 
@@ -59,15 +88,17 @@ def top_customer_monthly_products(
 ) -> DataFrame:
     """What the top customers bought, per month and product.
 
-    ``top`` may carry an already computed ``top_customers`` list; without it the
-    fact is read twice, so an expensive one is best staged, as the sales job does.
+    ``top`` may carry a list of ids of any length, which then counts instead of the best
+    ``n``; without it the fact is read twice, so an expensive one is best staged, as the
+    sales job does. ``sales`` may be ``sales_by_month``.
     Lines are summed per product before the product join, so the join and the
     final sum (which merges repeated product rows) see no raw lines.
     """
+    lines = F.sum("lines") if "lines" in sales.columns else F.count("product_id")
     monthly = (
         _sales_of_top(sales, n, top)
         .groupBy("customer_id", F.trunc("order_date", "MM").alias("month_start"), "product_id")
-        .agg(F.count("product_id").alias("lines"), F.sum("sales_amount").alias("amount"))
+        .agg(lines.alias("lines"), F.sum("sales_amount").alias("amount"))
     )
     return (
         monthly.join(_named(products), "product_id")
@@ -187,7 +218,10 @@ def product_mom_growth(sales: DataFrame, products: DataFrame, *, ordered: bool =
 def yoy_comparison(
     sales: DataFrame, products: DataFrame, *, n: int = 5, top: DataFrame | None = None
 ) -> DataFrame:
-    """The top customers' product sales against the same month one year on record earlier."""
+    """The top customers' product sales against the same month one year on record earlier.
+
+    ``top`` may carry a list of ids of any length; ``sales`` may be ``sales_by_month``.
+    """
     monthly = (
         _sales_of_top(sales, n, top)
         .groupBy(

@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shopledger import operators as ops
+from shopledger.functions.casts import lost_count
 from shopledger.functions.dates import AsOf, as_of_date
-from shopledger.session import tune
+from shopledger.operators.cleaning import ORDER_TYPES
+from shopledger.session import input_bytes_of, sized, tune
 from shopledger.sources.audit import write_audit_log
 from shopledger.sources.reading import Source
 from shopledger.sources.staging import drop_staged, stage, staging_folder
@@ -37,17 +39,38 @@ PASSTHROUGH_TABLES = [
     "historical_customer_sales",
 ]
 
-Counts = dict[str, int]
+SALES_TABLES = ["orders", "order_items", "products", "historical_customer_sales"]
+
+
+class Counts(dict[str, int]):
+    """Row counts by output; ``rejected`` is how many input values did not fit."""
+
+    rejected = 0
+
+
+
+REJECTED = "rejected_values"
 
 
 def _audited(
-    spark: SparkSession, job_name: str, audit_path: str, counted: str, run: Callable[[], Counts]
+    spark: SparkSession,
+    job_name: str,
+    audit_path: str,
+    counted: str,
+    run: Callable[[], Counts],
+    tables: Callable[[], list[DataFrame]],
+    input_bytes: int | None,
 ) -> Counts:
-    """Runs a job and logs it with the row count of its output ``counted``."""
+    """Runs a job, sized for its input, and logs it with the row count of ``counted``.
+
+    Without ``input_bytes`` the size is that of the job's ``tables`` by statistics.
+    """
     tune(spark)
     start = datetime.now()
     try:
-        counts = run()
+        size = input_bytes_of(tables()) if input_bytes is None else input_bytes
+        with sized(spark, size):
+            counts = run()
     except Exception as failure:
         try:
             write_audit_log(spark, audit_path, job_name, "FAILURE", 0, start, datetime.now())
@@ -62,6 +85,12 @@ def _fixed_date(spark: SparkSession, as_of: AsOf):
     return spark.range(1).select(as_of_date(as_of)).first()[0]
 
 
+def _checked(found: int, accepted: int) -> int:
+    if found > accepted:
+        raise ops.RejectedValuesError(f"{found} values do not fit, {accepted} are accepted")
+    return found
+
+
 def preprocessing_job(
     spark: SparkSession,
     source: Source,
@@ -70,30 +99,42 @@ def preprocessing_job(
     audit_path: str,
     *,
     as_of: AsOf = None,
+    max_rejected: int = 0,
+    input_bytes: int | None = None,
 ) -> Counts:
     """Cleans customers and orders, and publishes them and the other tables in ``database``.
 
     Orders are checked against the customers table just written, so cleaning
-    runs once.
+    runs once. Amounts that do not fit are counted meanwhile; more than ``max_rejected``
+    fail the job.
     """
 
     def publish(df: DataFrame, table: str, folder: str) -> int:
         return publish_table(df, f"{output}/{folder}", database, table)
 
     def run() -> Counts:
-        counts = {
-            "customers": publish(
-                ops.clean_customers(source("customers")), "customers", "customers_clean"
-            )
-        }
+        customers = ops.clean_customers(source("customers"))
+        counts = Counts(customers=publish(customers, "customers", "customers_clean"))
         known = spark.read.table(f"{database}.customers")
-        orders = ops.clean_orders(source("orders"), known, as_of=_fixed_date(spark, as_of))
+        seen = Observation()
+        raw = source("orders").observe(seen, lost_count(ORDER_TYPES).alias(REJECTED))
+        orders = ops.clean_orders(raw, known, as_of=_fixed_date(spark, as_of))
         counts["orders"] = publish(orders, "orders", "orders_clean")
-        return counts | side_by_side(
-            lambda table: publish(source(table), table, table), PASSTHROUGH_TABLES
+        counts.rejected = _checked(seen.get[REJECTED], max_rejected)
+        counts.update(
+            side_by_side(lambda table: publish(source(table), table, table), PASSTHROUGH_TABLES)
         )
+        return counts
 
-    return _audited(spark, "preprocessing", audit_path, "customers", run)
+    return _audited(
+        spark,
+        "preprocessing",
+        audit_path,
+        "customers",
+        run,
+        lambda: [source(name) for name in ("customers", "orders", *PASSTHROUGH_TABLES)],
+        input_bytes,
+    )
 
 
 def _report_job(
@@ -102,15 +143,23 @@ def _report_job(
     output: str,
     audit_path: str,
     build: Callable[[], DataFrame],
+    tables: Callable[[], list[DataFrame]],
+    input_bytes: int | None,
 ) -> Counts:
     def run() -> Counts:
-        return {job_name: write_dataset(build(), f"{output}/{job_name}")}
+        return Counts({job_name: write_dataset(build(), f"{output}/{job_name}")})
 
-    return _audited(spark, job_name, audit_path, job_name, run)
+    return _audited(spark, job_name, audit_path, job_name, run, tables, input_bytes)
 
 
 def churn_job(
-    spark: SparkSession, source: Source, output: str, audit_path: str, *, as_of: AsOf = None
+    spark: SparkSession,
+    source: Source,
+    output: str,
+    audit_path: str,
+    *,
+    as_of: AsOf = None,
+    input_bytes: int | None = None,
 ) -> Counts:
     """Churn risk per customer."""
     return _report_job(
@@ -119,11 +168,19 @@ def churn_job(
         output,
         audit_path,
         lambda: ops.churn_risk(source("orders"), as_of=_fixed_date(spark, as_of)),
+        lambda: [source("orders")],
+        input_bytes,
     )
 
 
 def fraud_job(
-    spark: SparkSession, source: Source, output: str, audit_path: str, *, as_of: AsOf = None
+    spark: SparkSession,
+    source: Source,
+    output: str,
+    audit_path: str,
+    *,
+    as_of: AsOf = None,
+    input_bytes: int | None = None,
 ) -> Counts:
     """Ids of high-risk customers."""
     return _report_job(
@@ -134,6 +191,8 @@ def fraud_job(
         lambda: ops.high_risk_customers(
             source("orders"), source("loginhistory"), as_of=_fixed_date(spark, as_of)
         ),
+        lambda: [source("orders"), source("loginhistory")],
+        input_bytes,
     )
 
 
@@ -145,6 +204,7 @@ def top_customers_job(
     *,
     as_of: AsOf = None,
     country_pattern: str = "United %",
+    input_bytes: int | None = None,
 ) -> Counts:
     """Top customers by country."""
     return _report_job(
@@ -158,11 +218,19 @@ def top_customers_job(
             as_of=_fixed_date(spark, as_of),
             country_pattern=country_pattern,
         ),
+        lambda: [source("orders"), source("customers")],
+        input_bytes,
     )
 
 
 def engagement_job(
-    spark: SparkSession, source: Source, output: str, audit_path: str, *, as_of: AsOf = None
+    spark: SparkSession,
+    source: Source,
+    output: str,
+    audit_path: str,
+    *,
+    as_of: AsOf = None,
+    input_bytes: int | None = None,
 ) -> Counts:
     """Omni-channel profile per customer."""
     return _report_job(
@@ -176,6 +244,8 @@ def engagement_job(
             ops.flatten_support_tickets(source("customersupport")),
             as_of=_fixed_date(spark, as_of),
         ),
+        lambda: [source("orders"), source("enterprisecampaigns"), source("customersupport")],
+        input_bytes,
     )
 
 
@@ -185,21 +255,25 @@ def sales_outputs(
     products: DataFrame,
     top: DataFrame | None = None,
     *,
+    monthly: DataFrame | None = None,
     ordered: bool = True,
 ) -> dict[str, DataFrame]:
     """The seven sales reports by output name.
 
     ``sales`` holds current and historical sales, ``current`` only the current
-    ones (segments look at those), ``top`` an already computed top-customer list.
-    ``ordered=False`` leaves the two large reports unsorted.
+    ones (segments look at those), ``top`` an already computed top-customer list,
+    ``monthly`` an already computed ``sales_by_month`` of ``sales``, from which all
+    reports but the trend and the segments then come. ``ordered=False`` leaves the
+    two large reports unsorted.
     """
+    monthly = sales if monthly is None else monthly
     return {
-        "peak_sales_months": ops.peak_sales_months(sales),
-        "top_customers": ops.top_customer_monthly_products(sales, products, top=top),
+        "peak_sales_months": ops.peak_sales_months(monthly),
+        "top_customers": ops.top_customer_monthly_products(monthly, products, top=top),
         "customer_purchase_trend": ops.customer_purchase_trend(sales, ordered=ordered),
-        "retention_rate_pct": ops.retention_rate(sales),
-        "month_over_month_growth_pct": ops.product_mom_growth(sales, products, ordered=ordered),
-        "yoy_comparison": ops.yoy_comparison(sales, products, top=top),
+        "retention_rate_pct": ops.retention_rate(monthly),
+        "month_over_month_growth_pct": ops.product_mom_growth(monthly, products, ordered=ordered),
+        "yoy_comparison": ops.yoy_comparison(monthly, products, top=top),
         "customer_segmented": ops.customer_segments(current),
     }
 
@@ -212,12 +286,16 @@ def sales_trends_job(
     *,
     job_name: str = "sales_trends",
     ordered: bool = True,
+    max_rejected: int = 0,
+    input_bytes: int | None = None,
 ) -> Counts:
     """The seven sales reports.
 
-    The current fact is joined once and staged on shared storage, as is the
-    short list of top customers that two reports share. History needs no join
-    and is read straight from its table.
+    The current fact is joined once and staged on shared storage. One scan of current
+    and historical sales sums them by month, one more makes the purchase trend; the
+    other reports and the top list they share come from the monthly sums. Historical
+    values that do not fit the fact are counted in the first scan; more than
+    ``max_rejected`` fail the job before a report is written.
     """
 
     def run() -> Counts:
@@ -225,11 +303,28 @@ def sales_trends_job(
         try:
             fact = ops.sales_fact(source("orders"), source("order_items"), source("products"))
             current = stage(fact, folder, "sales")
-            sales = ops.sales_with_history(current, source("historical_customer_sales"))
-            top = stage(ops.top_customers(sales), folder, "top_customers")
-            reports = sales_outputs(sales, current, source("products"), top, ordered=ordered)
-            return write_datasets(reports, f"{output}/{job_name}")
+            history, seen = source("historical_customer_sales"), Observation()
+            counted = history.observe(seen, lost_count(ops.fact_types(current)).alias(REJECTED))
+            sums = ops.sales_by_month(ops.sales_with_history(current, counted))
+            monthly = stage(sums, folder, "sales_by_month")
+            rejected = _checked(seen.get[REJECTED], max_rejected)
+            sales = ops.sales_with_history(current, history)
+            top = stage(ops.top_customers(monthly), folder, "top_customers")
+            reports = sales_outputs(
+                sales, current, source("products"), top, monthly=monthly, ordered=ordered
+            )
+            counts = Counts(write_datasets(reports, f"{output}/{job_name}"))
+            counts.rejected = rejected
+            return counts
         finally:
             drop_staged(spark, folder)
 
-    return _audited(spark, job_name, audit_path, "customer_segmented", run)
+    return _audited(
+        spark,
+        job_name,
+        audit_path,
+        "customer_segmented",
+        run,
+        lambda: [source(name) for name in SALES_TABLES],
+        input_bytes,
+    )

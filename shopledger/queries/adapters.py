@@ -127,15 +127,11 @@ class Retail:
         )
 
     def logins(self) -> DataFrame:
-        """Error events as logins; the properties stand in for the address."""
-        return (
-            self.raw("events")
-            .filter(F.col("event_type") == "error")
-            .select(
-                F.col("user_id").alias("customer_id"),
-                F.col("ts").cast("date").alias("login_date"),
-                F.col("props").alias("ip_address"),
-            )
+        """Events as logins; the properties stand in for the address."""
+        return self.raw("events").select(
+            F.col("user_id").alias("customer_id"),
+            F.col("ts").cast("date").alias("login_date"),
+            F.col("props").alias("ip_address"),
         )
 
     def usage_history(self) -> DataFrame:
@@ -174,17 +170,13 @@ class Retail:
         )
 
     def support(self) -> DataFrame:
-        """Error events as tickets."""
+        """Events as tickets."""
         k = F.get_json_object("props", "$.k").cast("int")
-        return (
-            self.raw("events")
-            .filter(F.col("event_type") == "error")
-            .select(
-                F.col("user_id").alias("CustomerID"),
-                F.col("event_id").alias("TicketID"),
-                F.col("ts").alias("Timestamp"),
-                F.struct(_choose(k, "Open", "Resolved", "Pending").alias("Status")).alias("Issue"),
-            )
+        return self.raw("events").select(
+            F.col("user_id").alias("CustomerID"),
+            F.col("event_id").alias("TicketID"),
+            F.col("ts").alias("Timestamp"),
+            F.struct(_choose(k, "Open", "Resolved", "Pending").alias("Status")).alias("Issue"),
         )
 
     def orders_since(self, day: str) -> DataFrame:
@@ -199,9 +191,34 @@ class Retail:
         return sales_fact(orders, self.order_items(), self.products())
 
     def history(self) -> DataFrame:
-        """Sales before HISTORY_END in the stored form, dated by timestamps."""
+        """Sales before HISTORY_END in the stored form, dated by timestamps.
+
+        Stored amounts differ from the lines' own, so that reports show whether they
+        hold the stored half once.
+        """
         past = self.sales(self.orders_before(HISTORY_END))
-        return past.withColumn("order_date", F.col("order_date").cast("timestamp"))
+        return past.withColumns(
+            {
+                "order_date": F.col("order_date").cast("timestamp"),
+                "sales_amount": F.col("sales_amount") + F.lit("7.25").cast("decimal(10,2)"),
+            }
+        )
+
+    def dirty_history(self) -> DataFrame:
+        """Stored sales as text, with commas in some amounts and letters in some ids."""
+        key = F.col("order_id")
+        amount, customer = (F.col(n).cast("string") for n in ("sales_amount", "customer_id"))
+        return self.history().select(
+            F.when(key % 31 == 5, F.concat(F.lit("C"), customer))
+            .when(key % 37 != 6, customer)
+            .alias("customer_id"),
+            F.when(key % 29 == 4, F.replace(amount, F.lit("."), F.lit(",")))
+            .otherwise(amount)
+            .alias("sales_amount"),
+            F.col("order_date").cast("string").alias("order_date"),
+            (F.col("quantity").cast("bigint") * F.when(key % 41 == 7, 2_000_000_000).otherwise(1))
+            .alias("quantity"),
+        )
 
     def family_sales(self) -> DataFrame:
         """The fact with products grouped into 20 families, which sell every month."""

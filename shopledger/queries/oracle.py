@@ -67,11 +67,17 @@ SHAPED = {
         FROM lineitem
         JOIN shop_orders ON l_orderkey = order_id
         JOIN part ON l_partkey = p_partkey""",
+    "history": f"""
+        SELECT * REPLACE ((sales_amount + 7.25)::decimal(21,2) AS sales_amount)
+        FROM sales WHERE order_date < DATE '{HISTORY_END}'""",
+    "all_sales": f"""
+        SELECT * FROM sales WHERE order_date >= DATE '{HISTORY_END}'
+        UNION ALL SELECT * FROM history""",
     "products": """
         SELECT p_partkey AS product_id, p_name AS name, p_type AS category FROM part""",
     "logins": """
         SELECT user_id AS customer_id, ts::date AS login_date, props AS ip_address
-        FROM events WHERE event_type = 'error'""",
+        FROM events""",
     "keyed_events": """
         SELECT *, json_extract_string(props, '$.k')::int AS k FROM events""",
     "interactions": """
@@ -86,8 +92,9 @@ SHAPED = {
         WHERE event_type <> 'signup' AND k % 10 <> 9 AND step <= k % 10 % 3""",
     "tickets": """
         SELECT user_id AS "CustomerID", event_id AS "TicketID", ts AS "Timestamp",
-               CASE k % 3 WHEN 0 THEN 'Open' WHEN 1 THEN 'Resolved' ELSE 'Pending' END AS "Status"
-        FROM keyed_events WHERE event_type = 'error'""",
+               CASE k % 3 WHEN 0 THEN 'Open' WHEN 1 THEN 'Resolved' ELSE 'Pending' END AS "Status",
+               '{"Status":"' || "Status" || '"}' AS "Issue"
+        FROM keyed_events""",
     "spending": """
         SELECT customer_id, sum(total_amount)::decimal(20,2) AS total_spent,
                count(order_id) AS total_orders, max(order_date) AS last_purchase_date
@@ -160,10 +167,12 @@ _TOP_5 = """(SELECT customer_id FROM sales GROUP BY customer_id
 
 
 def _growth(current: str, previous: str) -> str:
-    # "+ 0" turns the -0.0 a tiny fall is rounded to into 0.0.
+    """Growth in percent by whole numbers: hundredths of cents, halves away from zero."""
+    change = f"(10000 * (({current} - {previous}) * 100)::hugeint)"
+    base = f"({previous} * 100)::hugeint"
     return (
-        f"round(100.0::double * ({current} - {previous})::double"
-        f" / nullif({previous}::double, 0), 2) + 0.0::double"
+        f"CASE WHEN {base} <> 0 THEN (sign({change}) * sign({base})"
+        f" * ((2 * abs({change}) + abs({base})) // (2 * abs({base}))))::double / 100 END"
     )
 
 
@@ -194,38 +203,92 @@ def _quality_row(name: str, key: str) -> str:
         FROM {name}"""
 
 
-def _count_row(output: str, query: str) -> str:
-    return f"SELECT '{output}' AS output, count(*) AS row_count FROM ({query})"
+def _sums(output: str, query: str, key: str, amount: str | None) -> str:
+    amount = f"sum({amount})" if amount else "NULL"
+    return f"""
+        SELECT '{output}' AS output, count(*) AS row_count,
+               sum({key})::decimal(38,0) AS key_sum, {amount}::decimal(38,2) AS amount_sum
+        FROM ({query})"""
 
 
-_DISTINCT_ROWS = {
-    "peak_sales_months": "SELECT DISTINCT order_year, order_month FROM sales",
-    "top_customers": f"""
-        SELECT DISTINCT customer_id, order_year, order_month, product_id
-        FROM sales WHERE customer_id IN {_TOP_5}""",
-    "customer_purchase_trend": """
-        SELECT DISTINCT customer_id, order_year, order_month FROM sales""",
-    "retention_rate_pct": "SELECT DISTINCT order_year FROM sales",
-    "month_over_month_growth_pct": """
-        SELECT DISTINCT product_id, order_year, order_month FROM sales""",
-    "yoy_comparison": f"""
-        SELECT DISTINCT customer_id, order_year, order_month, product_id
-        FROM sales WHERE customer_id IN {_TOP_5}""",
-    "customer_segmented": f"""
-        SELECT DISTINCT customer_id FROM sales WHERE order_date >= DATE '{HISTORY_END}'""",
-}
+_BEST = """SELECT customer_id FROM all_sales GROUP BY customer_id
+           ORDER BY sum(sales_amount) DESC, customer_id LIMIT 5"""
 
-_PUBLISHED = {
-    "customers": "SELECT * FROM cleaned_customers",
-    "orders": "SELECT * FROM cleaned_orders",
-    "order_items": "SELECT * FROM lineitem",
-    "products": "SELECT * FROM part",
-    "loginhistory": "SELECT * FROM logins",
-    "usage_history": "SELECT * FROM events",
-    "customersupport": "SELECT * FROM tickets",
-    "enterprisecampaigns": "SELECT * FROM events",
-    "historical_customer_sales": f"SELECT * FROM sales WHERE order_date < DATE '{HISTORY_END}'",
-}
+# The seven reports over current and stored sales, as far as their sums need them.
+_REPORTS = [
+    (
+        "peak_sales_months",
+        """SELECT strftime(order_date, '%Y-%m') AS year_month, sum(sales_amount) AS amount
+           FROM all_sales GROUP BY 1""",
+        "length(year_month)",
+        "amount",
+    ),
+    (
+        "top_customers",
+        f"""SELECT customer_id, order_year, order_month, product_id, count(*) AS lines,
+                   sum(sales_amount) AS amount
+            FROM all_sales WHERE customer_id IN ({_BEST}) GROUP BY ALL""",
+        "product_id * lines",
+        "amount",
+    ),
+    (
+        "customer_purchase_trend",
+        """SELECT customer_id, order_year, order_month, count(DISTINCT order_id) AS orders,
+                  sum(sales_amount) AS amount
+           FROM all_sales GROUP BY ALL""",
+        "customer_id * orders",
+        "amount",
+    ),
+    (
+        "retention_rate_pct",
+        """SELECT now.order_year, count(DISTINCT before.customer_id) AS retained
+           FROM all_sales now LEFT JOIN (SELECT DISTINCT customer_id, order_year FROM all_sales)
+             before ON now.customer_id = before.customer_id
+                   AND now.order_year = before.order_year + 1
+           GROUP BY 1""",
+        "retained",
+        None,
+    ),
+    (
+        "month_over_month_growth_pct",
+        """SELECT product_id, order_year, order_month, sum(quantity) AS quantity,
+                  sum(sales_amount) AS amount
+           FROM all_sales GROUP BY ALL""",
+        "product_id * quantity",
+        "amount",
+    ),
+    (
+        "yoy_comparison",
+        f"""SELECT customer_id, product_id, order_year, order_month, sum(sales_amount) AS amount
+            FROM all_sales WHERE customer_id IN ({_BEST}) GROUP BY ALL""",
+        "product_id * order_month",
+        "amount",
+    ),
+    (
+        "customer_segmented",
+        f"""SELECT customer_id, count(order_id) AS lines, sum(sales_amount) AS amount
+            FROM sales WHERE order_date >= DATE '{HISTORY_END}' GROUP BY 1""",
+        "customer_id * lines",
+        "amount",
+    ),
+]
+
+_PUBLISHED = [
+    ("customers", "SELECT * FROM cleaned_customers", "customer_id", None),
+    ("orders", "SELECT * FROM cleaned_orders", "order_id", "total_amount"),
+    (
+        "order_items",
+        "SELECT l_orderkey, l_extendedprice::decimal(10,2) AS price FROM lineitem",
+        "l_orderkey",
+        "price",
+    ),
+    ("products", "SELECT * FROM part", "p_partkey", None),
+    ("loginhistory", "SELECT * FROM logins", "customer_id", None),
+    ("usage_history", "SELECT * FROM events", "user_id", None),
+    ("customersupport", "SELECT * FROM tickets", '"TicketID"', None),
+    ("enterprisecampaigns", "SELECT * FROM events", "user_id", None),
+    ("historical_customer_sales", "SELECT * FROM history", "order_id", "sales_amount"),
+]
 
 _RANKED_2024 = """
         SELECT 1 FROM (
@@ -273,7 +336,20 @@ ORACLE: dict[str, str] = {
         _PROFILE_TABLES, _PROFILE.format(columns=", ".join(_MEASURES))
     ),
     "sales_fact": _with("shop_orders sales", "SELECT * FROM sales"),
-    "sales_with_history": _with("shop_orders sales", "SELECT * FROM sales"),
+    "sales_with_history": _with(
+        "shop_orders sales history all_sales", "SELECT * FROM all_sales"
+    ),
+    "rejected_values": _with(
+        "shop_orders sales history",
+        """SELECT 'customer_id' AS column_name,
+                  count(*) FILTER (order_id % 31 = 5) AS rejected FROM history
+           UNION ALL
+           SELECT 'order_date', 0
+           UNION ALL
+           SELECT 'quantity', count(*) FILTER (order_id % 41 = 7 AND quantity > 1) FROM history
+           UNION ALL
+           SELECT 'sales_amount', count(*) FILTER (order_id % 29 = 4) FROM history""",
+    ),
     "peak_sales_months": _with(
         "shop_orders sales",
         """SELECT strftime(order_date, '%Y-%m') AS year_month,
@@ -355,7 +431,7 @@ ORACLE: dict[str, str] = {
                        WHEN count(order_id) >= 5 AND sum(sales_amount) >= 500
                        THEN 'Regular Customer'
                        ELSE 'Occasional Buyer' END AS customer_segment
-           FROM sales WHERE order_date >= DATE '2001-01-01' GROUP BY customer_id""",
+           FROM sales GROUP BY customer_id""",
     ),
     "data_quality_report": _with(
         "dirty_customers shop_orders dirty_orders",
@@ -373,12 +449,12 @@ ORACLE: dict[str, str] = {
     ),
     "publish_passthrough": _with(
         "dirty_customers cleaned_customers shop_orders dirty_orders cleaned_orders "
-        "sales logins keyed_events tickets",
-        "\nUNION ALL\n".join(_count_row(*item) for item in _PUBLISHED.items()),
+        "sales history logins keyed_events tickets",
+        "\nUNION ALL\n".join(_sums(*item) for item in _PUBLISHED),
     ),
     "sales_reports": _with(
-        "shop_orders sales",
-        "\nUNION ALL\n".join(_count_row(*item) for item in _DISTINCT_ROWS.items()),
+        "shop_orders sales history all_sales",
+        "\nUNION ALL\n".join(_sums(*item) for item in _REPORTS),
     ),
     "audit_log": _with(
         "shop_customers shop_orders shifted_orders logins keyed_events interactions tickets",

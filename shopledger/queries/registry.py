@@ -7,6 +7,7 @@ over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,8 @@ from shopledger.session import tune
 from shopledger.sources import (
     drop_staged,
     read_audit_log,
+    read_parquet,
     read_path,
-    rows,
     stage,
     staging_folder,
     write_dataset,
@@ -101,7 +102,8 @@ def campaign_interactions(t: Retail) -> DataFrame:
 
 @_query
 def support_tickets(t: Retail) -> DataFrame:
-    return ops.flatten_support_tickets(t.support()).drop("Issue")
+    tickets = ops.flatten_support_tickets(t.support())
+    return tickets.withColumn("Issue", F.to_json("Issue"))
 
 
 def _engagement(t: Retail, zero_fill: bool) -> DataFrame:
@@ -171,7 +173,7 @@ def yoy_comparison_by_family(t: Retail) -> DataFrame:
 
 @_query
 def customer_segments(t: Retail) -> DataFrame:
-    return ops.customer_segments(t.sales(t.orders_since("2001-01-01")))
+    return ops.customer_segments(t.sales())
 
 
 @_query
@@ -182,14 +184,67 @@ def data_quality_report(t: Retail) -> DataFrame:
     return ops.data_quality_report(tables)
 
 
+# Published tables and report files with what is summed over them: a key and an amount.
+PUBLISHED: dict[str, tuple[str, str | None]] = {
+    "customers": ("customer_id", None),
+    "orders": ("order_id", "total_amount"),
+    "order_items": ("order_id", "unit_price"),
+    "products": ("product_id", None),
+    "loginhistory": ("customer_id", None),
+    "usage_history": ("customer_id", None),
+    "customersupport": ("TicketID", None),
+    "enterprisecampaigns": ("CustomerID", None),
+    "historical_customer_sales": ("order_id", "sales_amount"),
+}
+
+REPORTS: dict[str, tuple[str, str | None]] = {
+    "peak_sales_months": ("length(year_month)", "monthly_product_sales"),
+    "top_customers": ("product_id * product_count", "monthly_sales"),
+    "customer_purchase_trend": ("customer_id * orders_per_month", "monthly_spent"),
+    "retention_rate_pct": ("retained_customers", None),
+    "month_over_month_growth_pct": ("product_id * total_quantity_sold", "total_sales_amount"),
+    "yoy_comparison": ("product_id * sales_month", "monthly_sales"),
+    "customer_segmented": ("customer_id * purchase_count", "total_spent"),
+}
+
+
+def _contents(
+    outputs: dict[str, DataFrame], sums: dict[str, tuple[str, str | None]]
+) -> DataFrame:
+    """Per output: rows, the sum of a whole-number expression, and that of an amount."""
+    rows = []
+    for name, df in outputs.items():
+        key, amount = sums[name]
+        amount = F.sum(amount).cast("decimal(38,2)") if amount else F.lit(None)
+        rows.append(
+            df.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.sum(F.expr(key)).cast("decimal(38,0)").alias("key_sum"),
+                amount.cast("decimal(38,2)").alias("amount_sum"),
+            ).withColumn("output", F.lit(name))
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _kept(df: DataFrame) -> DataFrame:
     """A report of a few rows, held on the driver so that its files can be dropped."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
+@_query
+def rejected_values(t: Retail) -> DataFrame:
+    """How many stored values of each column do not fit the sales fact."""
+    history = t.dirty_history()
+    types = {n: k for n, k in ops.fact_types(t.sales()).items() if n in history.columns}
+    return ops.rejected_values(history, types)
+
+
 @_query
 def csv_round_trip(t: Retail) -> DataFrame:
-    """Orders written as CSV with a header and read back as text."""
+    """Orders written as CSV with a header and read back as text.
+
+    The result reads the files, so their folder stays until the application ends.
+    """
     path = f"{staging_folder(t.spark)}/orders"
     write_dataset(t.orders(), path, fmt="csv", options={"header": "true"})
     return read_path(t.spark, path)
@@ -213,7 +268,7 @@ def _source(t: Retail) -> Callable[[str], DataFrame]:
 
 @_query
 def publish_passthrough(t: Retail) -> DataFrame:
-    """Row counts of the nine tables the preprocessing job publishes, read from the catalog."""
+    """Rows and sums of the nine tables the preprocessing job publishes, from the catalog."""
     folder, database = staging_folder(t.spark), f"silver_{uuid4().hex}"
     t.spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/warehouse'")
     try:
@@ -225,9 +280,12 @@ def publish_passthrough(t: Retail) -> DataFrame:
             f"{folder}/audit_log",
             as_of="2000-12-31",
         )
-        published = {name: (t.spark.read.table(f"{database}.{name}"), None) for name in counts}
-        report = ops.data_quality_report(published)
-        return _kept(report.select(F.col("table_name").alias("output"), "row_count"))
+        return _kept(
+            _contents(
+                {name: t.spark.read.table(f"{database}.{name}") for name in counts},
+                PUBLISHED,
+            )
+        )
     finally:
         t.spark.sql(f"DROP DATABASE {database} CASCADE")
         drop_staged(t.spark, folder)
@@ -235,7 +293,7 @@ def publish_passthrough(t: Retail) -> DataFrame:
 
 @_query
 def sales_reports(t: Retail) -> DataFrame:
-    """Row counts of the seven reports the sales job writes.
+    """Rows and sums of the seven reports the sales job writes, read back.
 
     History is stored first, as it is wherever the job runs.
     """
@@ -247,12 +305,12 @@ def sales_reports(t: Retail) -> DataFrame:
             "products": t.products(),
             "historical_customer_sales": stage(t.history(), folder, "history"),
         }
-        counts = plans.sales_trends_job(
-            t.spark, tables.__getitem__, f"{folder}/gold", f"{folder}/audit_log"
-        )
+        gold = f"{folder}/gold"
+        plans.sales_trends_job(t.spark, tables.__getitem__, gold, f"{folder}/audit_log")
+        reports = {name: read_parquet(t.spark, f"{gold}/sales_trends/{name}") for name in REPORTS}
+        return _kept(_contents(reports, REPORTS))
     finally:
         drop_staged(t.spark, folder)
-    return rows(t.spark, counts.items(), "output string, row_count bigint")
 
 
 @_query

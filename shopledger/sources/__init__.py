@@ -9,7 +9,7 @@ from shopledger.sources.reading import (
     read_table,
     rows,
 )
-from shopledger.sources.schemas import SCHEMAS, conform
+from shopledger.sources.schemas import SCHEMAS, column_types, conform
 from shopledger.sources.staging import drop_staged, stage, staging_folder
 from shopledger.sources.writing import publish_table, write_dataset, write_datasets
 
@@ -17,6 +17,7 @@ __all__ = [
     "AUDIT_SCHEMA",
     "SCHEMAS",
     "catalog_source",
+    "column_types",
     "conform",
     "directory_source",
     "drop_staged",

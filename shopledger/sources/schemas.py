@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopledger.functions.casts import Types, fitted
+
 _INTERACTION = "struct<InteractionID:bigint,Timestamp:timestamp,Channel:string,Action:string>"
 
 SCHEMAS = {
@@ -41,7 +42,12 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     """``df`` with exactly the columns and types of ``table``.
 
     Meant for untyped sources such as CSV. A missing column raises when the
-    plan is analysed; a value that does not fit its type becomes NULL.
+    plan is analysed; a value that does not fit its type becomes NULL, and
+    ``rejected_values(df, column_types(table))`` counts those.
     """
-    schema = T.StructType.fromDDL(SCHEMAS[table])
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*fitted(column_types(table)))
+
+
+def column_types(table: str) -> Types:
+    """The columns of ``table`` with their types."""
+    return {f.name: f.dataType for f in T.StructType.fromDDL(SCHEMAS[table])}

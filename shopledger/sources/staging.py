@@ -17,14 +17,20 @@ def staging_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``.
 
     Without that setting a local session (tests) gets a temporary folder; a
-    cluster gets an error, because its machines share no local folder.
+    cluster gets an error, because its machines share no local folder. What is left
+    of the folder when the application ends is deleted then.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix="shopledger-")
-    return f"{root.rstrip('/')}/shopledger-{uuid4().hex}"
+        folder = tempfile.mkdtemp(prefix="shopledger-")
+    else:
+        folder = f"{root.rstrip('/')}/shopledger-{uuid4().hex}"
+    path, files = _file_system(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -36,6 +42,11 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 def drop_staged(spark: SparkSession, folder: str) -> None:
     """Deletes a folder made by ``staging_folder``."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path, files = _file_system(spark, folder)
+    files.delete(path, True)
+    files.cancelDeleteOnExit(path)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

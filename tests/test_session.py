@@ -1,12 +1,66 @@
-from shopledger.session import GB, MAX_REDUCERS, sized_for
+import pytest
+from conftest import plan
+from pyspark.sql import functions as F
 
-REDUCERS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+from shopledger import plans
+from shopledger.session import GB, REDUCERS, SPLITS, input_bytes_of, sized, sized_for
+from shopledger.sources import read_audit_log
 
 
-def test_reducers_grow_with_the_input():
+def test_reducers_grow_with_the_input_without_a_limit():
     assert sized_for(0)[REDUCERS] == "200"
     assert sized_for(10_000 * GB)[REDUCERS] == "10000"
-    assert sized_for(10**17)[REDUCERS] == str(MAX_REDUCERS)
+    assert sized_for(100_000 * GB)[REDUCERS] == "100000"
+    assert sized_for(100_000 * GB, bytes_per_reducer=4 * GB)[REDUCERS] == "25000"
+    assert sized_for(100_000 * GB, splits=100_000)[SPLITS] == str(GB)
+
+
+def test_sizes_hold_for_a_block_and_are_put_back(spark):
+    before = spark.conf.get(REDUCERS, None), spark.conf.get(SPLITS)
+    with sized(spark, 700 * GB):
+        assert spark.conf.get(REDUCERS) == "700"
+    assert (spark.conf.get(REDUCERS, None), spark.conf.get(SPLITS)) == before
+    with pytest.raises(KeyError), sized(spark, 700 * GB):
+        raise KeyError
+    assert (spark.conf.get(REDUCERS, None), spark.conf.get(SPLITS)) == before
+    with sized(spark, None):
+        assert spark.conf.get(REDUCERS, None) == before[0]
+
+
+def test_absent_launch_settings_are_told(spark):
+    with pytest.warns(UserWarning, match="accurateBlockSkewedFactor"), sized(spark, 5000 * GB):
+        pass
+
+
+def test_input_size_is_that_of_the_scans(spark, tmp_path):
+    spark.range(100_000).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    size = input_bytes_of([table])
+    assert size > 100_000
+    joined = table.join(table.withColumnRenamed("id", "other"), table.id % 7 == F.col("other") % 7)
+    assert input_bytes_of([joined]) == 2 * size
+    assert input_bytes_of([table, table.limit(5)]) == 2 * size
+
+
+def test_a_job_over_a_large_source_gets_its_reducers(spark, tmp_path):
+    orders = spark.createDataFrame(
+        [("a", "1", "2024-01-01"), ("a", "2", "2024-01-11")],
+        "customer_id string, order_id string, order_date string",
+    )
+    seen = []
+
+    def source(name):
+        seen.append(spark.conf.get(REDUCERS, None))
+        return orders
+
+    plans.churn_job(
+        spark, source, f"{tmp_path}/gold", f"{tmp_path}/log", as_of="2024-05-31",
+        input_bytes=321 * GB,
+    )
+    assert seen == ["321"] and spark.conf.get(REDUCERS, None) != "321"
+    with sized(spark, 321 * GB):
+        assert ", 321)" in plan(orders.groupBy("customer_id").count())
+    assert read_audit_log(spark, f"{tmp_path}/log").first()["status"] == "SUCCESS"
 
 
 def test_sizes_are_valid_settings(spark, conf):

@@ -1,9 +1,13 @@
+import random
+from decimal import ROUND_HALF_UP
 from decimal import Decimal as D
 
 import pytest
 from conftest import bag, day, plan, tuples
+from pyspark.sql import functions as F
 
 from shopledger import operators as ops
+from shopledger.functions.measures import growth_pct
 
 SALES = (
     "order_id bigint, customer_id bigint, order_date date, product_id bigint, quantity int, "
@@ -80,6 +84,74 @@ def test_repeated_product_rows_count_like_a_plain_join(spark):
     ]
 
 
+def test_a_given_top_list_counts_whole(spark, products):
+    df = sales(spark, *[line(i, i, "2024-01-05", 1, str(i + 1)) for i in range(15)])
+    ids = [(i,) for i in range(12)] + [(3,)]  # a repeated id multiplies nothing
+    top = spark.createDataFrame(ids, "customer_id bigint")
+    for report in (ops.top_customer_monthly_products, ops.yoy_comparison):
+        found = [row["customer_id"] for row in report(df, products, top=top).collect()]
+        assert sorted(found) == list(range(12))
+        analysed = report(df, products, top=top)._jdf.queryExecution().analyzed().toString()
+        assert "broadcast" not in analysed
+
+
+def test_growth_rounds_every_tie_away_from_zero(spark):
+    """Pairs whose growth ends in half a hundredth, rising and falling."""
+    rng = random.Random(0)
+    pairs = []
+    for base in (40, 100_000, 200_000, 12_800, 4_000_000):  # cents
+        for _ in range(1500):
+            halves = 2 * rng.randint(-9000, 9000) + 1  # growth in halves of a hundredth
+            change, rest = divmod(halves * base, 20_000)
+            if not rest and base + change > 0:
+                pairs.append((base, base + change))
+    for _ in range(2000):
+        pairs.append((rng.randint(1, 10**9), rng.randint(1, 10**9)))
+    cents = [(D(a) / 100, D(b) / 100) for a, b in pairs]
+    assert len(pairs) > 4000
+    table = spark.createDataFrame(cents, "previous decimal(31,2), current decimal(31,2)")
+    found = table.select("previous", "current", growth_pct(F.col("current"), F.col("previous")))
+    for previous, current, growth in tuples(found):
+        exact = (100 * (current - previous) / previous).quantize(D("0.01"), ROUND_HALF_UP)
+        assert D(repr(growth)).quantize(D("0.01")) == exact, (previous, current)
+
+
+def test_growth_without_a_base(spark):
+    table = spark.createDataFrame(
+        [(D("0.00"), D("5.00")), (None, D("5.00")), (D("5.00"), None)],
+        "previous decimal(31,2), current decimal(31,2)",
+    )
+    found = table.select(growth_pct(F.col("current"), F.col("previous")))
+    assert tuples(found) == [(None,)] * 3
+
+
+def test_reports_on_monthly_sums_equal_those_on_the_fact(spark, products):
+    rng = random.Random(1)
+    lines = [
+        line(
+            rng.randint(1, 60), rng.randint(1, 9), f"20{rng.randint(20, 23)}-{rng.randint(1, 12):02d}-11",
+            rng.randint(1, 3), None if rng.random() < 0.1 else str(rng.randint(1, 99)), rng.randint(1, 4),
+        )
+        for _ in range(400)
+    ]
+    lines += [(7, 3, None, 1, 2, D("5"), D("5"), None, None), (8, None, None, None, 1, None, None, 2021, 3)]
+    # The stored year may differ from the date's.
+    lines += [(9, 4, day("2022-05-06"), 2, 1, D("9"), D("9"), 2021, 4)]
+    df = sales(spark, *lines)
+    repeated = products.unionAll(products.limit(1))
+    monthly = ops.sales_by_month(df)
+    for report in (
+        ops.peak_sales_months,
+        ops.top_customers,
+        ops.retention_rate,
+        lambda s: ops.product_mom_growth(s, repeated),
+        lambda s: ops.top_customer_monthly_products(s, repeated),
+        lambda s: ops.yoy_comparison(s, repeated),
+    ):
+        assert report(monthly).schema == report(df).schema
+        assert bag(report(monthly)) == bag(report(df))
+
+
 def test_wide_top_lists_are_not_broadcast(spark, products):
     df = sales(spark, line(1, 1, "2024-01-05", 1, "5"))
     limit = ops.trends.BROADCAST_TOP_N
