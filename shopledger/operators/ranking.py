@@ -2,12 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopledger.functions.dates import AsOf, in_trailing_days
 
 
+# Spark cuts windows to their best ranks before the shuffle up to this many.
+CUT_BEFORE_SHUFFLE = 1000
+
+# Totals whose logarithms agree to this part of a power of two share a cell.
+CELLS_PER_DOUBLING = 4096
+
+
+def _ranks(placed: DataFrame, top_n: int) -> DataFrame:
+    """(rank_country, rank_total, spending_rank) of the totals ranked up to ``top_n``.
+
+    Few ranks: each task keeps its own best totals of a country, so a country's window
+    sees that many rows a task. Many ranks: a country's totals are dealt into cells by
+    size, which order them; a cell's rank starts after the customers in the cells above
+    it. No task then holds more of a country than one cell's totals, or one row a cell.
+    """
+    totals = placed.groupBy("country", "total_spent").agg(F.count(F.lit(1)).alias("n"))
+    best_first = F.desc_nulls_last("total_spent")
+    before = (Window.unboundedPreceding, -1)
+
+    def sum_before(window) -> Column:
+        return F.coalesce(F.sum("n").over(window.rowsBetween(*before)), F.lit(0))
+
+    if top_n <= CUT_BEFORE_SHUFFLE:
+        by_spend = Window.partitionBy("country").orderBy(best_first)
+        best = totals.withColumn("place", F.rank().over(by_spend)).filter(F.col("place") <= top_n)
+        ranked = best.withColumn("spending_rank", sum_before(by_spend) + 1)
+    else:
+        size = F.col("total_spent").cast("double")
+        cell = F.floor(F.signum(size) * F.log2(1 + F.abs(size)) * CELLS_PER_DOUBLING)
+        dealt = totals.withColumn("cell", cell)
+        down = Window.partitionBy("country").orderBy(F.desc_nulls_last("cell"))
+        above = (
+            dealt.groupBy("country", "cell")
+            .agg(F.sum("n").alias("n"))
+            .select(
+                F.col("country").alias("above_country"),
+                F.col("cell").alias("above_cell"),
+                sum_before(down).alias("above"),
+            )
+        )
+        within = Window.partitionBy("country", "cell").orderBy(best_first)
+        ranked = dealt.withColumn("ahead", sum_before(within)).join(
+            above.filter(F.col("above") < top_n),
+            F.col("country").eqNullSafe(F.col("above_country"))
+            & F.col("cell").eqNullSafe(F.col("above_cell")),
+        ).withColumn("spending_rank", F.col("above") + F.col("ahead") + 1)
+    return ranked.filter(F.col("spending_rank") <= top_n).select(
+        F.col("country").alias("rank_country"),
+        F.col("total_spent").alias("rank_total"),
+        F.col("spending_rank").cast("int").alias("spending_rank"),
+    )
+
+
 def top_customers_by_country(
     orders: DataFrame,
     customers: DataFrame,
@@ -25,8 +78,9 @@ def top_customers_by_country(
     instead of the report shape.
 
     Ranks are per country, so the country filter goes straight to the customer
-    scan. The rank limit becomes a WindowGroupLimit, which cuts each task down
-    to its own best ``top_n`` ranks before the shuffle by country.
+    scan. Ranks are found over the different totals of a country, each with its number
+    of customers, and then joined back: however many customers share a total, they
+    are one row until then. See ``_ranks`` for how a large country is split.
     """
     spending = (
         orders.filter(in_trailing_days(orders, "order_date", as_of, days))
@@ -39,12 +93,13 @@ def top_customers_by_country(
     )
     if country_pattern is not None:
         customers = customers.filter(F.col("country").like(country_pattern))
-    by_spend = Window.partitionBy("country").orderBy(F.desc("total_spent"))
-    ranked = (
-        spending.join(customers, "customer_id")
-        .withColumn("spending_rank", F.rank().over(by_spend))
-        .filter(F.col("spending_rank") <= top_n)
-    )
+    placed = spending.join(customers, "customer_id")
+    ranks = _ranks(placed, top_n)
+    ranked = placed.join(
+        ranks,
+        placed["country"].eqNullSafe(ranks["rank_country"])
+        & placed["total_spent"].eqNullSafe(ranks["rank_total"]),
+    ).drop("rank_country", "rank_total")
     if all_columns:
         return ranked
     return ranked.select(

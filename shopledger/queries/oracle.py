@@ -313,6 +313,15 @@ ORACLE: dict[str, str] = {
                   total_spent, total_orders, last_purchase_date, spending_rank
            FROM ranked WHERE spending_rank <= 10""",
     ),
+    "customer_ranks": _with(
+        "shop_customers shop_orders",
+        """SELECT country, customer_id, total_spent,
+                  rank() OVER (PARTITION BY country ORDER BY total_spent DESC)::int
+                      AS spending_rank
+           FROM (SELECT customer_id, sum(total_amount)::decimal(20,2) AS total_spent
+                 FROM shop_orders WHERE order_date >= DATE '2001-08-01' - 3650 GROUP BY 1)
+           JOIN shop_customers USING (customer_id)""",
+    ),
     "top_customers_all_columns": _with(
         "shop_customers shop_orders spending ranked",
         "SELECT * FROM ranked WHERE spending_rank <= 10",

@@ -62,6 +62,16 @@ def top_customers_by_country(t: Retail) -> DataFrame:
     )
 
 
+@_query
+def customer_ranks(t: Retail) -> DataFrame:
+    """Ranks of all customers, of whatever country."""
+    found = ops.top_customers_by_country(
+        t.orders(), t.customers(), as_of="2001-08-01", days=3650, top_n=100_000,
+        country_pattern=None,
+    )
+    return found.select("country", "customer_id", "total_spent", "spending_rank")
+
+
 @_query
 def top_customers_all_columns(t: Retail) -> DataFrame:
     return ops.top_customers_by_country(

@@ -195,3 +195,49 @@ def test_hot_country_is_cut_before_the_shuffle(spark):
     best = [r.customer_id for r in found.filter("country = 'United A'").orderBy("spending_rank").collect()]
     assert best == list(range(29_997, 29_967, -3))
     assert found.count() == 10 * 51
+
+
+@pytest.mark.parametrize("same_total", [False, True])
+def test_many_ranks_of_one_country(spark, tmp_path, same_total):
+    """60,000 customers of one country and 5,000 ranks: exact, and in parts."""
+    n, top_n = 60_000, 5_000
+    customers = spark.range(n).select(
+        F.col("id").alias("customer_id"), F.lit("a").alias("first_name"),
+        F.lit("b").alias("last_name"), F.lit("e").alias("email"),
+        F.lit("United A").alias("country"),
+    )
+    total = F.lit(5) if same_total else F.col("id") - F.col("id") % 2 - 20_000
+    orders = spark.range(n).select(
+        F.col("id").alias("order_id"), F.col("id").alias("customer_id"),
+        F.lit("2024-03-01").cast("date").alias("order_date"),
+        F.when(F.col("id") != 7, total).cast("decimal(10,2)").alias("total_amount"),
+    )
+    found = ops.top_customers_by_country(orders, customers, as_of="2024-03-20", top_n=top_n)
+    ranks = {r["customer_id"]: r["spending_rank"] for r in found.collect()}
+    if same_total:
+        assert ranks == {i: 1 for i in range(n) if i != 7}
+        return
+    assert ranks == {i: n - i - i % 2 - 1 + 2 * (i % 2) for i in range(n - top_n, n)}
+    # The windows by country see cells; those by cell see a small part of the totals.
+    totals = spark.range(n // 2).select((F.col("id") * 2.0 - 20_000).alias("t"))
+    cell = F.floor(F.signum("t") * F.log2(1 + F.abs("t")) * ops.ranking.CELLS_PER_DOUBLING)
+    largest = totals.groupBy(cell.alias("cell")).count().agg(F.max("count")).first()[0]
+    assert largest < n / 1000
+
+
+def test_few_ranks_with_one_total_for_all(spark):
+    customers = spark.range(20_000).select(
+        F.col("id").alias("customer_id"), F.lit("a").alias("first_name"),
+        F.lit("b").alias("last_name"), F.lit("e").alias("email"),
+        F.when(F.col("id") % 2 == 0, "United A").alias("country"),
+    )
+    orders = spark.range(20_000).select(
+        F.col("id").alias("order_id"), F.col("id").alias("customer_id"),
+        F.lit("2024-03-01").cast("date").alias("order_date"),
+        F.lit(None).cast("decimal(10,2)").alias("total_amount"),
+    )
+    found = ops.top_customers_by_country(
+        orders, customers, as_of="2024-03-20", country_pattern=None
+    )
+    counts = found.groupBy("country", "spending_rank").count().collect()
+    assert {tuple(r) for r in counts} == {("United A", 1, 10_000), (None, 1, 10_000)}
