@@ -8,11 +8,13 @@ replaced by pseudonyms, and the texts that stay are encoded as pieces and decode
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.llm import decontaminate, langid, pieces, pii, simhash
+from shopledger.llm.batches import small_batches
 from shopledger.llm.queries import PII_KEY, tokenizer_file
 from shopledger.session import tune
 from shopledger.sources.staging import stage, staging_folder
@@ -20,27 +22,42 @@ from shopledger.sources.staging import stage, staging_folder
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _stage(build: Stage) -> Stage:
+    """A stage that sets the session up before it builds its plan."""
+
+    @wraps(build)
+    def prepared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return build(small_batches(tune(spark)), docs, sf_dir)
+
+    return prepared
+
+
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is accepted, by dictionaries from a sample of ``docs``."""
     return langid.keep_accepted(docs, langid.fit(docs))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates."""
-    return simhash.keep_one_of_each(docs, staging_folder(tune(spark)))
+    return simhash.keep_one_of_each(docs, staging_folder(spark))
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item occurs."""
     return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms in the text; ``n_chars`` follows the new text."""
     found = pii.pseudonymise(docs, PII_KEY)
     return found.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
+@_stage
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document and the text they decode to."""
     found = pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), decoded=True)

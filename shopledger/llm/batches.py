@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows are worked on in slices of about this much text, so that memory follows the
@@ -16,6 +16,17 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 
 
+# What Spark hands to Python at one time. By its default, 64 MB, a worker and its
+# executor would hold several such batches.
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session with batches of bounded size, for tables with long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 @dataclass(frozen=True)
 class Fields:
     """The columns an operator reads; all others are ignored or passed through."""

@@ -28,10 +28,10 @@ from shopledger.llm.batches import Fields, keyed_texts, slices, texts_of
 MARK = "\u2581"
 
 # Texts encoded together: their distinct words are sorted and walked at one time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 # Remembered pairs of pieces; beyond it the memory starts anew.
-MAX_PAIRS = 2_000_000
+MAX_PAIRS = 500_000
 
 _WORDS = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
@@ -96,7 +96,7 @@ class PieceModel:
             for ch in piece:
                 node = node.setdefault(ch, {})
             node[""] = at
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
 
     def _merged(self, text: str) -> list[str]:
@@ -122,7 +122,7 @@ class PieceModel:
             own = self.alone[piece] = self._merged(self.texts[piece]) == [self.texts[piece]]
         if not own or before is None or before < 0:
             return own
-        pair = (before, piece)
+        pair = before * len(self.scores) + piece
         found = self.pairs.get(pair)
         if found is None:
             if len(self.pairs) >= MAX_PAIRS:
@@ -247,13 +247,9 @@ def encode(
                 ]
                 names = ["key", "n_pieces", "ids"]
                 if decoded:
-                    all_ids = ids.tolist()
-                    arrays.append(
-                        pa.array(
-                            [pieces.decode(all_ids[i:j]) for i, j in zip(offsets, offsets[1:])],
-                            pa.string(),
-                        )
-                    )
+                    spans = zip(offsets.tolist(), offsets[1:].tolist())
+                    texts = [pieces.decode(ids[i:j].tolist()) for i, j in spans]
+                    arrays.append(pa.array(texts, pa.string()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(arrays, names)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.llm import decontaminate, htmltext, langid, lm, pieces, pii, simhash, tokenfiles, topk, toxicity
+from shopledger.llm.batches import small_batches
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
 
@@ -19,7 +20,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def _query(build: Query) -> Query:
-    QUERIES[build.__name__] = lambda spark, folder: build(tune(spark), folder)
+    QUERIES[build.__name__] = lambda spark, folder: build(small_batches(tune(spark)), folder)
     return build
 
 
