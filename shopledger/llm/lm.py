@@ -17,6 +17,10 @@ its training texts: sorted hashes and counts, packed by slices of the hash range
 slice adds up what all blocks tell and answers each. So a block gets the part of the
 automaton its texts can reach, with counts of the whole corpus, and no table of
 n-grams is ever in one place. Words have 64-bit hashes, longer n-grams 48-bit ones.
+
+Words and pairs are asked for together, longer n-grams by order in rounds of their own:
+another block has an n-gram only if it has both shorter ones in it, which the answers of
+the round before tell. Of the rest a block knows the whole count itself.
 """
 
 from __future__ import annotations
@@ -53,8 +57,8 @@ class Settings:
     """
 
     order: int = ORDER
-    block_bytes: int = 6 << 20
-    blocks_per_slice: int = 4
+    block_bytes: int = 2 << 20
+    blocks_per_slice: int = 12
     sample_blocks: int = 8
 
 
@@ -129,6 +133,17 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, where each occurs, and for each value its place among them."""
+    order = np.argsort(values)
+    in_order = values[order]
+    first = np.ones(len(values), bool)
+    first[1:] = in_order[1:] != in_order[:-1]
+    inverse = np.empty(len(values), np.int64)
+    inverse[order] = np.cumsum(first) - 1
+    return in_order[first], order[first], inverse
+
+
 def _bits(order: int) -> int:
     return 64 if order == 1 else 48
 
@@ -189,20 +204,15 @@ class BlockTexts:
             below = self.grams[-1]
             whole = depth >= n - 1
             end = np.nonzero(whole)[0]
-            code = below.at[end - 1] * self.n_words + self.text[end]
-            distinct, where, inverse = np.unique(code, return_index=True, return_inverse=True)
-            sample = end[where]
-            hashed = _joined(below.hashes[below.at[sample - 1]], hashes[self.text[sample]])
+            hashed = _joined(below.hashes[below.at[end - 1]], hashes[self.text[end]])
             hashed >>= np.uint64(64 - _bits(n))
-            order_ = np.argsort(hashed, kind="stable")
-            rank = np.empty_like(order_)
-            rank[order_] = np.arange(len(order_))
+            distinct, sample, inverse = _distinct(hashed)
+            sample = end[sample]
             at = np.full(len(self.text), -1, np.int64)
-            at[end] = rank[inverse]
-            sample = sample[order_]
-            counts = np.bincount(at[end][in_train[end]], minlength=len(order_))
+            at[end] = inverse
+            counts = np.bincount(inverse[in_train[end]], minlength=len(distinct))
             self.grams.append(
-                Grams(hashed[order_], counts, below.at[sample - 1], below.at[sample], self.text[sample], at)
+                Grams(distinct, counts, below.at[sample - 1], below.at[sample], self.text[sample], at)
             )
 
 
@@ -233,29 +243,50 @@ def _slice_bounds(order: int, slices_: int) -> np.ndarray:
     return np.array([top * i // slices_ for i in range(slices_)], np.uint64)
 
 
-def _cuts(grams: Grams, order: int, slices_: int) -> np.ndarray:
-    found = np.searchsorted(grams.hashes, _slice_bounds(order, slices_), "left")
-    return np.append(found, len(grams.hashes))
+def _cuts(hashes: np.ndarray, order: int, slices_: int) -> np.ndarray:
+    return np.append(np.searchsorted(hashes, _slice_bounds(order, slices_), "left"), len(hashes))
+
+
+def _elsewhere(texts: BlockTexts, shared: list[np.ndarray], n: int) -> np.ndarray:
+    """Which n-grams of order ``n`` can occur in other blocks.
+
+    ``shared`` tells of the orders below which other blocks have. Words and pairs all can.
+    """
+    grams = texts.grams[n - 1]
+    if n < 3:
+        return np.ones(len(grams.hashes), bool)
+    return shared[n - 2][grams.prefix] & shared[n - 2][grams.suffix]
 
 
 # --- counts of the whole corpus --------------------------------------------------------
 
 
-def _asked(blocks: DataFrame, slices_: int, settings: Settings) -> DataFrame:
-    def run(rows: pa.Table) -> pa.Table:
+ASKED = "slice bigint, block bigint, n int, hashes binary, counts binary"
+
+
+def _asked(
+    blocks: DataFrame, answers: DataFrame | None, orders: tuple[int, ...], slices_: int
+) -> DataFrame:
+    """What the blocks ask and tell of these orders, after the answers to the ones below."""
+
+    def asked_by(rows: pa.Table, found: pa.Table | None) -> pa.Table:
         block = rows.column("block")[0].as_py()
-        texts = BlockTexts(rows, settings.order)
+        texts = BlockTexts(rows, max(orders))
+        _, known = _counts_of(texts, found, min(orders) - 1) if found is not None else ([], [])
         out: dict[str, list] = {"slice": [], "block": [], "n": [], "hashes": [], "counts": []}
-        for n, grams in enumerate(texts.grams, 1):
-            cuts = _cuts(grams, n, slices_)
+        for n in orders:
+            grams = texts.grams[n - 1]
+            wanted = _elsewhere(texts, known, n)
+            hashes, counts = grams.hashes[wanted], grams.counts[wanted]
+            cuts = _cuts(hashes, n, slices_)
             for i in np.nonzero(np.diff(cuts))[0].tolist():
                 own = slice(cuts[i], cuts[i + 1])
                 base = _slice_bounds(n, slices_)[i]
                 out["slice"].append(i)
                 out["block"].append(block)
                 out["n"].append(n)
-                out["hashes"].append(_packed_hashes(grams.hashes[own] - base))
-                out["counts"].append(_packed(grams.counts[own]))
+                out["hashes"].append(_packed_hashes(hashes[own] - base))
+                out["counts"].append(_packed(counts[own]))
         return pa.table(
             {
                 "slice": pa.array(out["slice"], pa.int64()),
@@ -266,9 +297,11 @@ def _asked(blocks: DataFrame, slices_: int, settings: Settings) -> DataFrame:
             }
         )
 
-    return blocks.groupBy("block").applyInArrow(
-        run, "slice bigint, block bigint, n int, hashes binary, counts binary"
-    )
+    groups = blocks.groupBy("block")
+    if answers is None:
+        return groups.applyInArrow(lambda rows: asked_by(rows, None), ASKED)
+    found = _to_blocks(answers).groupBy("block")
+    return groups.cogroup(found).applyInArrow(lambda rows, known: asked_by(rows, known), ASKED)
 
 
 _BEGIN_HASH = np.uint64(xxhash.xxh64_intdigest(_BEGIN_WORD))
@@ -290,12 +323,14 @@ def _answered(asked: DataFrame, slices_: int) -> DataFrame:
             mine = np.nonzero(order == n)[0]
             hashes = [_unpacked_hashes(rows.column("hashes")[int(i)].as_py()) for i in mine]
             told = [_unpacked(rows.column("counts")[int(i)].as_py()) for i in mine]
-            distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+            distinct, _, inverse = _distinct(np.concatenate(hashes))
             # Sums of whole numbers below 2**53 are exact.
             totals = np.bincount(inverse, np.concatenate(told), len(distinct)).astype(np.int64)
+            # The lowest bit tells whether several blocks have the n-gram.
+            answer = 2 * totals + (np.bincount(inverse, minlength=len(distinct)) > 1)
             at = 0
             for i, own in zip(mine, hashes):
-                answers[int(i)] = _packed(totals[inverse[at : at + len(own)]])
+                answers[int(i)] = _packed(answer[inverse[at : at + len(own)]])
                 at += len(own)
             if n == 1:
                 words = distinct + _slice_bounds(1, slices_)[which] != _BEGIN_HASH
@@ -406,22 +441,25 @@ class Automaton:
                 fail_weight[here] = np.log10(1 - found.weights[n - 1])
         self.n_words = texts.n_words
         all_keys = np.concatenate(keys).tolist()
-        self.arcs = dict(zip(all_keys, zip(np.concatenate(weights).tolist(), np.concatenate(targets).tolist())))
+        self.arcs = dict(zip(all_keys, range(len(all_keys))))
+        self.weights = np.concatenate(weights).tolist()
+        self.targets = np.concatenate(targets).tolist()
         self.fail_to, self.fail_weight = fail_to.tolist(), fail_weight.tolist()
         self.start = int(state[0][texts.rank[BEGIN]])
 
     def score(self, words: list[int]) -> float:
         """The log10 probability of a text: its words' numbers and the end."""
         state, total = self.start, 0.0
-        arcs, fail_to, fail_weight, n_words = self.arcs, self.fail_to, self.fail_weight, self.n_words
+        arcs, weights, targets, n_words = self.arcs, self.weights, self.targets, self.n_words
+        fail_to, fail_weight = self.fail_to, self.fail_weight
         for word in words:
             arc = arcs.get(state * n_words + word)
             while arc is None:
                 total += fail_weight[state]
                 state = fail_to[state]
                 arc = arcs.get(state * n_words + word)
-            total += arc[0]
-            state = arc[1]
+            total += weights[arc]
+            state = targets[arc]
         return total
 
 
@@ -468,18 +506,34 @@ def fit_weight(times: np.ndarray, rounds: int = 100) -> float:
     return min(max(weight, 1e-4), 1 - 1e-4)
 
 
-def _counts_of(texts: BlockTexts, answers: pa.Table) -> list[np.ndarray]:
-    """The corpus counts of a block's n-grams, put together from the slices' answers."""
+def _to_blocks(answers: DataFrame) -> DataFrame:
+    return answers.filter("block >= 0").select("block", "n", "slice", "counts")
+
+
+def _counts_of(
+    texts: BlockTexts, answers: pa.Table, most: int
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The corpus counts of a block's n-grams up to order ``most``, and which are shared.
+
+    They are put together from the slices' answers; what no other block can have is
+    counted in the block itself.
+    """
     answers = answers.sort_by([("n", "ascending"), ("slice", "ascending")])
     order = np.asarray(answers.column("n"))
-    out = []
-    for n, grams in enumerate(texts.grams, 1):
+    out: list[np.ndarray] = []
+    shared: list[np.ndarray] = []
+    for n, grams in enumerate(texts.grams[:most], 1):
         parts = [_unpacked(answers.column("counts")[int(i)].as_py()) for i in np.nonzero(order == n)[0]]
         found = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        if len(found) != len(grams.hashes):
+        asked = _elsewhere(texts, shared, n)
+        if len(found) != asked.sum():
             raise ValueError("a block's texts changed between two passes")
-        out.append(found)
-    return out
+        counts = grams.counts.astype(np.int64)
+        counts[asked] = found >> 1
+        out.append(counts)
+        shared.append(np.zeros(len(counts), bool))
+        shared[-1][asked] = found & 1
+    return out, shared
 
 
 def score(
@@ -501,8 +555,12 @@ def score(
     blocks = in_blocks(docs, train, folder, fields, settings)
     n_blocks = blocks.select("block").distinct().count()
     slices_ = max(1, -(-n_blocks // settings.blocks_per_slice))
-    answered = _answered(_asked(blocks, slices_, settings), slices_)
-    answers = _bucketed(answered.repartition(_buckets(spark), "block"), f"{folder}/lm_answers")
+    answers, rounds = None, [tuple(range(1, min(settings.order, 2) + 1))]
+    rounds += [(n,) for n in range(3, settings.order + 1)]
+    for at, orders in enumerate(rounds):
+        answered = _answered(_asked(blocks, answers, orders, slices_), slices_)
+        part = _bucketed(answered.repartition(_buckets(spark), "block"), f"{folder}/lm_answers_{at}")
+        answers = part if answers is None else answers.unionByName(part)
     size = answers.filter("block = -1").agg(F.sum("kinds"), F.sum("tokens")).first()
     first = Mixture(size[1] or 0, size[0] or 0, (FIRST_WEIGHTS,) * (settings.order - 1))
     if weights is None:
@@ -513,7 +571,7 @@ def score(
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         texts = BlockTexts(rows, settings.order)
-        counts = _counts_of(texts, found)
+        counts, _ = _counts_of(texts, found, settings.order)
         automaton = Automaton(texts, counts, mixture)
         unigram = np.log10(mixture.unigram(counts[0]))
         words = texts.text.tolist()
@@ -537,10 +595,8 @@ def score(
         "base_score double, score double"
     )
 
-    own = answers.filter("block >= 0").select("block", "n", "slice", "counts")
-    return (
-        blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(run, schema)
-    )
+    own = _to_blocks(answers).groupBy("block")
+    return blocks.groupBy("block").cogroup(own).applyInArrow(run, schema)
 
 
 def _fitted(
@@ -557,13 +613,14 @@ def _fitted(
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         texts = BlockTexts(rows, settings.order)
-        columns = _ratio_counts(texts, rows, _counts_of(texts, found), first)
+        counts, _ = _counts_of(texts, found, settings.order)
+        columns = _ratio_counts(texts, rows, counts, first)
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["n", "level", "bin", "times"])
 
     mine = F.col("block").isin(ids)
     told = (
         blocks.filter(mine).groupBy("block")
-        .cogroup(answers.filter(mine).select("block", "n", "slice", "counts").groupBy("block"))
+        .cogroup(_to_blocks(answers).filter(mine).groupBy("block"))
         .applyInArrow(run, "n bigint, level bigint, bin bigint, times bigint")
         .groupBy("n", "level", "bin").agg(F.sum("times").alias("times"))
     )
