@@ -14,11 +14,13 @@ turns away keys that are not there.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from unicodedata import is_normalized
 from zlib import crc32
 
 import numpy as np
@@ -28,33 +30,49 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopledger.llm.batches import Fields, keyed_texts, slices, texts_of
+from shopledger.llm.batches import SLICE_BYTES, Fields, keyed_texts, slices, texts_of
 
 MAGIC = b"IDSHARD1"
 HEAD_BYTES = len(MAGIC) + 5 * 8
 
 # A shard is closed when it has this many bytes of ids, so that one fits in a task.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 
 # Shards of one task come one after the other.
 SHARDS_PER_TASK = 1 << 20
 
 # Words whose ids a worker remembers; beyond it the memory starts anew.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 2_000_000
+
+# Words of letters that are tokenized as one text.
+JOINED = 64
 
 KEYS_PER_BUCKET = 1 << 17
 
 _PLAIN_SPACE = re.compile(r"[^ \t\n\r]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
-_PEELED = re.compile(r"[a-z0-9][.,]\Z")
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    """Python's 64-bit hashes of words: one process compares them with its own only."""
+    return np.fromiter(map(hash, words), np.int64, len(words))
+
+
+_TAIL = ".,;:!?)\"]}*-_/"
+_BEFORE_TAIL = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def _stable(word: str) -> bool:
+    """Whether composing and lower-casing leave a word of letters one."""
+    return word.isascii() or (is_normalized("NFC", word) and word.lower().isalpha())
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer that treats words between white space apart.
 
-    Each distinct word is tokenized once. A full stop or comma after an ASCII letter or
-    digit is a token of its own, so it is taken off first; ASCII words are looked up in
-    lower case. Both are checked against the tokenizer when it is loaded.
+    Each distinct word is tokenized once. Punctuation that ends a word after an ASCII
+    letter or digit is tokenized apart, so it is taken off first; ASCII words are looked
+    up in lower case. Both are checked against the tokenizer when it is loaded.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
@@ -70,55 +88,124 @@ class WordEncoder:
         apart = [[i for word in text.split() for i in self._ids([word])[0]] for text in probe]
         if whole != apart:
             raise ValueError("the tokenizer does not treat words apart")
-        self.peels = self._ids(["ab.", "ab", ".", "1,", "1", ","])
-        ab_, ab, dot, one_, one, comma = self.peels
-        self.peel = ab_ == ab + dot and one_ == one + comma
+        ab_, ab, tail, one_, one, dot = self._ids(["ab" + _TAIL, "ab", _TAIL, "1.", "1", "."])
+        self.peel = ab_ == ab + tail and one_ == one + dot
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # An added token is looked for before the case is lost, and may end like a tail.
+        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)", re.I)
         self.lower = self._ids(["AbC"]) == self._ids(["abc"])
+        # Parsing the whole file for one setting would take more memory than the model.
+        found = re.search(r'"end_of_word_suffix":\s*("(?:[^"\\]|\\.)*")', tokenizer)
+        suffix = json.loads(found[1]) if found else None
+        self.ends = np.zeros(size if suffix else 0, bool)
+        if suffix:
+            for token, at in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                self.ends[at] = token.endswith(suffix)
         self._forget()
 
     def _ids(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        """The ids of each; a few at a time, as the library's own result is large."""
+        encode = self.tokenizer.encode_batch_fast
+        return [
+            e.ids
+            for at in range(0, len(words), 512)
+            for e in encode(words[at : at + 512], add_special_tokens=False)
+        ]
 
     def _forget(self) -> None:
-        # A line feed is never a word; it stands for the end of a document.
-        self.place: dict[str, int] = {"\n": 0}
+        # Sorted hashes of the known words, the place of each, and the ids by place. A
+        # line feed is never a word; at place 0 it stands for the end of a document.
+        self.hashes = np.array([hash("\n")], np.int64)
+        self.place = np.zeros(1, np.int32)
         self.flat = np.array([self.end_id], self.dtype)
-        self.first, self.length = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.first, self.length = np.zeros(1, np.int64), np.ones(1, np.int32)
+
+    def _found(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash; -1 if it is not known."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.place[at], -1)
+
+    def _append(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Adds words by their hashes, which are distinct and not known."""
+        firsts = len(self.flat) + np.cumsum(lengths) - lengths
+        places = np.arange(len(self.first), len(self.first) + len(hashes), dtype=np.int32)
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.place = np.insert(self.place, at, places[order])
+        self.flat = np.concatenate([self.flat, ids])
+        self.first = np.concatenate([self.first, firsts])
+        self.length = np.concatenate([self.length, lengths.astype(np.int32)])
+
+    def _gathered(self, used: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, one after the other."""
+        sizes = self.length[used]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(self.first[used] - (ends - sizes), sizes)]
 
     def _learn(self, words: list[str]) -> None:
-        """Adds words that have no place yet; their parts come first."""
-        if len(self.place) + len(words) > MAX_WORDS:
-            self._forget()
-        parts: dict[str, list[str]] = {}
+        """Adds distinct words that are not known, and their parts before them."""
+        peel, lower, guard = self.peel, self.lower, self.special.search
+        cores, tails = [], []
         for word in words:
-            plain = word.lower() if self.lower and word.isascii() else word
-            if self.peel and len(plain) > 1 and _PEELED.search(plain, len(plain) - 2):
-                parts[word] = [plain[:-1], plain[-1]]
+            plain, tail = word, "\n"
+            special = guard(word)
+            if lower and word.isascii() and not special:
+                plain = word.lower()
+            if peel and plain[-1] in _TAIL and not special:
+                core = plain.rstrip(_TAIL)
+                if core and core[-1] in _BEFORE_TAIL:
+                    plain, tail = core, plain[len(core) :]
+            cores.append(plain)
+            tails.append(tail)
+        self._learn_parts(list(dict.fromkeys((*cores, *set(tails)))))
+        own = _hashes(words)
+        rest = np.nonzero(self._found(own) < 0)[0]  # those that are not a part themselves
+        used = np.stack([self._found(_hashes(cores))[rest], self._found(_hashes(tails))[rest]], axis=1)
+        alone = used[:, 1] == 0  # a word without a tail
+        lengths = self.length[used[:, 0]] + np.where(alone, 0, self.length[used[:, 1]])
+        parts = used.ravel()
+        self._append(own[rest], self._gathered(parts[parts != 0]), lengths)
+
+    def _learn_parts(self, words: list[str]) -> None:
+        """Tokenizes those of the distinct words that are not known. Words of letters only
+        are one pre-token, whose last id ends a word, so many can be tokenized as one text
+        and told apart again."""
+        unknown = np.nonzero(self._found(_hashes(words)) < 0)[0].tolist()
+        simple, rest = [], []
+        for at in unknown:
+            word = words[at]
+            plain = self.ends.size and word.isalpha() and _stable(word)
+            (simple if plain else rest).append(word)
+        texts = [" ".join(simple[i : i + JOINED]) for i in range(0, len(simple), JOINED)]
+        if texts:
+            ids = np.concatenate([np.array(found, self.dtype) for found in self._ids(texts)])
+            last = np.nonzero(self.ends[ids])[0]
+            if len(last) == len(simple):
+                self._append(_hashes(simple), ids, np.diff(last, prepend=-1))
             else:
-                parts[word] = [plain]
-        place = self.place
-        needed = sorted({p for found in parts.values() for p in found if p not in place})
-        self._append(needed, [np.array(ids, self.dtype) for ids in self._ids(needed)])
-        rest = [word for word in words if word not in place]
-        joined = []
-        for word in rest:
-            at = [place[p] for p in parts[word]]
-            joined.append(
-                np.concatenate(
-                    [self.flat[self.first[i] : self.first[i] + self.length[i]] for i in at]
-                )
-            )
-        self._append(rest, joined)
-
-    def _append(self, words: list[str], ids: list[np.ndarray]) -> None:
-        if not words:
-            return
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        firsts = len(self.flat) + np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        self.place.update(zip(words, range(len(self.first), len(self.first) + len(words))))
-        self.flat = np.concatenate([self.flat, *ids])
-        self.first = np.concatenate([self.first, firsts])
-        self.length = np.concatenate([self.length, lengths])
+                rest += simple
+        if rest:
+            found = self._ids(rest)
+            flat = np.fromiter((i for ids in found for i in ids), self.dtype)
+            self._append(_hashes(rest), flat, np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """The place of each word, after learning those that are not known."""
+        distinct, where, inverse = np.unique(
+            _hashes(words), return_index=True, return_inverse=True
+        )
+        used = self._found(distinct)
+        missing = np.nonzero(used < 0)[0]
+        if len(missing) and len(self.hashes) > 1 and len(self.hashes) + len(missing) > MAX_WORDS:
+            self._forget()
+            used = self._found(distinct)
+            missing = np.nonzero(used < 0)[0]
+        if len(missing):
+            self._learn([words[at] for at in where[missing].tolist()])
+            used = self._found(distinct)
+        return used[inverse]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids with end ids, number of ids of each text)."""
@@ -130,19 +217,10 @@ class WordEncoder:
             words += found
             words.append("\n")
             counts.append(len(found) + 1)
-        distinct = set(words)
-        new = distinct.difference(self.place)
-        if new:
-            self._learn(sorted(new))
-            missing = distinct.difference(self.place)
-            if missing:  # the memory started anew
-                self._learn(sorted(missing))
-        used = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        sizes = self.length[used]
-        ends = np.cumsum(sizes)
-        index = np.arange(int(ends[-1])) + np.repeat(self.first[used] - (ends - sizes), sizes)
+        used = self._places(words)
+        ends = np.cumsum(self.length[used], dtype=np.int64)
         document_ends = ends[np.cumsum(counts) - 1]
-        return self.flat[index], np.diff(document_ends, prepend=0)
+        return self._gathered(used), np.diff(document_ends, prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -166,7 +244,12 @@ def _shard(number: int, ids: list[np.ndarray], counts: list[np.ndarray], keys: l
 
 
 def write_shards(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int, fields: Fields = Fields()
+    docs: DataFrame,
+    path: str,
+    tokenizer: str,
+    end_id: int,
+    fields: Fields = Fields(),
+    shard_bytes: int = SHARD_BYTES,
 ) -> None:
     """Encodes every whole text and writes shard files in ascending order of the key.
 
@@ -191,13 +274,13 @@ def write_shards(
         number = TaskContext.get().partitionId() * SHARDS_PER_TASK
         ids, counts, keys, size = [], [], [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", min(SLICE_BYTES // 2, shard_bytes)):
                 found, lengths = encoder.encode(texts_of(part))
                 ids.append(found)
                 counts.append(lengths)
                 keys += part.column("key").to_pylist()
                 size += found.nbytes
-                if size >= SHARD_BYTES:
+                if size >= shard_bytes:
                     blob = _shard(number, ids, counts, keys)
                     yield pa.RecordBatch.from_arrays([pa.array([blob])], ["shard"])
                     number, ids, counts, keys, size = number + 1, [], [], [], 0
@@ -244,7 +327,9 @@ def parse_shard(content: bytes) -> Shard:
 
 
 def shard_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    """The shard files; a table without rows leaves an empty file, which is no shard."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return files.filter("length > 0")
 
 
 def _each_shard(files: DataFrame, function, schema: str) -> DataFrame:
@@ -287,15 +372,21 @@ def documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFra
     )
 
 
-def shard_starts(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, before): the ids in all shards before each; one row per shard."""
+def shard_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, n, n_keys): ids and documents with a key; one row per shard."""
 
     def run(shard: Shard) -> pa.RecordBatch:
+        numbers = (shard.number, len(shard.ids), len(shard.keys) - shard.nulls)
         return pa.RecordBatch.from_arrays(
-            [pa.array([shard.number]), pa.array([len(shard.ids)])], ["shard", "n"]
+            [pa.array([n]) for n in numbers], ["shard", "n", "n_keys"]
         )
 
-    sizes = _each_shard(shard_files(spark, path), run, "shard bigint, n bigint")
+    return _each_shard(shard_files(spark, path), run, "shard bigint, n bigint, n_keys bigint")
+
+
+def shard_starts(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, before): the ids in all shards before each; one row per shard."""
+    sizes = shard_sizes(spark, path)
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
 
@@ -399,7 +490,7 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> None:
     """
     found = documents(spark, path).select("key", "shard", "first", "n_ids")
     entries = found.filter("key is not null")
-    total = entries.count()
+    total = shard_sizes(spark, path).agg(F.sum("n_keys")).first()[0] or 0
     buckets = max(1, -(-total // KEYS_PER_BUCKET))
 
     def build(table: pa.Table) -> pa.Table:
