@@ -75,12 +75,12 @@ def _buckets(spark: SparkSession) -> int:
     return int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _bucketed(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written as a table bucketed by its block, which later passes need not shuffle."""
+def _bucketed(df: DataFrame, path: str, table: str) -> DataFrame:
+    """``df`` added to a table bucketed by its block, which later passes need not shuffle."""
     spark = df.sparkSession
-    table = f"lm_{uuid4().hex}"
     (
-        df.write.option("path", path)
+        df.write.mode("append")
+        .option("path", path)
         .option("compression", "zstd")
         .bucketBy(_buckets(spark), "block")
         .saveAsTable(table, format="parquet")
@@ -117,7 +117,7 @@ def in_blocks(
     made = source.mapInArrow(
         run, f"block bigint, row bigint, key {kind}, text string, train boolean"
     )
-    return _bucketed(made, f"{folder}/lm_blocks")
+    return _bucketed(made, f"{folder}/lm_blocks", f"lm_blocks_{uuid4().hex}")
 
 
 # --- n-grams of a block ------------------------------------------------------------------
@@ -557,10 +557,11 @@ def score(
     slices_ = max(1, -(-n_blocks // settings.blocks_per_slice))
     answers, rounds = None, [tuple(range(1, min(settings.order, 2) + 1))]
     rounds += [(n,) for n in range(3, settings.order + 1)]
-    for at, orders in enumerate(rounds):
+    table = f"lm_answers_{uuid4().hex}"
+    for orders in rounds:
         answered = _answered(_asked(blocks, answers, orders, slices_), slices_)
-        part = _bucketed(answered.repartition(_buckets(spark), "block"), f"{folder}/lm_answers_{at}")
-        answers = part if answers is None else answers.unionByName(part)
+        dealt = answered.repartition(_buckets(spark), "block")
+        answers = _bucketed(dealt, f"{folder}/lm_answers", table)
     size = answers.filter("block = -1").agg(F.sum("kinds"), F.sum("tokens")).first()
     first = Mixture(size[1] or 0, size[0] or 0, (FIRST_WEIGHTS,) * (settings.order - 1))
     if weights is None:
