@@ -460,20 +460,8 @@ def fingerprint(keys: np.ndarray) -> np.ndarray:
     return (_hash(keys, FINGERPRINT_SEED) >> np.uint64(32)).astype("<u4")
 
 
-def _bucketed(keys: DataFrame, buckets: int) -> DataFrame:
-    """``keys`` with the bucket of its column ``key``, computed in batches."""
-    schema = T.StructType([*keys.schema.fields, T.StructField("bucket", T.LongType())])
-    place = keys.columns.index("key")
-
-    def run(batches):
-        for batch in batches:
-            values = np.asarray(batch.column(place), np.int64)
-            bucket = (_hash(values, BUCKET_SEED) % np.uint64(buckets)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(bucket)], [*batch.schema.names, "bucket"]
-            )
-
-    return keys.mapInArrow(run, schema)
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (_hash(keys, BUCKET_SEED) % np.uint64(buckets)).astype(np.int64)
 
 
 INDEX_SCHEMA = (
@@ -488,11 +476,23 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> None:
     A bucket has about KEYS_PER_BUCKET keys whatever the total, so none outgrows a
     task. A repeated key leads to its first document; null keys are not indexed.
     """
-    found = documents(spark, path).select("key", "shard", "first", "n_ids")
-    entries = found.filter("key is not null")
     total = shard_sizes(spark, path).agg(F.sum("n_keys")).first()[0] or 0
     buckets = max(1, -(-total // KEYS_PER_BUCKET))
 
+    def entries(shard: Shard) -> pa.RecordBatch:
+        some = slice(shard.nulls, None)  # null keys are the first ones
+        keys, starts = shard.keys[some], shard.starts[some]
+        columns = (
+            bucket_of(keys, buckets),
+            keys,
+            np.full(len(keys), shard.number),
+            starts,
+            shard.ends[some] - starts,
+        )
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], ["bucket", "key", "shard", "first", "n_ids"]
+        )
+
     def build(table: pa.Table) -> pa.Table:
         columns = {name: table.column(name).to_numpy() for name in table.column_names}
         order = np.lexsort((columns["first"], columns["shard"], columns["key"]))
@@ -514,7 +514,11 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> None:
         return pa.table(row)
 
     (
-        _bucketed(entries, buckets)
+        _each_shard(
+            shard_files(spark, path),
+            entries,
+            "bucket bigint, key bigint, shard bigint, first bigint, n_ids bigint",
+        )
         .groupBy("bucket")
         .applyInArrow(build, INDEX_SCHEMA)
         .write.mode("overwrite")
@@ -548,8 +552,15 @@ def look_up(keys: DataFrame, index: DataFrame, key: str = "doc_id") -> DataFrame
         columns = [np.frombuffer(part[n], "<i8")[slots] for n in ("shards", "firsts", "counts")]
         return pa.table([pa.array(values), *map(pa.array, columns)], names=names)
 
+    def dealt(batches):
+        for batch in batches:
+            values = np.asarray(batch.column("key"), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket_of(values, buckets)), batch.column("key")], ["bucket", "key"]
+            )
+
     return (
-        _bucketed(wanted, buckets)
+        wanted.mapInArrow(dealt, "bucket bigint, key bigint")
         .groupBy("bucket")
         .cogroup(index.groupBy("bucket"))
         .applyInArrow(find, "key bigint, shard bigint, first bigint, n_ids bigint")
