@@ -133,7 +133,7 @@ def luhn_check(payload: str) -> int:
 def _card(p: Permutation, text: str, inverse: bool) -> str | None:
     digits = _digits(text)
     head, payload = digits[0], digits[1:-1]
-    if head == "0" or luhn_check(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
+    if luhn_check(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
         return None
     size = 10 ** len(payload)
     moved = head + str(p(f"card|{head}", int(payload), size, inverse)).zfill(len(payload))
@@ -155,6 +155,14 @@ def _north_american(digits: str) -> bool:
     return len(digits) == 10 and digits[0] in "23456789" and digits[3] in "23456789"
 
 
+def _outside(p: Permutation, digits: str, inverse: bool) -> str:
+    """Ten digits that are no North American number, permuted among all such."""
+    while True:
+        digits = str(p("phone|1|outside", int(digits), 10**10, inverse)).zfill(10)
+        if not _north_american(digits):
+            return digits
+
+
 def _phone(p: Permutation, text: str, inverse: bool) -> str | None:
     digits = _digits(text)
     country, national = ("", digits)
@@ -162,7 +170,8 @@ def _phone(p: Permutation, text: str, inverse: bool) -> str | None:
         country, national = (digits[:1], digits[1:]) if digits[0] == "1" else (digits[:2], digits[2:])
     if country in ("", "1"):
         if not _north_american(national):
-            return None
+            # Without the country code such digits need not be a phone number.
+            return _redigit(text, country + _outside(p, national, inverse)) if country else None
         area, exchange, line = int(national[:3]), int(national[3:6]), int(national[6:])
         index = ((area - 200) * 800 + exchange - 200) * 10_000 + line
         # One permutation with and without country code keeps the number linked.

@@ -117,3 +117,16 @@ def test_table(spark):
         pii.pseudonymise(docs, b"key", findings="kind")
     with pytest.raises(ValueError):
         pii.Permutation(b"")
+
+
+def test_phones_with_a_country_code_outside_the_range_and_cards_with_head_0():
+    phones = [f"+1 ({area}) 555-{line}" for area in ("017", "136", "100") for line in range(7700, 7800)]
+    moved = [new(p) for p in phones] + [new("+1 (988) 155-7713")]
+    assert len(set(moved)) == len(moved) and not set(moved) & {*phones, "+1 (988) 155-7713"}
+    for one in moved:
+        digits = re.fullmatch(r"\+1 \((\d{3})\) (\d{3})-\d{4}", one)
+        assert digits[1][0] in "01" or digits[2][0] in "01"
+    assert [CHANGE.replace(m, inverse=True)[0] for m in moved[:-1]] == phones
+    card = new("0810992847249404")
+    assert luhn(card) and card[0] == "0" and card != "0810992847249404"
+    assert CHANGE.replace(card, inverse=True)[0] == "0810992847249404"
