@@ -250,8 +250,26 @@ _NUMBERS = re.compile(
     r"|\+[2-9][0-9](?:[ .-]?\(?[0-9]{1,4}\)?){2,6}"
     r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
     r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})"
-    r")(?![0-9A-Za-z]|\.[0-9])"
+    # A date with the year in front may be followed by a time.
+    r")(?:(?![0-9A-Za-z]|\.[0-9])|(?(s1)(?=[Tt][0-9]{2})|(?!)))"
 )
+# Where a match of these kinds may end: before a separator.
+_TOKEN_END = re.compile(r"(?<=[0-9A-Z)])(?=[ .-])")
+
+_NUMBERS_INSIDE = re.compile(r"(?<![0-9A-Za-z.])[0-9]")
+
+IBAN_LENGTHS = {
+    country: int(length)
+    for length, countries in {
+        "15": "NO", "16": "BE", "18": "DK FI FO GL NL SD", "19": "MK SI",
+        "20": "AT BA EE KZ LT LU MN XK", "21": "CH HR LI LV", "22": "BG BH CR DE GB GE IE ME RS VA",
+        "23": "AE GI IL IQ OM SO TL", "24": "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+        "25": "LY PT ST", "26": "IS TR", "27": "BI DJ FR GR IT MC MR SM",
+        "28": "AL AZ BY CY DO GT HN HU LB NI PL SV", "29": "BR EG PS QA UA", "30": "JO KW MU YE",
+        "31": "MT SC", "33": "RU",
+    }.items()
+    for country in countries.split()
+}
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 
@@ -284,6 +302,50 @@ class Pseudonymiser:
     def _moved(self, kind: str, text: str, inverse: bool) -> str | None:
         return KINDS[kind](self.permutation, text, inverse)
 
+    def _number(self, text: str, start: int, inverse: bool) -> Finding | None:
+        """The first number or date from ``start``.
+
+        Where a match is not valid, shorter ones are tried and then later starts: it may
+        have taken in the next word, or hide another number.
+        """
+        while match := _NUMBERS.search(text, start):
+            start, end = match.span()
+            kind = next(k for k in KINDS if k != "email" and match[k] is not None)
+            new = self.moved(kind, match[kind], inverse)
+            if new is not None:
+                return Finding(kind, start, end, new)
+            if kind in ("iban", "phone"):
+                for end in self._ends(text, kind, start, end, inverse):
+                    new = self.moved(kind, text[start:end], inverse)
+                    if new is not None:
+                        return Finding(kind, start, end, new)
+            start += 1
+        return None
+
+    def _ends(self, text: str, kind: str, start: int, end: int, inverse: bool) -> list[int]:
+        """The shorter ends to try for a match from ``start`` to ``end``, best first."""
+        ends = [m.start() for m in _TOKEN_END.finditer(text, start, end)][::-1]
+        if kind == "iban":
+            length = IBAN_LENGTHS.get(text[start : start + 2])
+            if length:
+                return [e for e in ends if len(text[start:e].replace(" ", "")) == length]
+            return ends
+        # A phone number has no length of its own: what is another number is not part of it.
+        following = self._inside(text, start, end, inverse)
+        return [e for e in ends if following is None or e <= following]
+
+    def _inside(self, text: str, start: int, end: int, inverse: bool) -> int | None:
+        """Where the first valid number of another kind than a phone begins in a match."""
+        for match in _NUMBERS_INSIDE.finditer(text, start + 1):
+            if match.start() >= end:
+                break
+            number = _NUMBERS.match(text, match.start())
+            if number and number["phone"] is None:
+                kind = next(k for k in KINDS if k != "email" and number[k] is not None)
+                if self.moved(kind, number[kind], inverse) is not None:
+                    return match.start()
+        return None
+
     def findings(self, text: str, inverse: bool = False) -> list[Finding]:
         """What would be replaced, in text order and without overlaps."""
         found = []
@@ -298,11 +360,10 @@ class Pseudonymiser:
                     found.append(Finding("email", start, end, new))
             at = text.find("@", at + 1)
         emails = [(f.start, f.end) for f in found]
-        for match in _NUMBERS.finditer(text):
-            kind = next(k for k in KINDS if k != "email" and match[k] is not None)
-            new = self.moved(kind, match[kind], inverse)
-            if new is not None:
-                found.append(Finding(kind, match.start(), match.end(), new))
+        one = self._number(text, 0, inverse)
+        while one:
+            found.append(one)
+            one = self._number(text, one.end, inverse)
         if emails:
             found.sort(key=lambda f: (f.start, -f.end))
             kept: list[Finding] = []

@@ -130,3 +130,18 @@ def test_phones_with_a_country_code_outside_the_range_and_cards_with_head_0():
     card = new("0810992847249404")
     assert luhn(card) and card[0] == "0" and card != "0810992847249404"
     assert CHANGE.replace(card, inverse=True)[0] == "0810992847249404"
+
+
+def test_what_is_not_valid_hides_nothing_behind_it():
+    def spans(text):
+        assert CHANGE.replace(CHANGE.replace(text)[0], inverse=True)[0] == text
+        return [(f.kind, text[f.start : f.end]) for f in CHANGE.findings(text)]
+
+    spaced, plain, card = "ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "4111 1111 1111 1111"
+    assert spans(f"{spaced} IBAN") == spans(f"{spaced} IBAN 12") == [("iban", spaced)]
+    assert spans(f"{plain} A") == [("iban", plain)] and spans(f"{plain}9 A") == []
+    assert spans(f"PO12 {card}") == [("card", card)]
+    assert spans(f"{spaced} IBAN {card}") == [("iban", spaced), ("card", card)]
+    assert spans(f"+49 30 1234567 {card}") == [("phone", "+49 30 1234567"), ("card", card)]
+    assert spans("at 2020-01-02T10:00, 2020-01-02t10:00:00Z") == [("date", "2020-01-02")] * 2
+    assert spans("2020-01-02Times 2020-01-02T 123-45-6789T10:00") == []
