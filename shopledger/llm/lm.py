@@ -32,6 +32,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,17 +50,15 @@ _END_WORD, _BEGIN_WORD = b"\n", b"\r"
 
 @dataclass(frozen=True)
 class Settings:
-    """Sizes of blocks, and the bound of the sample that mixing weights are fitted on.
+    """Sizes of blocks.
 
     A block holds about ``block_bytes`` of text; a longer text is a block of its own. A
-    slice is what ``blocks_per_slice`` blocks ask for. Weights are fitted on the
-    training texts of ``sample_blocks`` blocks; counts come from all texts.
+    slice is what ``blocks_per_slice`` blocks ask for.
     """
 
     order: int = ORDER
     block_bytes: int = 2 << 20
     blocks_per_slice: int = 12
-    sample_blocks: int = 8
 
 
 # --- texts in blocks -------------------------------------------------------------------
@@ -502,8 +501,8 @@ def fit_weight(times: np.ndarray, rounds: int = 100) -> float:
     weight = 0.5
     for _ in range(rounds):
         part = weight * ratio / (weight * ratio + 1 - weight)
-        weight = float((times * part).sum() / times.sum())
-    return min(max(weight, 1e-4), 1 - 1e-4)
+        weight = min(max(float((times * part).sum() / times.sum()), 1e-4), 1 - 1e-4)
+    return weight
 
 
 def _to_blocks(answers: DataFrame) -> DataFrame:
@@ -603,30 +602,30 @@ def score(
 def _fitted(
     blocks: DataFrame, answers: DataFrame, first: Mixture, settings: Settings
 ) -> tuple[tuple[float, ...], ...]:
-    """Mixing weights from the training texts of at most ``sample_blocks`` blocks."""
-    chosen = (
-        blocks.filter("train").select("block").distinct()
-        .orderBy(F.xxhash64("block")).limit(settings.sample_blocks)
-    )
-    ids = [row["block"] for row in chosen.collect()]
-    if not ids or settings.order == 1:
+    """Mixing weights from all training texts."""
+    if settings.order == 1:
         return first.weights
+    names = ["n", "level", "bin", "times"]
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        if not pc.any(rows.column("train")).as_py():
+            return pa.table([pa.array([], pa.int64())] * len(names), names=names)
         texts = BlockTexts(rows, settings.order)
         counts, _ = _counts_of(texts, found, settings.order)
         columns = _ratio_counts(texts, rows, counts, first)
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["n", "level", "bin", "times"])
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    mine = F.col("block").isin(ids)
     told = (
-        blocks.filter(mine).groupBy("block")
-        .cogroup(_to_blocks(answers).filter(mine).groupBy("block"))
+        blocks.groupBy("block")
+        .cogroup(_to_blocks(answers).groupBy("block"))
         .applyInArrow(run, "n bigint, level bigint, bin bigint, times bigint")
         .groupBy("n", "level", "bin").agg(F.sum("times").alias("times"))
     )
+    rows = told.collect()  # at most orders * LEVELS * RATIOS
+    if not rows:
+        return first.weights
     table = np.zeros((settings.order + 1, LEVELS, RATIOS))
-    for row in told.collect():  # at most orders * LEVELS * RATIOS rows
+    for row in rows:
         table[row["n"], row["level"], row["bin"]] = row["times"]
     out = []
     for n in range(2, settings.order + 1):

@@ -152,3 +152,16 @@ def test_block_texts_count_training_texts_only():
         (b"begin", b"a"): 1, (b"a", b"b"): 2, (b"b", b"a"): 1, (b"b", b"end"): 1,
         (b"begin", b"b"): 0, (b"a", b"end"): 0,
     }
+
+
+def test_weights_are_fitted_on_all_blocks(spark):
+    # The first half repeats one phrase, the second never does: no few blocks tell of both.
+    rows = [(k, "one two three four " * 12) for k in range(200)]
+    rows += [(200 + k, text) for k, text in corpus(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = []
+    for block_bytes in (500, 1 << 20):
+        settings = lm.Settings(block_bytes=block_bytes)
+        found = lm.score(docs, F.lit(True), staging_folder(spark), settings=settings)
+        got.append({r["key"]: r["score"] for r in found.collect()})
+    assert got[0] == pytest.approx(got[1], rel=1e-9)
