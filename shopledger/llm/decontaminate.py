@@ -6,11 +6,12 @@ that stays or moves by a random bit of the step and the symbol under it: strings
 small edit distance soon read the same symbols again and stay close in Hamming
 distance. Sampling a few steps of the walk gives a hash; windows at all positions of a
 document and the items meet in equal hashes, over as many walks as the target recall
-needs. What meets is verified by exact edit distance.
+needs at each length of items. What meets is verified by exact edit distance.
 
 An edit destroys at most q of an item's runs of q words. So a window that matches holds
 at least (words - q + 1 - q * edits) runs of items; that is counted first, spares most
-windows the walks and loses no match.
+windows the walks and loses no match. Long items would need too many walks; windows with
+enough runs of one of them are verified without.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ def words_of(text: str) -> list[str]:
 class Settings:
     """``recall`` is reached for items at the largest distance, on average over edits.
 
+    Each class of lengths reaches it with at most ``max_walks`` walks, or is searched
+    without walks, which finds all.
     Items of fewer than ``min_words`` words are no evidence and are left out. Items are
     sent to tasks in blocks of about ``block_bytes`` of text.
     """
@@ -140,8 +143,15 @@ class Walks:
             ]
             for _ in range(self.most_walks)
         ]
-        self.walks = walks or (self._walks_for_recall() if self.items else 0)
-        self.tables = [self._item_hashes(walk) for walk in range(self.walks)]
+        # Walks of each class; None where the items' runs alone tell what to verify.
+        self.walks_of = [
+            walks or self._walks_for_recall(c) for c in range(len(self.classes))
+        ]
+        self.walks = max((n for n in self.walks_of if n), default=0)
+        self.tables = [self._item_hashes(walk, self._walking(walk)) for walk in range(self.walks)]
+        self.posted = {
+            c: self._posted(c) for c, n in enumerate(self.walks_of) if n is None
+        }
 
     @staticmethod
     def _filter(lengths: list[tuple[int, int]]) -> tuple[int, int, int]:
@@ -225,15 +235,65 @@ class Walks:
             at += len(words) + self.pad
         return np.concatenate(parts) if parts else padding, np.array(starts, np.int64)
 
-    def _item_hashes(self, walk: int) -> tuple[np.ndarray, np.ndarray]:
-        """(sorted hashes, item) over all classes."""
-        text, starts = self._laid(self.items)
-        own = np.array(self.class_of)
-        every = np.zeros(len(self.items), np.uint64)
-        for c, found in enumerate(self._hashes(walk, text, starts, list(range(len(self.classes))))):
+    def _walking(self, walk: int) -> list[int]:
+        """The classes that take a walk."""
+        return [c for c, n in enumerate(self.walks_of) if n is not None and walk < n]
+
+    def _item_hashes(self, walk: int, classes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(sorted hashes, item) over these classes."""
+        members = np.nonzero(np.isin(self.class_of, classes))[0]
+        text, starts = self._laid([self.items[i] for i in members])
+        own = np.array(self.class_of)[members]
+        every = np.zeros(len(members), np.uint64)
+        for c, found in zip(classes, self._hashes(walk, text, starts, classes)):
             every[own == c] = found[own == c]
         order = np.argsort(every, kind="stable")
-        return every[order], order
+        return every[order], members[order]
+
+    def _posted(self, c: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(runs, first place, items): the items of a class that hold each run, in order."""
+        q = self.filters[c][0]
+        members = [i for i, own in enumerate(self.class_of) if own == c]
+        pairs = [
+            np.stack((runs, np.full(len(runs), i)))
+            for i in members
+            for runs in [np.unique(self._coded(np.array(self.items[i], np.int64), q))]
+        ]
+        runs, items = np.concatenate(pairs, axis=1)
+        order = np.argsort(runs, kind="stable")
+        distinct, firsts = np.unique(runs[order], return_index=True)
+        return distinct, np.append(firsts, len(order)), items[order]
+
+    def _by_runs(
+        self, c: int, text: np.ndarray, starts: np.ndarray
+    ) -> Iterator[tuple[int, int]]:
+        """(start, item) of the items of a class with enough runs in a window from there.
+
+        A window stays at a start until it has moved half a window, and is half a window
+        longer, so that no place is counted more than a few times.
+        """
+        q, _, span = self.filters[c]
+        distinct, firsts, items = self.posted[c]
+        needed = np.full(len(self.items), len(text) + 1)
+        for i, own in enumerate(self.class_of):
+            if own == c:
+                needed[i] = max(1, len(self.items[i]) - q + 1 - q * self.limits[i])
+        step, at = max(1, span // 2), 0
+        while at < len(starts):
+            first = int(starts[at])
+            at_next = int(np.searchsorted(starts, first + step, "left"))
+            last = int(starts[at_next - 1])
+            codes = self._coded(text[first : last + span], q)
+            codes = codes[codes >= 0]
+            place = np.minimum(np.searchsorted(distinct, codes), len(distinct) - 1)
+            times = np.zeros(len(self.items), np.int64)
+            for run in place[distinct[place] == codes].tolist():
+                times[items[firsts[run] : firsts[run + 1]]] += 1
+            for item in np.nonzero(times >= needed)[0].tolist():
+                yield last, item
+                for start in range(first, last, max(1, self.limits[item])):
+                    yield start, item
+            at = at_next
 
     def _edited(self, words: list[int], edits: int, random: np.random.Generator) -> list[int]:
         out = list(words)
@@ -247,29 +307,34 @@ class Walks:
                 out.insert(at, self.strange)
         return out
 
-    def _walks_for_recall(self, trials: int = 400) -> int:
-        """How many walks find the wanted share of items at their largest distance.
+    def _walks_for_recall(self, c: int, trials: int = 400) -> int | None:
+        """How many walks find the wanted share of a class at its largest distances.
 
-        Measured on edited copies of items followed by other words.
+        Measured on edited copies of items followed by other words. None if they would
+        be more than the most.
         """
         random = np.random.default_rng(self.settings.seed + 1)
-        chosen = [int(random.integers(len(self.items))) for _ in range(trials)]
+        members = [i for i, own in enumerate(self.class_of) if own == c]
+        chosen = [members[int(random.integers(len(members)))] for _ in range(trials)]
         edited = [self._edited(self.items[i], self.limits[i], random) for i in chosen]
+        distinct, which = np.unique(chosen, return_inverse=True)
+        laid, item_starts = self._laid([self.items[i] for i in distinct])
         text, starts = self._laid(edited)
-        own = np.array([self.class_of[i] for i in chosen])
+        starts = np.concatenate((item_starts, starts + len(laid)))
+        text = np.concatenate((laid, text))
         missed = np.ones(trials, bool)
-        allowed = int((1 - self.settings.recall) * trials)
+        allowed = (1 - self.settings.recall) * trials
         for walk in range(self.most_walks):
-            sorted_, order = self._item_hashes(walk)
-            by_item = np.zeros(len(self.items), np.uint64)
-            by_item[order] = sorted_
-            found = self._hashes(walk, text, starts, list(range(len(self.classes))))
-            for c, hashes in enumerate(found):
-                here = own == c
-                missed[here] &= hashes[here] != by_item[np.array(chosen)[here]]
-            if missed.sum() <= allowed:
+            (hashes,) = self._hashes(walk, text, starts, [c])
+            missed &= hashes[len(distinct) :] != hashes[: len(distinct)][which]
+            count = int(missed.sum())
+            if count <= int(allowed):
                 return walk + 1
-        return self.most_walks
+            # The more walks, the less a further one finds, so the misses stay above this.
+            least = trials * (count / trials) ** (self.most_walks / (walk + 1))
+            if walk >= 19 and least > allowed:
+                return None
+        return None
 
     def candidates(self, texts: list[list[str]]) -> Iterator[tuple[int, int, int]]:
         """(text, item, start): windows and items with an equal hash."""
@@ -285,21 +350,35 @@ class Walks:
         if not len(starts):
             return
         fits = [mask[starts] for mask in masks]
-        every = list(range(len(self.classes)))
         seen: set[tuple[int, int]] = set()
+
+        def new(start: int, item: int) -> Iterator[tuple[int, int, int]]:
+            if (start, item) not in seen:
+                seen.add((start, item))
+                which = int(np.searchsorted(firsts, start, "right")) - 1
+                yield which, item, start - int(firsts[which])
+
+        classes: list[int] = []
         for walk in range(self.walks):
             table, order = self.tables[walk]
-            for c, hashes in enumerate(self._hashes(walk, text, starts, every)):
-                here = np.nonzero(fits[c])[0]
+            if classes != self._walking(walk):
+                classes = self._walking(walk)
+                some = np.logical_or.reduce([fits[c] for c in classes])
+                own_starts = starts[some]
+                own_fits = {c: fits[c][some] for c in classes}
+            if not len(own_starts):
+                continue
+            for c, hashes in zip(classes, self._hashes(walk, text, own_starts, classes)):
+                here = np.nonzero(own_fits[c])[0]
                 low = np.searchsorted(table, hashes[here], "left")
                 high = np.searchsorted(table, hashes[here], "right")
                 for place in np.nonzero(high > low)[0]:
-                    start = int(starts[here[place]])
+                    start = int(own_starts[here[place]])
                     for item in order[low[place] : high[place]].tolist():
-                        if (start, item) not in seen:
-                            seen.add((start, item))
-                            which = int(np.searchsorted(firsts, start, "right")) - 1
-                            yield which, item, start - int(firsts[which])
+                        yield from new(start, item)
+        for c in self.posted:
+            for start, item in self._by_runs(c, text, starts[fits[c]]):
+                yield from new(start, item)
 
     def matches(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, distance, first word, end word) of each text and item, the best run."""

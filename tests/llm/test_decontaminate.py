@@ -142,3 +142,28 @@ def test_edge_cases(spark):
     assert dec.find(docs.limit(0), benchmark).count() == 0
     assert dec.find(docs, benchmark.limit(0)).count() == 0
     assert dec.keep_clean(docs, benchmark.limit(0)).count() == len(rows)
+
+
+def test_recall_at_the_edit_limit_for_each_length_of_a_mixed_benchmark():
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    lengths = [20] * 190 + [150] * 8 + [300] * 2
+    items = [(i, " ".join(rng.choices(vocabulary, k=n))) for i, n in enumerate(lengths)]
+    search = dec.Walks(items, dec.Settings())
+    for own, length in ((range(190), 20), (range(190, 198), 150), (range(198, 200), 300)):
+        texts, planted = [], []
+        for trial in range(100):
+            item = own[trial % len(own)]
+            copy = items[item][1].split()
+            for _ in range(dec.max_distance(length, dec.Settings())):
+                at, kind = rng.randrange(len(copy)), rng.randrange(3)
+                if kind == 0:
+                    copy[at] = "strange"
+                elif kind == 1:
+                    del copy[at]
+                else:
+                    copy.insert(at, "strange")
+            texts.append(" ".join([*rng.choices(vocabulary, k=30), *copy, *rng.choices(vocabulary, k=30)]))
+            planted.append((trial, item))
+        found = {(which, item) for which, item, *_ in search.matches(texts)}
+        assert len(found & set(planted)) >= 96, length
