@@ -29,10 +29,16 @@ from pyspark.sql import functions as F
 
 from shopledger.llm.batches import Fields, keyed_texts, slices, texts_of
 
-_WORD = re.compile(r"\w+")
+# Scripts without spaces between words: Thai, Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+)
+_WORD = re.compile(rf"(?=\w)[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 
 
 def words_of(text: str) -> list[str]:
+    """Runs of letters and digits; in scripts without spaces, each letter."""
     return _WORD.findall(text.lower())
 
 
@@ -42,8 +48,9 @@ class Settings:
 
     Each class of lengths reaches it with at most ``max_walks`` walks, or is searched
     without walks, which finds all.
-    Items of fewer than ``min_words`` words are no evidence and are left out. Items are
-    sent to tasks in blocks of about ``block_bytes`` of text.
+    Items of fewer than ``min_words`` words are found as exact runs of words only; items
+    without a word are left out. Items are sent to tasks in blocks of about
+    ``block_bytes`` of text.
     """
 
     max_edits: float = 0.2
@@ -113,10 +120,18 @@ class Walks:
     def __init__(self, items: list[tuple[int, str]], settings: Settings, walks: int | None = None):
         self.settings = settings
         split = [(key, words_of(text)) for key, text in items]
+        # Items too short for edits, by their words.
+        self.short: dict[tuple[str, ...], list[int]] = defaultdict(list)
+        self.short_keys = [key for key, words in split if 0 < len(words) < settings.min_words]
+        short = [tuple(words) for _, words in split if 0 < len(words) < settings.min_words]
+        for at, run in enumerate(short):
+            self.short[run].append(at)
+        self.short_lengths = sorted({len(words) for words in self.short})
+        self.short_firsts = {words[0] for words in self.short}
         split = [(key, words) for key, words in split if len(words) >= settings.min_words]
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in split for w in ws}))}
         self.strange = len(self.vocabulary)  # the symbol of all other words and of padding
-        self.keys = [key for key, _ in split]
+        self.keys = [key for key, _ in split] + self.short_keys
         self.items = [[self.vocabulary[w] for w in words] for _, words in split]
         self.limits = [max_distance(len(words), settings) for words in self.items]
         # Class of each item, and the shortest item of each class.
@@ -406,6 +421,23 @@ class Walks:
                 symbols = [self.vocabulary.get(w, self.strange) for w in back]
                 length = _shortest_suffix(pattern[::-1], symbols, best[0])
                 yield which, item, best[0], best[1] - length, best[1]
+        if self.short:
+            for which, words in enumerate(split):
+                yield from self._short_matches(which, words)
+
+    def _short_matches(
+        self, which: int, words: list[str]
+    ) -> Iterator[tuple[int, int, int, int, int]]:
+        """The first exact run of each short item in a text."""
+        seen: set[tuple[str, ...]] = set()
+        for at, word in enumerate(words):
+            if word in self.short_firsts:
+                for length in self.short_lengths:
+                    run = tuple(words[at : at + length])
+                    if len(run) == length and run in self.short and run not in seen:
+                        seen.add(run)
+                        for item in self.short[run]:
+                            yield which, len(self.items) + item, 0, at, at + length
 
 
 def _shortest_suffix(pattern: list[int], text: list[int], distance: int) -> int:

@@ -167,3 +167,20 @@ def test_recall_at_the_edit_limit_for_each_length_of_a_mixed_benchmark():
             planted.append((trial, item))
         found = {(which, item) for which, item, *_ in search.matches(texts)}
         assert len(found & set(planted)) >= 96, length
+
+
+def test_short_items_and_scripts_without_spaces():
+    chinese = "今天天气很好我们一起去公园散步吧"
+    items = [(1, "Four short words here"), (2, "吃饭了吗"), (3, chinese), (4, "four short words, HERE"), (5, "..."), (6, "สวัสดีครับ")]
+    search = dec.Walks(items, dec.Settings())
+    texts = [
+        "now four short words here. Four short words here", "four short words where",
+        "他问：吃饭了吗？", f"有人说{chinese.replace('很', '真')}。然后", "吃了饭吗", "และสวัสดีครับผม",
+    ]
+    found = [(which, search.keys[item], *rest) for which, item, *rest in search.matches(texts)]
+    assert sorted(found) == [
+        (0, 1, 0, 1, 5), (0, 4, 0, 1, 5), (2, 2, 0, 2, 6), (3, 3, 1, 3, 19), (5, 6, 0, 3, 3 + len(dec.words_of(items[5][1]))),
+    ]
+    only_short = dec.Walks(items[:2], dec.Settings())
+    assert [row[:2] for row in only_short.matches(texts)] == [(0, 0), (2, 1)]
+    assert dec.words_of("Ab_1 c-d 中a文") == ["ab_1", "c", "d", "中", "a", "文"]
