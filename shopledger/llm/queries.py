@@ -47,17 +47,17 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Where every document's ids are in the files, and their checksum, read back.
 
-    The index says where a document is; what lies there is read from the shards.
+    The index says where the first document of each key is; the others, those with a null
+    key and all checksums come from the shards.
     """
     docs, staged = _table(spark, folder, "documents"), staging_folder(spark)
     path, index = f"{staged}/shards", f"{staged}/index"
     tokenizer = tokenizer_file("word_bpe_49k.json").decode()
     tokenfiles.write_shards(docs, path, tokenizer, end_id=2)
     tokenfiles.write_index(spark, path, index)
-    places = tokenfiles.look_up(docs, spark.read.parquet(index))
-    found = tokenfiles.documents(spark, path).drop("key", "n_ids")
+    found = tokenfiles.documents(spark, path)
     return (
-        places.join(found, ["shard", "first"])
+        tokenfiles.placed(found, docs, spark.read.parquet(index))
         .join(tokenfiles.shard_starts(spark, path), "shard")
         .select(
             F.col("key").alias("doc_id"),

@@ -495,12 +495,9 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> None:
 
     def build(table: pa.Table) -> pa.Table:
         columns = {name: table.column(name).to_numpy() for name in table.column_names}
-        order = np.lexsort((columns["first"], columns["shard"], columns["key"]))
-        keys = columns["key"][order]
-        once = order[np.concatenate(([True], keys[1:] != keys[:-1]))]
-        keys = columns["key"][once]
+        keys = columns["key"]
         function = PerfectHash.build(keys)
-        by_slot = once[np.argsort(function.slots(keys))]
+        by_slot = np.argsort(function.slots(keys))
         row = {
             "bucket": [int(columns["bucket"][0])],
             "buckets": [buckets],
@@ -519,6 +516,9 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> None:
             entries,
             "bucket bigint, key bigint, shard bigint, first bigint, n_ids bigint",
         )
+        # A hot key is one entry before its bucket is gathered.
+        .groupBy("bucket", "key").agg(F.min(F.struct("shard", "first", "n_ids")).alias("at"))
+        .select("bucket", "key", "at.*")
         .groupBy("bucket")
         .applyInArrow(build, INDEX_SCHEMA)
         .write.mode("overwrite")
@@ -567,6 +567,24 @@ def look_up(keys: DataFrame, index: DataFrame, key: str = "doc_id") -> DataFrame
     )
 
 
+def placed(found: DataFrame, keys: DataFrame, index: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, shard, first, n_ids, ids_crc32) of every row of ``documents``.
+
+    Looked up are the different ones of ``keys``. The index gives place and length of the first document of each key; documents with a
+    null key or a key that has come before are only in the shards.
+    """
+    names = ["key", "n_ids"]
+    places = look_up(keys.select(key).distinct(), index, key)
+    told = places.select("shard", "first", *(F.col(n).alias(f"told_{n}") for n in names))
+    return found.join(told, ["shard", "first"], "left").select(
+        F.coalesce("told_key", "key").alias("key"),
+        "shard",
+        "first",
+        F.coalesce("told_n_ids", "n_ids").alias("n_ids"),
+        "ids_crc32",
+    )
+
+
 def fetch(keys: DataFrame, path: str, index_path: str, key: str = "doc_id") -> DataFrame:
     """(key, ids) of the documents with the given keys.
 

@@ -117,3 +117,21 @@ def test_perfect_hash_is_minimal(n):
     assert sorted(again.slots(keys).tolist()) == list(range(len(keys)))
     strangers = np.arange(50, dtype=np.int64)
     assert len(again.slots(strangers)) == 50
+
+
+def test_query_has_a_row_for_every_document(spark):
+    from shopledger.llm.queries import QUERIES
+
+    folder = staging_folder(spark)
+    rows = [(None, "no key"), (None, None), (7, "the first"), (7, "another one"), (7, "and a third text"), (8, "x")]
+    rows += [(9, f"hot {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    found = QUERIES["op2_token_files"](spark, folder).collect()
+    ids = expected([text for _, text in rows])
+    sums = [crc32(np.array(own, "<u4").tobytes()) for own in ids]
+    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in found) == sorted(
+        (key or 0, len(own), crc) for (key, _), own, crc in zip(rows, ids, sums)
+    )
+    spans = sorted((r["start"], r["start"] + r["n_tokens"]) for r in found)
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
