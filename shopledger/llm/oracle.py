@@ -21,4 +21,60 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op10_top_k": _TOP_K}
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes; ``steps`` of ``crc_table`` is read."""
+    octets = f"""list_transform(range(strlen({text})),
+        lambda i: ('0x' || substr(hex(encode({text})), 2 * i::BIGINT + 1, 2))::UBIGINT)"""
+    step = """xor(crc >> 8, list_extract(steps, (xor(crc, octet) & 255)::BIGINT + 1))"""
+    return f"xor(list_reduce({octets}, lambda crc, octet: {step}, 4294967295::UBIGINT), 4294967295)"
+
+
+# Fixed value: the polynomial of crc32.
+_CRC_TABLE = """crc_table AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda b: list_reduce(
+        range(8),
+        lambda crc, i: CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384::UBIGINT)
+                            ELSE crc >> 1 END,
+        b::UBIGINT)) AS steps
+)"""
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_RESAMPLING = f"""
+WITH {_CRC_TABLE}, words AS (
+    SELECT doc_id, unnest({_WORDS}) AS word FROM documents
+), wanted AS (
+    SELECT unnest({_WORDS}) AS word FROM benchmark
+), buckets AS (
+    SELECT word, {_crc32("word")} % 10000 AS bucket
+    FROM (SELECT word FROM words UNION SELECT word FROM wanted), crc_table
+), raw AS (
+    SELECT bucket, count(*) AS s FROM words JOIN buckets USING (word) GROUP BY bucket
+), target AS (
+    SELECT bucket, count(*) AS t FROM wanted JOIN buckets USING (word) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln(
+        (coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM raw) + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM target) + 10000)::DOUBLE)
+    ))::BIGINT AS gain
+    FROM raw LEFT JOIN target USING (bucket)
+), weights AS (
+    SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS weight
+    FROM words JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+               (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296
+           ))))::BIGINT AS score
+    FROM documents LEFT JOIN weights USING (doc_id)
+), placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM placed) THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op10_top_k": _TOP_K, "op11_resampling": _RESAMPLING}

@@ -9,7 +9,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import decontaminate, htmltext, langid, lm, pieces, pii, simhash, tokenfiles, topk, toxicity
+from shopledger.llm import (
+    bpe,
+    decontaminate,
+    htmltext,
+    langid,
+    lm,
+    pieces,
+    pii,
+    resampling,
+    simhash,
+    tokenfiles,
+    topk,
+    toxicity,
+)
 from shopledger.llm.batches import small_batches
 from shopledger.session import tune
 from shopledger.sources.staging import staging_folder
@@ -156,3 +169,34 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest other vectors of every fiftieth vector."""
     vectors = _table(spark, folder, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, staging_folder(spark))
+
+
+@_query
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and its rank if it is drawn."""
+    found = resampling.resample(
+        _table(spark, folder, "documents"),
+        _table(spark, folder, "benchmark"),
+        staging_folder(spark),
+        features=resampling.Features(ngrams=1, buckets=10_000),
+        percent=10,
+        min_words=20,
+        seed=2024,
+    )
+    return found.select(
+        F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank"
+    )
+
+
+@_query
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    model = tokenizer_file("byte_bpe_50k.json")
+    found = bpe.encode(_table(spark, folder, "documents"), model, decoded=True)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_tokens",
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
