@@ -77,4 +77,88 @@ SELECT doc_id, n_features, weight, score,
 FROM scored LEFT JOIN placed USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op10_top_k": _TOP_K, "op11_resampling": _RESAMPLING}
+# Backwards over a conversation's turns, per state (nothing, system, user or assistant put
+# out last): the least (cost, edits), and the lines they give.
+_REPAIR = rf"""
+WITH RECURSIVE {_CRC_TABLE}, shown AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place
+    FROM conversations
+), kinds AS (
+    SELECT conv_id, turn, role, text, {_crc32("place")} % 20 AS kind FROM shown, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                     ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM kinds WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER ordered AS i, left(role, 1) AS initial,
+           left(lag(role) OVER ordered, 1) AS initial_before
+    FROM damaged
+    WINDOW ordered AS (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)
+), faulty AS (
+    SELECT *, CASE
+        WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated'
+        ELSE '' END AS fault
+    FROM placed
+), counted AS (
+    SELECT conv_id, count(*) AS n,
+           coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i > 1 AND initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faulty GROUP BY conv_id
+), walk AS (
+    SELECT conv_id, n + 1 AS i,
+           {{'c': 0, 'e': '', 'l': []::VARCHAR[]}} AS v0,
+           {{'c': 4, 'e': 'II', 'l': ['user:', 'assistant:']}} AS v1,
+           {{'c': 2, 'e': 'I', 'l': ['assistant:']}} AS v2,
+           {{'c': 0, 'e': '', 'l': []::VARCHAR[]}} AS v3
+    FROM counted
+    UNION ALL
+    SELECT conv_id, i,
+           least(w0, {{'c': 2 + u.c, 'e': 'I' || u.e, 'l': ['user:'] || u.l}}),
+           least(w1, {{'c': 2 + u.c, 'e': 'I' || u.e, 'l': ['user:'] || u.l}}),
+           u,
+           least(w3, {{'c': 2 + w2.c, 'e': 'I' || w2.e, 'l': ['user:'] || w2.l}})
+    FROM (
+        SELECT *, least(w2, {{'c': 2 + w3.c, 'e': 'I' || w3.e, 'l': ['assistant:'] || w3.l}}) AS u
+        FROM (
+            SELECT f.conv_id, f.i, {", ".join(
+                f"""least({{'c': 3 + v{state}.c, 'e': 'D' || v{state}.e, 'l': v{state}.l}}""" + "".join(
+                    f""", CASE WHEN fault NOT IN ('blank', 'duplicate') AND initial = '{initial}'
+                        THEN {{'c': (fault = 'truncated')::INT + v{to}.c, 'e': 'K' || v{to}.e,
+                              'l': [role || ':' || text] || v{to}.l}} END"""
+                    for initial, to in kept.items()
+                ) + f""", CASE WHEN fault NOT IN ('blank', 'duplicate')
+                        THEN {{'c': 2 + (fault = 'truncated')::INT + v{rerole[1]}.c,
+                              'e': 'R' || v{rerole[1]}.e,
+                              'l': ['{rerole[0]}:' || text] || v{rerole[1]}.l}} END) AS w{state}"""
+                for state, (kept, rerole) in enumerate((
+                    ({"s": 1, "u": 2}, ("user", 2)), ({"u": 2}, ("user", 2)),
+                    ({"a": 3}, ("assistant", 3)), ({"u": 2}, ("user", 2))))
+            )}
+            FROM walk JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM walk.conv_id AND f.i = walk.i - 1
+        )
+    )
+)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(v0.c, 0)::BIGINT AS cost,
+       coalesce(v0.e, '') AS audit,
+       sha256(coalesce(array_to_string(v0.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN walk ON walk.conv_id IS NOT DISTINCT FROM ids.conv_id AND walk.i = 1
+"""
+
+ORACLE: dict[str, str] = {
+    "op10_top_k": _TOP_K,
+    "op11_resampling": _RESAMPLING,
+    "op12_conversation_repair": _REPAIR,
+}

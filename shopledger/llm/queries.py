@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shopledger.llm import (
     bpe,
+    conversations,
     decontaminate,
     htmltext,
     langid,
@@ -188,6 +189,53 @@ def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Turns of the test table with faults, of a kind that their place decides."""
+
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    place = F.concat(shown("conv_id"), F.lit(":"), shown("turn"))
+    kind, text = F.col("kind"), F.col("text")
+    emptied = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", ""))
+    return (
+        turns.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"))
+        .withColumn("kind", F.crc32(place.cast("binary")) % 20)
+        .filter(kind != 0)
+        .select(
+            "conv_id",
+            "turn",
+            F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"),
+            emptied.otherwise(text).alias("text"),
+            F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
+        )
+        .drop("col")
+    )
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    table = _table(spark, folder, "conversations")
+    found = conversations.repair(_damaged(table), staging_folder(spark))
+    report = ["key", *conversations.REPORT_NAMES]
+    lines = F.array_join(
+        F.zip_with("roles", "texts", lambda role, text: F.concat(role, F.lit(":"), text)), "\n"
+    )
+    whole = found.whole.select(*report, "edits", F.sha2(lines, 256).alias("sha256"))
+    digests = conversations.line_digests(found.long_pieces).withColumnRenamed("key", "digest_key")
+    parted = found.long_report.join(digests, F.col("key").eqNullSafe(F.col("digest_key")))
+    solved = whole.unionByName(parted.drop("digest_key"))
+    ids = table.select("conv_id").distinct()
+    zero = F.lit(0).cast("long")
+    return ids.join(solved, F.col("conv_id").eqNullSafe(F.col("key")), "left").select(
+        "conv_id",
+        *[F.coalesce(name, zero).alias(name) for name in conversations.REPORT_NAMES],
+        F.coalesce("edits", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 @_query
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of every document's ids and of the text they decode to."""
