@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shopledger.functions.dates import AsOf, in_trailing_days
@@ -14,50 +14,76 @@ CUT_BEFORE_SHUFFLE = 1000
 # Totals whose logarithms agree to this part of a power of two share a cell.
 CELLS_PER_DOUBLING = 4096
 
+# Customers of one country and total are dealt into at most so many lists.
+LISTS_PER_TOTAL = 1024
 
-def _ranks(placed: DataFrame, top_n: int) -> DataFrame:
-    """(rank_country, rank_total, spending_rank) of the totals ranked up to ``top_n``.
 
-    Few ranks: each task keeps its own best totals of a country, so a country's window
-    sees that many rows a task. Many ranks: a country's totals are dealt into cells by
-    size, which order them; a cell's rank starts after the customers in the cells above
-    it. No task then holds more of a country than one cell's totals, or one row a cell.
+def _ranked(placed: DataFrame, top_n: int) -> DataFrame:
+    """``placed`` with ``spending_rank``, up to ``top_n``, by windows alone.
+
+    Customers of a country with the same total are packed into a few lists, so a total
+    that most share is not one row a customer in any window. A sum is made once and flows
+    through: ranks need no second pass over the input and no join on a sum, which as a
+    double could differ in its last bit from pass to pass.
+
+    Few ranks: each task keeps its own best lists of a country. Many ranks: a country's
+    totals are dealt into cells by size, which order them. The first list of each cell
+    goes to one place with those of the country's other cells, learns how many customers
+    are above, and takes that back to its cell. No task then holds more of a country than
+    one cell, or one row a cell.
     """
-    totals = placed.groupBy("country", "total_spent").agg(F.count(F.lit(1)).alias("n"))
-    best_first = F.desc_nulls_last("total_spent")
-    before = (Window.unboundedPreceding, -1)
+    salt = F.pmod(F.xxhash64("customer_id"), F.lit(LISTS_PER_TOTAL))
+    lists = (
+        placed.select(
+            F.col("country").alias("c"),
+            F.col("total_spent").alias("t"),
+            salt.alias("salt"),
+            F.struct(*[F.col(f"`{name}`") for name in placed.columns]).alias("row"),
+        )
+        .groupBy("c", "t", "salt")
+        .agg(F.collect_list("row").alias("rows"))
+        .withColumn("n", F.size("rows").cast("long"))
+    )
+    best_first = F.desc_nulls_last("t")
+    start, here = Window.unboundedPreceding, Window.currentRow
 
-    def sum_before(window) -> Column:
-        return F.coalesce(F.sum("n").over(window.rowsBetween(*before)), F.lit(0))
+    def ahead_in(window: WindowSpec) -> Column:
+        """How many customers have more; equal totals are peers."""
+        return F.sum("n").over(window.rangeBetween(start, here)) - F.sum("n").over(
+            window.rangeBetween(here, here)
+        )
 
     if top_n <= CUT_BEFORE_SHUFFLE:
-        by_spend = Window.partitionBy("country").orderBy(best_first)
-        best = totals.withColumn("place", F.rank().over(by_spend)).filter(F.col("place") <= top_n)
-        ranked = best.withColumn("spending_rank", sum_before(by_spend) + 1)
+        by_spend = Window.partitionBy("c").orderBy(best_first)
+        best = lists.withColumn("place", F.rank().over(by_spend)).filter(F.col("place") <= top_n)
+        ahead = best.withColumn("ahead", ahead_in(by_spend))
     else:
-        size = F.col("total_spent").cast("double")
+        size = F.col("t").cast("double")
         cell = F.floor(F.signum(size) * F.log2(1 + F.abs(size)) * CELLS_PER_DOUBLING)
-        dealt = totals.withColumn("cell", cell)
-        down = Window.partitionBy("country").orderBy(F.desc_nulls_last("cell"))
-        above = (
-            dealt.groupBy("country", "cell")
-            .agg(F.sum("n").alias("n"))
-            .select(
-                F.col("country").alias("above_country"),
-                F.col("cell").alias("above_cell"),
-                sum_before(down).alias("above"),
+        in_cell = Window.partitionBy("c", "cell")
+        down = in_cell.orderBy(best_first, "salt")
+        by_cell = Window.partitionBy("c", "leads", F.when(~F.col("leads"), F.col("cell")))
+        cells_above = by_cell.orderBy(F.desc_nulls_last("cell")).rowsBetween(start, -1)
+        above = F.when(F.col("leads"), F.coalesce(F.sum("whole").over(cells_above), F.lit(0)))
+        ahead = (
+            lists.withColumn("cell", cell)
+            .withColumns(
+                {
+                    "within": ahead_in(in_cell.orderBy(best_first)),
+                    "whole": F.sum("n").over(in_cell),
+                    "leads": F.row_number().over(down) == 1,
+                }
             )
+            .filter(F.col("within") < top_n)
+            .withColumn("above", above)
+            .withColumn("above", F.max("above").over(in_cell))
+            .withColumn("ahead", F.col("above") + F.col("within"))
         )
-        within = Window.partitionBy("country", "cell").orderBy(best_first)
-        ranked = dealt.withColumn("ahead", sum_before(within)).join(
-            above.filter(F.col("above") < top_n),
-            F.col("country").eqNullSafe(F.col("above_country"))
-            & F.col("cell").eqNullSafe(F.col("above_cell")),
-        ).withColumn("spending_rank", F.col("above") + F.col("ahead") + 1)
-    return ranked.filter(F.col("spending_rank") <= top_n).select(
-        F.col("country").alias("rank_country"),
-        F.col("total_spent").alias("rank_total"),
-        F.col("spending_rank").cast("int").alias("spending_rank"),
+    rank = (F.col("ahead") + 1).cast("int")
+    return (
+        ahead.filter(F.col("ahead") < top_n)
+        .select(rank.alias("rank"), F.explode("rows").alias("row"))
+        .select(*[F.col(f"row.`{n}`") for n in placed.columns], F.col("rank").alias("spending_rank"))
     )
 
 
@@ -78,9 +104,8 @@ def top_customers_by_country(
     instead of the report shape.
 
     Ranks are per country, so the country filter goes straight to the customer
-    scan. Ranks are found over the different totals of a country, each with its number
-    of customers, and then joined back: however many customers share a total, they
-    are one row until then. See ``_ranks`` for how a large country is split.
+    scan. Both tables are read once, at any ``top_n``. See ``_ranked`` for how a large
+    country, or a total that many customers share, is split.
     """
     spending = (
         orders.filter(in_trailing_days(orders, "order_date", as_of, days))
@@ -94,21 +119,17 @@ def top_customers_by_country(
     if country_pattern is not None:
         customers = customers.filter(F.col("country").like(country_pattern))
     placed = spending.join(customers, "customer_id")
-    ranks = _ranks(placed, top_n)
-    ranked = placed.join(
-        ranks,
-        placed["country"].eqNullSafe(ranks["rank_country"])
-        & placed["total_spent"].eqNullSafe(ranks["rank_total"]),
-    ).drop("rank_country", "rank_total")
     if all_columns:
-        return ranked
-    return ranked.select(
-        "country",
-        "customer_id",
-        F.concat("first_name", F.lit(" "), "last_name").alias("full_name"),
-        "email",
-        "total_spent",
-        "total_orders",
-        "last_purchase_date",
-        "spending_rank",
+        return _ranked(placed, top_n)
+    return _ranked(
+        placed.select(
+            "country",
+            "customer_id",
+            F.concat("first_name", F.lit(" "), "last_name").alias("full_name"),
+            "email",
+            "total_spent",
+            "total_orders",
+            "last_purchase_date",
+        ),
+        top_n,
     )

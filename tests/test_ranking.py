@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from conftest import bag, day, plan
 from pyspark.sql import functions as F
 
@@ -94,3 +97,55 @@ def test_rank_limit_runs_before_the_shuffle_and_filters_reach_the_scans(spark, t
     assert text.count("WindowGroupLimit") == 2
     assert "GreaterThanOrEqual(order_date,2023-06-03)" in text
     assert "StringStartsWith(country,United )" in text
+
+
+@pytest.mark.parametrize("top_n", [3, 40, 5000])
+def test_double_amounts_in_any_order_keep_every_customer(spark, tmp_path, conf, top_n):
+    conf(shuffle__partitions="7", adaptive__coalescePartitions__enabled="false")
+    rng = random.Random(top_n)
+    paid = [(i, i % 97, rng.choice([0.1, 0.2, 0.3, 1e9, 1e-7, -0.1])) for i in range(4000)]
+    paid += [(9000 + i, 200 + i % 60, 0.7) for i in range(600)]
+    orders = spark.createDataFrame(paid, "order_id long, customer_id long, total_amount double")
+    orders.withColumn("order_date", F.lit("2024-06-01").cast("date")).repartition(9).write.parquet(
+        f"{tmp_path}/orders"
+    )
+    people = [(i, "F", "L", "e", f"United {i % 2}" if i % 5 else None) for i in range(300)]
+    spark.createDataFrame(people, CUSTOMERS.replace("customer_id string", "customer_id long")).write.parquet(
+        f"{tmp_path}/customers"
+    )
+    found = ops.top_customers_by_country(
+        spark.read.parquet(f"{tmp_path}/orders"),
+        spark.read.parquet(f"{tmp_path}/customers"),
+        as_of="2024-06-02",
+        country_pattern=None,
+        top_n=top_n,
+    )
+    rows = found.collect()
+    active = {c for _, c, _ in paid}
+    countries = {i: country for i, *_, country in people if i in active}
+    for country in {None, "United 0", "United 1"}:
+        own = {r.customer_id: r for r in rows if r.country == country}
+        totals = sorted((r.total_spent for r in own.values()), reverse=True)
+        for r in own.values():
+            assert r.spending_rank == 1 + sum(t > r.total_spent for t in totals)
+        everyone = [i for i, c in countries.items() if c == country]
+        if top_n == 5000:
+            assert sorted(own) == sorted(everyone)
+        else:
+            assert len(own) >= min(top_n, len(everyone))
+    text = plan(found).split("== Initial Plan ==")[0]
+    assert text.count("FileScan parquet") == 2
+    assert text.count("Join") == 1
+
+
+def test_odd_column_names_of_customers(spark):
+    orders = spark.createDataFrame([("1", "a", 5.0)], "order_id string, customer_id string, total_amount double")
+    customers = spark.createDataFrame(
+        [("a", "United X", 1, 2, 3, 4)],
+        "customer_id string, country string, `rows` int, `c` int, `a.b` int, `salt t` int",
+    )
+    found = ops.top_customers_by_country(
+        orders.withColumn("order_date", F.lit("2024-06-01").cast("date")), customers,
+        as_of="2024-06-02", all_columns=True,
+    )
+    assert tuple(found.first())[4:] == ("United X", 1, 2, 3, 4, 1)
