@@ -16,7 +16,12 @@ from shopledger.operators.quality import (
 )
 from shopledger.operators.ranking import top_customers_by_country
 from shopledger.operators.risk import high_risk_customers
-from shopledger.operators.sales import fact_types, sales_fact, sales_with_history
+from shopledger.operators.sales import (
+    fact_types,
+    sales_by_order,
+    sales_fact,
+    sales_with_history,
+)
 from shopledger.operators.trends import (
     customer_purchase_trend,
     customer_segments,
@@ -48,6 +53,7 @@ __all__ = [
     "rejected_values",
     "retention_rate",
     "sales_by_month",
+    "sales_by_order",
     "sales_fact",
     "sales_with_history",
     "top_customer_monthly_products",

@@ -127,15 +127,21 @@ def customer_purchase_trend(sales: DataFrame, *, ordered: bool = True) -> DataFr
     ``avg_order_value`` is the mean of line amounts. Growth compares with the
     customer's previous active month, which need not be the month before.
 
+    On ``sales_by_order`` each row is an order, so orders are counted as rows: no distinct,
+    and one exchange less than on the fact.
+
     For ordered output the monthly rows are ranged by customer ahead of the
     window. That layout serves the window and the final sort, which saves the
     sort a shuffle and Spark a second pass over the window to sample its output.
     """
     by_month = Window.partitionBy("customer_id").orderBy("order_year", "order_month")
+    by_order = "amounts" in sales.columns
     monthly = sales.groupBy("customer_id", "order_year", "order_month").agg(
-        F.count_distinct("order_id").alias("orders_per_month"),
+        (F.count("order_id") if by_order else F.count_distinct("order_id")).alias(
+            "orders_per_month"
+        ),
         F.sum("sales_amount").alias("monthly_spent"),
-        F.count("sales_amount").alias("lines"),
+        (F.sum("amounts") if by_order else F.count("sales_amount")).alias("lines"),
     )
     if ordered:
         monthly = monthly.repartitionByRange("customer_id")
@@ -260,7 +266,8 @@ def customer_segments(
 ) -> DataFrame:
     """Customers sorted into three segments by line count and spend.
 
-    Each threshold is (lines, spend), and both must be reached.
+    Each threshold is (lines, spend), and both must be reached. ``sales`` may be
+    ``sales_by_order``.
     """
 
     def reaches(threshold: tuple[int, float]):
@@ -270,7 +277,9 @@ def customer_segments(
     return (
         sales.groupBy("customer_id")
         .agg(
-            F.count("order_id").alias("purchase_count"),
+            (F.sum("lines") if "amounts" in sales.columns else F.count("order_id")).alias(
+                "purchase_count"
+            ),
             F.sum("sales_amount").alias("total_spent"),
             F.max("order_date").alias("last_order_date"),
         )

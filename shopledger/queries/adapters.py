@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.operators.sales import sales_fact
+from shopledger.operators.sales import sales_by_order, sales_fact
 
 # Orders end on 2001-08-01, events on 2024-01-30. This many days later, orders
 # fall into the time of the events.
@@ -190,6 +190,10 @@ class Retail:
         orders = self.orders() if orders is None else orders
         return sales_fact(orders, self.order_items(), self.products())
 
+    def order_sales(self) -> DataFrame:
+        """The lines of all orders, summed per order."""
+        return sales_by_order(self.orders(), self.order_items(), self.products())
+
     def history(self) -> DataFrame:
         """Sales before HISTORY_END in the stored form, dated by timestamps.
 

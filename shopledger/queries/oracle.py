@@ -345,6 +345,14 @@ ORACLE: dict[str, str] = {
         _PROFILE_TABLES, _PROFILE.format(columns=", ".join(_MEASURES))
     ),
     "sales_fact": _with("shop_orders sales", "SELECT * FROM sales"),
+    "sales_by_order": _with(
+        "shop_orders sales",
+        """SELECT order_id, customer_id, order_year, order_month, max(order_date) AS order_date,
+                  sum(quantity)::bigint AS quantity,
+                  sum(sales_amount)::decimal(21,2) AS sales_amount,
+                  count(*) AS lines, count(sales_amount) AS amounts
+           FROM sales GROUP BY order_id, customer_id, order_year, order_month""",
+    ),
     "sales_with_history": _with(
         "shop_orders sales history all_sales", "SELECT * FROM all_sales"
     ),

@@ -141,6 +141,11 @@ def sales_fact(t: Retail) -> DataFrame:
     return t.sales()
 
 
+@_query
+def sales_by_order(t: Retail) -> DataFrame:
+    return t.order_sales()
+
+
 @_query
 def sales_with_history(t: Retail) -> DataFrame:
     return ops.sales_with_history(t.sales(t.orders_since(HISTORY_END)), t.history())
@@ -148,7 +153,7 @@ def sales_with_history(t: Retail) -> DataFrame:
 
 @_query
 def peak_sales_months(t: Retail) -> DataFrame:
-    return ops.peak_sales_months(t.sales())
+    return ops.peak_sales_months(t.order_sales())
 
 
 @_query
@@ -158,12 +163,12 @@ def top_customer_monthly_products(t: Retail) -> DataFrame:
 
 @_query
 def customer_purchase_trend(t: Retail) -> DataFrame:
-    return ops.customer_purchase_trend(t.sales())
+    return ops.customer_purchase_trend(t.order_sales())
 
 
 @_query
 def retention_rate(t: Retail) -> DataFrame:
-    return ops.retention_rate(t.sales())
+    return ops.retention_rate(t.order_sales())
 
 
 @_query
@@ -183,7 +188,7 @@ def yoy_comparison_by_family(t: Retail) -> DataFrame:
 
 @_query
 def customer_segments(t: Retail) -> DataFrame:
-    return ops.customer_segments(t.sales())
+    return ops.customer_segments(t.order_sales())
 
 
 @_query

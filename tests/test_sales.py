@@ -1,7 +1,8 @@
+import random
 from datetime import datetime
 from decimal import Decimal as D
 
-from conftest import bag, day
+from conftest import bag, day, plan
 
 from shopledger import operators as ops
 from shopledger.operators.sales import SALES_COLUMNS
@@ -64,3 +65,70 @@ def test_history_columns_go_by_name(spark):
     sales = fact(spark)
     history = sales.select(*reversed(SALES_COLUMNS))
     assert bag(ops.sales_with_history(sales, history)) == sorted(bag(sales) * 2, key=repr)
+
+
+def order_tables(spark, seed):
+    """Orders, lines and products with repeated rows, unknown ids and missing values."""
+    rng = random.Random(seed)
+    days = [None, *(day(f"202{y}-{m:02d}-{d:02d}") for y in (2, 3) for m in (1, 2) for d in (1, 28))]
+    orders = [
+        (rng.randint(1, 60), rng.choice([None, 1, 2, 3]), rng.choice(days), "F") for _ in range(90)
+    ]
+    orders += orders[:9] + [(None, 1, days[1], "F")]
+    items = [
+        (rng.choice([None, *range(1, 70)]), rng.randint(1, 6), rng.choice([None, 1, 2]),
+         rng.choice([None, D("1.10"), D("7.25")]))
+        for _ in range(400)
+    ]
+    products = [(p, "n", "c") for p in (1, 2, 3, 4, 4)]
+    return (
+        spark.createDataFrame(orders, ORDERS),
+        spark.createDataFrame(items, ITEMS),
+        spark.createDataFrame(products, PRODUCTS),
+    )
+
+
+def test_reports_on_orders_equal_those_on_the_fact(spark):
+    for seed in range(3):
+        tables = order_tables(spark, seed)
+        sales, by_order = ops.sales_fact(*tables), ops.sales_by_order(*tables)
+        assert by_order.agg({"lines": "sum"}).first()[0] == sales.count()
+        for report in (
+            ops.peak_sales_months,
+            lambda df: ops.customer_purchase_trend(df, ordered=False),
+            ops.retention_rate,
+            lambda df: ops.customer_segments(df, high_value=(9, 30), regular=(3, 10)),
+            ops.top_customers,
+        ):
+            whole, summed = report(sales), report(by_order)
+            assert bag(whole) == bag(summed)
+            assert whole.dtypes == summed.dtypes
+
+
+def test_sums_of_lines_keep_double_amounts(spark):
+    orders, items, products = order_tables(spark, 5)
+    items = items.withColumn("unit_price", items.unit_price.cast("double"))
+    found = ops.sales_by_order(orders, items, products)
+    assert dict(found.dtypes)["sales_amount"] == "double"
+
+
+def test_one_row_an_order_is_shuffled(spark, tmp_path, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    for name, df in zip(("orders", "items", "products"), order_tables(spark, 1)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    tables = [spark.read.parquet(f"{tmp_path}/{n}") for n in ("orders", "items", "products")]
+
+    def exchanges(df):
+        return plan(df).split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+    def trend(sales):
+        return ops.customer_purchase_trend(sales, ordered=False)
+
+    assert exchanges(trend(ops.sales_by_order(*tables))) == exchanges(trend(ops.sales_fact(*tables)))
+    hot = spark.range(9000).selectExpr(
+        "if(id % 3 = 0, 7, id) as order_id", "1L as product_id", "1 as quantity",
+        "cast(1 as decimal(10,2)) as unit_price",
+    )
+    found = ops.sales_by_order(tables[0], hot.repartition(4), tables[2])
+    before_join = plan(found).split("SortMergeJoin")[1]
+    assert "HashAggregate(keys=[order_id" in before_join
