@@ -11,6 +11,7 @@ from shopledger.sources.reading import (
 )
 from shopledger.sources.schemas import SCHEMAS, column_types, conform
 from shopledger.sources.staging import drop_staged, stage, staging_folder
+from shopledger.sources.versions import current_folder, publish
 from shopledger.sources.writing import publish_table, write_dataset, write_datasets
 
 __all__ = [
@@ -19,8 +20,10 @@ __all__ = [
     "catalog_source",
     "column_types",
     "conform",
+    "current_folder",
     "directory_source",
     "drop_staged",
+    "publish",
     "publish_table",
     "read_audit_log",
     "read_parquet",

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from shopledger.sources.versions import current_folder
+
 # A source gives the table of a name.
 Source = Callable[[str], DataFrame]
 
@@ -16,7 +18,8 @@ def read_table(spark: SparkSession, name: str, database: str | None = None) -> D
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A Parquet directory; of a versioned one the current version."""
+    return spark.read.parquet(current_folder(spark, path))
 
 
 def read_path(
@@ -28,12 +31,12 @@ def read_path(
 ) -> DataFrame:
     """Any format Spark reads. By default CSV with a header, all columns text.
 
-    A schema spares an inference pass and types the columns; see also ``conform``.
+    Of a versioned dataset the current version is read. A schema spares an inference pass and types the columns; see also ``conform``.
     """
     reader = spark.read.format(fmt).options(**(options or {"header": "true"}))
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    return reader.load(current_folder(spark, path))
 
 
 def rows(spark: SparkSession, values: Iterable[tuple], schema: T.StructType | str) -> DataFrame:

@@ -27,7 +27,7 @@ def staging_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="shopledger-")
     else:
         folder = f"{root.rstrip('/')}/shopledger-{uuid4().hex}"
-    path, files = _file_system(spark, folder)
+    path, files = file_system(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
     return folder
@@ -42,11 +42,12 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 def drop_staged(spark: SparkSession, folder: str) -> None:
     """Deletes a folder made by ``staging_folder``."""
-    path, files = _file_system(spark, folder)
+    path, files = file_system(spark, folder)
     files.delete(path, True)
     files.cancelDeleteOnExit(path)
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
+    """(path, file system) of a folder, as the cluster's configuration has it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -88,6 +88,94 @@ def test_published_table_is_external_and_readable_both_ways(spark, tmp_path):
     assert kind == "EXTERNAL"
 
 
+def failing(spark):
+    """Rows of which a late one cannot be made, after files of others were written."""
+    lost = F.when(F.col("id") == 999, F.raise_error(F.lit("lost input")).cast("bigint"))
+    return spark.range(0, 1000, 1, 4).select(F.coalesce(lost, F.col("id")).alias("id"))
+
+
+def test_a_failing_overwrite_leaves_the_table_readable(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS published")
+    path = f"{tmp_path}/stable"
+    sources.publish_table(spark.range(3), path, "published", "stable")
+    begun = sources.read_table(spark, "stable", "published")
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost input"):
+            sources.publish_table(failing(spark), path, "published", "stable")
+        assert bag(sources.read_table(spark, "stable", "published")) == [(0,), (1,), (2,)]
+        assert sources.read_parquet(spark, path).count() == 3
+    assert len(list((tmp_path / "stable/_versions").iterdir())) == 1
+    sources.publish_table(spark.range(7), path, "published", "stable")
+    assert begun.count() == 3
+    assert sources.read_table(spark, "stable", "published").count() == 7
+    assert sources.read_parquet(spark, path).count() == 7
+
+
+def test_a_killed_write_is_not_seen_and_old_versions_go(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS published")
+    path = f"{tmp_path}/killed"
+    sources.publish_table(spark.range(1), path, "published", "killed")
+    # What a job that was killed in its write leaves: files without a marker.
+    spark.range(50).write.parquet(f"{path}/_versions/v20000101T000000-x")
+    assert sources.read_parquet(spark, path).count() == 1
+    assert sources.read_table(spark, "killed", "published").count() == 1
+    for n in range(2, 6):
+        sources.publish_table(spark.range(n), path, "published", "killed")
+        assert sources.read_table(spark, "killed", "published").count() == n
+    assert len(list((tmp_path / "killed/_versions").iterdir())) == 2
+    assert len([p for p in (tmp_path / "killed/_published").iterdir() if p.suffix != ".crc"]) == 2
+
+
+def test_partitioned_tables_switch_and_schemas_may_change(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS published")
+    path = f"{tmp_path}/parts"
+
+    def publish(n, **more):
+        df = spark.range(n).select((F.col("id") % 3).cast("int").alias("part"), "id", *[
+            F.lit(value).alias(name) for name, value in more.items()
+        ])
+        return sources.publish_table(df, path, "published", "parts", partition_by=["part"])
+
+    assert publish(9) == 9
+    assert publish(6) == 6
+    found = sources.read_table(spark, "parts", "published")
+    assert bag(found) == [(i, i % 3) for i in range(6)]
+    assert found.columns == ["id", "part"]
+    assert found.filter("part = 1").count() == 2
+    assert publish(4, **{"a b": "x"}) == 4
+    assert sources.read_table(spark, "parts", "published").columns == ["id", "a b", "part"]
+    assert sources.publish_table(
+        spark.range(3).selectExpr("id", "'y' as `a b`", "cast(id as int) as part"), path,
+        "published", "parts", mode="append", partition_by=["part"],
+    ) == 3
+    assert sources.read_table(spark, "parts", "published").count() == 7
+
+
+def test_versioned_datasets(spark, tmp_path):
+    path = f"{tmp_path}/d"
+    assert sources.current_folder(spark, path) == path
+    for n in (5, 6, 7):
+        assert sources.write_dataset(spark.range(n), path, fmt="orc", versioned=True) == n
+    assert sources.read_path(spark, path, "orc").count() == 7
+    with pytest.raises(Exception, match="lost input"):
+        sources.write_dataset(failing(spark), path, fmt="orc", versioned=True)
+    assert sources.read_path(spark, path, "orc").count() == 7
+    with pytest.raises(ValueError, match="overwrite"):
+        sources.write_dataset(spark.range(1), path, mode="append", versioned=True)
+    sources.write_datasets({"a": spark.range(2)}, str(tmp_path), versioned=True)
+    assert sources.directory_source(spark, str(tmp_path))("a").count() == 2
+
+
+def test_a_slow_clock_does_not_publish_into_the_past(spark, tmp_path):
+    path = f"{tmp_path}/clock"
+    sources.write_dataset(spark.range(1), path, versioned=True)
+    marker = tmp_path / "clock/_published/v29990101T000000000000-0"
+    marker.touch()
+    (tmp_path / "clock/_versions/v29990101T000000000000-0").mkdir()
+    sources.write_dataset(spark.range(4), path, versioned=True)
+    assert sources.read_parquet(spark, path).count() == 4
+
+
 def test_many_outputs_under_one_root(spark, tmp_path):
     counts = sources.write_datasets({"a": spark.range(1), "b": spark.range(2)}, str(tmp_path))
     assert counts == {"a": 1, "b": 2}
