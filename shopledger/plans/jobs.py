@@ -8,17 +8,20 @@ a failed one, leaves a row in the audit log.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shopledger import operators as ops
-from shopledger.functions.casts import lost_count
+from shopledger.functions.casts import Types, lost_count
 from shopledger.functions.dates import AsOf, as_of_date
 from shopledger.operators.cleaning import ORDER_TYPES
 from shopledger.session import input_bytes_of, sized, tune
 from shopledger.sources.audit import write_audit_log
+from shopledger.sources.quarantine import sift
 from shopledger.sources.reading import Source
 from shopledger.sources.staging import drop_staged, stage, staging_folder
 from shopledger.sources.writing import (
@@ -48,7 +51,6 @@ class Counts(dict[str, int]):
     rejected = 0
 
 
-
 REJECTED = "rejected_values"
 
 
@@ -91,6 +93,38 @@ def _checked(found: int, accepted: int) -> int:
     return found
 
 
+@dataclass(frozen=True)
+class _Raw:
+    """Raw rows, and how many of their values do not fit, which is known once read."""
+
+    rows: DataFrame
+    rejected: Callable[[], int]
+
+
+@contextmanager
+def _raw(
+    spark: SparkSession, df: DataFrame, types: Types, quarantine: str | None, accepted: int
+) -> Iterator[_Raw]:
+    """``df`` with a count of its misfits, more than ``accepted`` of which are an error.
+
+    They are counted while ``df`` is read. With ``quarantine`` it is read into a staged
+    table first, whose rejected rows go there before anything else is done.
+    """
+    if quarantine is None:
+        seen = Observation()
+        counted = df.observe(seen, lost_count(types).alias(REJECTED))
+        yield _Raw(counted, lambda: _checked(seen.get[REJECTED], accepted))
+        return
+    folder = staging_folder(spark)
+    try:
+        found = sift(df, types, folder)
+        write_dataset(found.rejected, quarantine, versioned=True)
+        _checked(found.values, accepted)
+        yield _Raw(found.rows, lambda: found.values)
+    finally:
+        drop_staged(spark, folder)
+
+
 def preprocessing_job(
     spark: SparkSession,
     source: Source,
@@ -100,13 +134,14 @@ def preprocessing_job(
     *,
     as_of: AsOf = None,
     max_rejected: int = 0,
+    quarantine: str | None = None,
     input_bytes: int | None = None,
 ) -> Counts:
     """Cleans customers and orders, and publishes them and the other tables in ``database``.
 
     Orders are checked against the customers table just written, so cleaning
     runs once. Amounts that do not fit are counted meanwhile; more than ``max_rejected``
-    fail the job.
+    fail the job. With ``quarantine`` their orders are first written there, with reasons.
     """
 
     def publish(df: DataFrame, table: str, folder: str) -> int:
@@ -116,11 +151,10 @@ def preprocessing_job(
         customers = ops.clean_customers(source("customers"))
         counts = Counts(customers=publish(customers, "customers", "customers_clean"))
         known = spark.read.table(f"{database}.customers")
-        seen = Observation()
-        raw = source("orders").observe(seen, lost_count(ORDER_TYPES).alias(REJECTED))
-        orders = ops.clean_orders(raw, known, as_of=_fixed_date(spark, as_of))
-        counts["orders"] = publish(orders, "orders", "orders_clean")
-        counts.rejected = _checked(seen.get[REJECTED], max_rejected)
+        with _raw(spark, source("orders"), ORDER_TYPES, quarantine, max_rejected) as raw:
+            orders = ops.clean_orders(raw.rows, known, as_of=_fixed_date(spark, as_of))
+            counts["orders"] = publish(orders, "orders", "orders_clean")
+            counts.rejected = raw.rejected()
         counts.update(
             side_by_side(lambda table: publish(source(table), table, table), PASSTHROUGH_TABLES)
         )
@@ -287,6 +321,7 @@ def sales_trends_job(
     job_name: str = "sales_trends",
     ordered: bool = True,
     max_rejected: int = 0,
+    quarantine: str | None = None,
     input_bytes: int | None = None,
 ) -> Counts:
     """The seven sales reports.
@@ -295,7 +330,8 @@ def sales_trends_job(
     and historical sales sums them by month, one more makes the purchase trend; the
     other reports and the top list they share come from the monthly sums. Historical
     values that do not fit the fact are counted in the first scan; more than
-    ``max_rejected`` fail the job before a report is written.
+    ``max_rejected`` fail the job before a report is written. With ``quarantine`` their rows
+    are written there, with reasons, in any case.
     """
 
     def run() -> Counts:
@@ -303,17 +339,18 @@ def sales_trends_job(
         try:
             fact = ops.sales_fact(source("orders"), source("order_items"), source("products"))
             current = stage(fact, folder, "sales")
-            history, seen = source("historical_customer_sales"), Observation()
-            counted = history.observe(seen, lost_count(ops.fact_types(current)).alias(REJECTED))
-            sums = ops.sales_by_month(ops.sales_with_history(current, counted))
-            monthly = stage(sums, folder, "sales_by_month")
-            rejected = _checked(seen.get[REJECTED], max_rejected)
-            sales = ops.sales_with_history(current, history)
-            top = stage(ops.top_customers(monthly), folder, "top_customers")
-            reports = sales_outputs(
-                sales, current, source("products"), top, monthly=monthly, ordered=ordered
-            )
-            counts = Counts(write_datasets(reports, f"{output}/{job_name}"))
+            stored, types = source("historical_customer_sales"), ops.fact_types(current)
+            with _raw(spark, stored, types, quarantine, max_rejected) as raw:
+                sums = ops.sales_by_month(ops.sales_with_history(current, raw.rows))
+                monthly = stage(sums, folder, "sales_by_month")
+                rejected = raw.rejected()
+                history = stored if quarantine is None else raw.rows
+                sales = ops.sales_with_history(current, history)
+                top = stage(ops.top_customers(monthly), folder, "top_customers")
+                reports = sales_outputs(
+                    sales, current, source("products"), top, monthly=monthly, ordered=ordered
+                )
+                counts = Counts(write_datasets(reports, f"{output}/{job_name}"))
             counts.rejected = rejected
             return counts
         finally:

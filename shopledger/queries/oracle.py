@@ -70,6 +70,14 @@ SHAPED = {
     "history": f"""
         SELECT * REPLACE ((sales_amount + 7.25)::decimal(21,2) AS sales_amount)
         FROM sales WHERE order_date < DATE '{HISTORY_END}'""",
+    "stored_text": """
+        SELECT CASE WHEN order_id % 31 = 5 THEN 'C' || customer_id
+                    WHEN order_id % 37 <> 6 THEN customer_id::varchar END AS customer_id,
+               CASE WHEN order_id % 29 = 4 THEN replace(sales_amount::varchar, '.', ',')
+                    ELSE sales_amount::varchar END AS sales_amount,
+               strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date,
+               quantity::bigint * CASE WHEN order_id % 41 = 7 THEN 2000000000 ELSE 1 END AS quantity
+        FROM history""",
     "all_sales": f"""
         SELECT * FROM sales WHERE order_date >= DATE '{HISTORY_END}'
         UNION ALL SELECT * FROM history""",
@@ -461,6 +469,32 @@ ORACLE: dict[str, str] = {
             ]
         ),
     ),
+    "quarantined_values": _with(
+        "shop_orders sales history stored_text",
+        """SELECT customer_id, sales_amount, order_date, quantity, f.* FROM (
+               SELECT *, unnest([
+                   CASE WHEN customer_id LIKE 'C%' THEN {'column_name': 'customer_id',
+                        'value': customer_id, 'reason': 'not a bigint'} END,
+                   CASE WHEN sales_amount LIKE '%,%' THEN {'column_name': 'sales_amount',
+                        'value': sales_amount, 'reason': 'not a decimal(21,2)'} END,
+                   CASE WHEN quantity > 2147483647 THEN {'column_name': 'quantity',
+                        'value': quantity::varchar, 'reason': 'out of the range of int'} END
+               ]) AS f FROM stored_text)
+           WHERE f IS NOT NULL""",
+    ),
+    "publish_after_failure": _with(
+        "shop_orders",
+        "\nUNION ALL\n".join(
+            f"SELECT '{step}' AS step, * FROM ("
+            + _sums("orders", f"SELECT * FROM shop_orders WHERE {kept}", "order_id", "total_amount")
+            + ")"
+            for step, kept in [
+                ("first", "true"),
+                ("failed", "true"),
+                ("next", f"order_date >= DATE '{HISTORY_END}'"),
+            ]
+        ),
+    ),
     "csv_round_trip": _with(
         "shop_orders", "SELECT columns(*)::varchar FROM shop_orders"
     ),

@@ -19,9 +19,11 @@ from shopledger.queries.adapters import HISTORY_END, ORDER_SHIFT_DAYS, Retail
 from shopledger.session import tune
 from shopledger.sources import (
     drop_staged,
+    publish_table,
     read_audit_log,
     read_parquet,
     read_path,
+    sift,
     stage,
     staging_folder,
     write_dataset,
@@ -199,6 +201,8 @@ def data_quality_report(t: Retail) -> DataFrame:
     return ops.data_quality_report(tables)
 
 
+LOST = "an order that cannot be read"
+
 # Published tables and report files with what is summed over them: a key and an amount.
 PUBLISHED: dict[str, tuple[str, str | None]] = {
     "customers": ("customer_id", None),
@@ -254,6 +258,43 @@ def rejected_values(t: Retail) -> DataFrame:
     return ops.rejected_values(history, types)
 
 
+@_query
+def quarantined_values(t: Retail) -> DataFrame:
+    """Every stored value that does not fit the sales fact, with its row and the reason.
+
+    The result reads the staged rows, so their folder stays until the application ends.
+    """
+    history = t.dirty_history()
+    types = {n: k for n, k in ops.fact_types(t.sales()).items() if n in history.columns}
+    rejected = sift(history, types, staging_folder(t.spark)).rejected
+    return rejected.select(*history.columns, F.inline("faults"))
+
+
+@_query
+def publish_after_failure(t: Retail) -> DataFrame:
+    """What a table holds after one version, after a next one that fails, and after a third."""
+    folder, database = staging_folder(t.spark), f"silver_{uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/warehouse'")
+
+    def published(step: str, orders: DataFrame) -> DataFrame:
+        try:
+            publish_table(orders, f"{folder}/orders", database, "orders")
+        except Exception as failure:
+            if LOST not in str(failure):
+                raise
+        found = {"orders": t.spark.read.table(f"{database}.orders")}
+        return _kept(_contents(found, PUBLISHED).withColumn("step", F.lit(step)))
+
+    lost = F.when(F.col("order_id") % 1000 == 7, F.raise_error(F.lit(LOST)).cast("long"))
+    broken = t.orders().withColumn("order_id", F.coalesce(lost, F.col("order_id")))
+    steps = {"first": t.orders(), "failed": broken, "next": t.orders_since(HISTORY_END)}
+    try:
+        return reduce(DataFrame.unionByName, [published(*step) for step in steps.items()])
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+        drop_staged(t.spark, folder)
+
+
 @_query
 def csv_round_trip(t: Retail) -> DataFrame:
     """Orders written as CSV with a header and read back as text.

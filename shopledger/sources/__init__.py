@@ -1,6 +1,7 @@
 """Reading, writing, staging and schemas."""
 
 from shopledger.sources.audit import AUDIT_SCHEMA, read_audit_log, write_audit_log
+from shopledger.sources.quarantine import Sifted, sift
 from shopledger.sources.reading import (
     catalog_source,
     directory_source,
@@ -17,6 +18,7 @@ from shopledger.sources.writing import publish_table, write_dataset, write_datas
 __all__ = [
     "AUDIT_SCHEMA",
     "SCHEMAS",
+    "Sifted",
     "catalog_source",
     "column_types",
     "conform",
@@ -30,6 +32,7 @@ __all__ = [
     "read_path",
     "read_table",
     "rows",
+    "sift",
     "stage",
     "staging_folder",
     "write_audit_log",

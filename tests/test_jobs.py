@@ -157,3 +157,49 @@ def test_fact_is_read_once_for_all_monthly_reports(spark, silver, tmp_path, monk
     assert {name for name, reads in seen.items() if reads} == {
         "customer_purchase_trend", "customer_segmented",
     }
+
+
+def test_rejected_rows_can_be_read_back(spark, tmp_path):
+    t = Retail(spark, FOLDER)
+    tables = {
+        "orders": t.orders(), "order_items": t.order_items(), "products": t.products(),
+        "historical_customer_sales": t.sales().withColumns(
+            {n: F.lit(None).cast(k) for n, k in t.sales().dtypes if n not in t.dirty_history().columns}
+        ).select("order_id", "product_id", "unit_price", "order_year", "order_month").limit(0)
+        .unionByName(t.dirty_history(), allowMissingColumns=True),
+    }
+    gold, log, apart = (f"{tmp_path}/{n}" for n in ("gold", "log", "apart"))
+    with pytest.raises(plans.jobs.ops.RejectedValuesError):
+        plans.sales_trends_job(spark, tables.__getitem__, gold, log, quarantine=apart)
+    assert not (tmp_path / "gold").exists()
+    first = read_parquet(spark, apart)
+    n_values = first.select(F.sum(F.size("faults"))).first()[0]
+    assert n_values > first.count() > 0
+    counts = plans.sales_trends_job(
+        spark, tables.__getitem__, gold, log, quarantine=apart, max_rejected=n_values
+    )
+    assert counts.rejected == n_values
+    plain = plans.sales_trends_job(
+        spark, tables.__getitem__, f"{gold}_plain", log, max_rejected=n_values
+    )
+    assert dict(plain) == dict(counts) and plain.rejected == n_values
+    for name in counts:
+        one, two = (read_parquet(spark, f"{g}/sales_trends/{name}") for g in (gold, f"{gold}_plain"))
+        assert bag(one) == bag(two), name
+
+
+def test_rejected_orders_are_kept_apart(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS apart")
+    shaped = _source(Retail(spark, FOLDER))
+    odd = shaped("orders").withColumn(
+        "total_amount",
+        F.when(F.col("customer_id") % 5 == 1, "1e30").otherwise(F.col("total_amount").cast("string")),
+    )
+    counts = plans.preprocessing_job(
+        spark, lambda name: odd if name == "orders" else shaped(name), f"{tmp_path}/silver", "apart",
+        f"{tmp_path}/log", as_of="2000-12-31", max_rejected=10**9, quarantine=f"{tmp_path}/q",
+    )
+    kept = read_parquet(spark, f"{tmp_path}/q")
+    assert counts.rejected == kept.count() == odd.filter("total_amount = '1e30'").count() > 0
+    reasons = {tuple(r) for r in kept.select(F.inline("faults")).distinct().collect()}
+    assert reasons == {("total_amount", "1e30", "out of the range of decimal(10,2)")}
