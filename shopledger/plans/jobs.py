@@ -11,14 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from shopledger import operators as ops
 from shopledger.functions.casts import Types, lost_count
-from shopledger.functions.dates import AsOf, as_of_date
+from shopledger.functions.dates import AsOf, as_of_date, dated
 from shopledger.operators.cleaning import ORDER_TYPES
+from shopledger.plans import months
 from shopledger.session import input_bytes_of, sized, tune
 from shopledger.sources.audit import write_audit_log
 from shopledger.sources.quarantine import sift
@@ -46,9 +48,11 @@ SALES_TABLES = ["orders", "order_items", "products", "historical_customer_sales"
 
 
 class Counts(dict[str, int]):
-    """Row counts by output; ``rejected`` is how many input values did not fit."""
+    """Row counts by output; ``rejected`` is how many input values did not fit, ``months``
+    how many months' sums were made anew."""
 
     rejected = 0
+    months = 0
 
 
 REJECTED = "rejected_values"
@@ -300,15 +304,23 @@ def sales_outputs(
     reports but the trend and the segments then come. ``ordered=False`` leaves the
     two large reports unsorted.
     """
-    monthly = sales if monthly is None else monthly
+    by_month = monthly_outputs(sales if monthly is None else monthly, products, top, ordered=ordered)
+    return by_month | {
+        "customer_purchase_trend": ops.customer_purchase_trend(sales, ordered=ordered),
+        "customer_segmented": ops.customer_segments(current),
+    }
+
+
+def monthly_outputs(
+    monthly: DataFrame, products: DataFrame, top: DataFrame | None = None, *, ordered: bool = True
+) -> dict[str, DataFrame]:
+    """The five sales reports that monthly sums are enough for, by output name."""
     return {
         "peak_sales_months": ops.peak_sales_months(monthly),
         "top_customers": ops.top_customer_monthly_products(monthly, products, top=top),
-        "customer_purchase_trend": ops.customer_purchase_trend(sales, ordered=ordered),
         "retention_rate_pct": ops.retention_rate(monthly),
         "month_over_month_growth_pct": ops.product_mom_growth(monthly, products, ordered=ordered),
         "yoy_comparison": ops.yoy_comparison(monthly, products, top=top),
-        "customer_segmented": ops.customer_segments(current),
     }
 
 
@@ -365,3 +377,68 @@ def sales_trends_job(
         lambda: [source(name) for name in SALES_TABLES],
         input_bytes,
     )
+
+
+def sales_months_job(
+    spark: SparkSession,
+    source: Source,
+    store: str,
+    output: str,
+    audit_path: str,
+    *,
+    first: date | None = None,
+    last: date | None = None,
+    job_name: str = "sales_months",
+    ordered: bool = True,
+    max_rejected: int = 0,
+    quarantine: str | None = None,
+    input_bytes: int | None = None,
+) -> Counts:
+    """Five sales reports from monthly sums that are kept under ``store`` (see ``months``).
+
+    A run with ``first`` or ``last`` loads the orders of those months only and sums the
+    months whose facts changed; the reports are made from all months' sums. A run without
+    loads all orders, and the historical sales, whose misfits are treated as in
+    ``sales_trends_job``. ``months`` of the result counts the months that were summed.
+    """
+
+    def run() -> Counts:
+        if first is None and last is None:
+            fact = ops.sales_fact(source("orders"), source("order_items"), source("products"))
+            months.store_facts(fact, store, first=date.min, last=date.max)
+            stored, types = source("historical_customer_sales"), ops.fact_types(fact)
+            with _raw(spark, stored, types, quarantine, max_rejected) as raw:
+                months.store_facts(
+                    raw.rows, store, origin="history", first=date.min, last=date.max
+                )
+                rejected = raw.rejected()
+        else:
+            orders, day = source("orders"), dated(source("orders"), "order_date")
+            if first is not None:
+                orders = orders.filter(day >= F.lit(first.replace(day=1)))
+            if last is not None:
+                orders = orders.filter(day < F.add_months(F.lit(last.replace(day=1)), 1))
+            fact = ops.sales_fact(orders, source("order_items"), source("products"))
+            months.store_facts(fact, store, first=first, last=last)
+            rejected = 0
+        summed = months.refresh_months(spark, store)
+        monthly = months.monthly_sales(spark, store)
+        folder = staging_folder(spark)
+        try:
+            top = stage(ops.top_customers(monthly), folder, "top_customers")
+            reports = monthly_outputs(monthly, source("products"), top, ordered=ordered)
+            counts = Counts(write_datasets(reports, f"{output}/{job_name}"))
+        finally:
+            drop_staged(spark, folder)
+        counts.rejected, counts.months = rejected, len(summed)
+        return counts
+
+    return _audited(
+        spark,
+        job_name,
+        audit_path,
+        "peak_sales_months",
+        run,
+        lambda: [source(name) for name in SALES_TABLES],
+        input_bytes,
+    )

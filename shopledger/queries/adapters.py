@@ -8,6 +8,7 @@ shuffle: nothing is collected per key and no table is sampled.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ ORDER_SHIFT_DAYS = 8217
 # Sales before this day count as history.
 HISTORY_END = "1999-01-01"
 
+# The months from here on are loaded by a run of their own.
+LATE_MONTHS = date(2001, 6, 1)
+
 FAMILIES = 20
 
 

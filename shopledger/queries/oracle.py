@@ -6,7 +6,7 @@ per source, self-joins), not from the way the operators compute it.
 
 from __future__ import annotations
 
-from shopledger.queries.adapters import FAMILIES, HISTORY_END, ORDER_SHIFT_DAYS
+from shopledger.queries.adapters import FAMILIES, HISTORY_END, LATE_MONTHS, ORDER_SHIFT_DAYS
 from shopledger.queries.registry import TABLE_KEYS
 
 SHAPED = {
@@ -281,6 +281,8 @@ _REPORTS = [
     ),
 ]
 
+_PER_ORDER = ["customer_purchase_trend", "customer_segmented"]
+
 _PUBLISHED = [
     ("customers", "SELECT * FROM cleaned_customers", "customer_id", None),
     ("orders", "SELECT * FROM cleaned_orders", "order_id", "total_amount"),
@@ -507,6 +509,16 @@ ORACLE: dict[str, str] = {
         "shop_orders sales history all_sales",
         "\nUNION ALL\n".join(_sums(*item) for item in _REPORTS),
     ),
+    "sales_months": _with(
+        "shop_orders sales history all_sales",
+        "\nUNION ALL\n".join(
+            [
+                *(_sums(*item) for item in _REPORTS if item[0] not in _PER_ORDER),
+                f"""SELECT 'refreshed', count(DISTINCT date_trunc('month', order_date)), NULL, NULL
+                    FROM sales WHERE order_date >= DATE '{LATE_MONTHS}'""",
+            ]
+        ),
+    ),
     "audit_log": _with(
         "shop_customers shop_orders shifted_orders logins keyed_events interactions tickets",
         "\nUNION ALL\n".join(
