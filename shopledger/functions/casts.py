@@ -47,3 +47,15 @@ def common_id_type(keys: Iterable[tuple[DataFrame, str]]) -> T.DataType:
         if own and not df.filter(lost(name, T.LongType())).limit(1).isEmpty():
             return T.StringType()
     return T.LongType()
+
+
+def canonical_id(key: Column) -> Column:
+    """An id as text that is the same for a number and for its spellings.
+
+    Whole numbers lose blanks around them, a plus sign and leading zeros; all else stays as
+    it is. So 7, '007' and '+7' meet, '-0' is 0, and 'C1' and '007a' are themselves.
+    """
+    text = key.cast("string")
+    plain = F.regexp_replace(F.trim(text), r"^\+?(-?)0*(\d+)$", "$1$2")
+    number = F.when(plain == "-0", "0").otherwise(plain)
+    return F.when(F.trim(text).rlike(r"^[+-]?\d+$"), number).otherwise(text)

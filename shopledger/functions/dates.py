@@ -39,6 +39,25 @@ def dated(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+def month_column(name: str) -> str:
+    """The column that holds the first day of a date column's month, if a table has it."""
+    return f"{name}_month"
+
+
+def with_month(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the month of ``name``, to be published by it."""
+    return df.withColumn(month_column(name), F.trunc(dated(df, name), "MM"))
+
+
 def in_trailing_days(df: DataFrame, name: str, as_of: AsOf, days: int) -> Column:
-    """True where ``name`` is on or after the day ``days`` before ``as_of``."""
-    return dated(df, name) >= F.date_sub(as_of_date(as_of), days)
+    """True where ``name`` is on or after the day ``days`` before ``as_of``.
+
+    On a table published by month (see ``with_month``) it also compares the months, which
+    for a literal ``as_of`` leaves the folders of older ones unread.
+    """
+    start = F.date_sub(as_of_date(as_of), days)
+    recent = dated(df, name) >= start
+    month = month_column(name)
+    if month in df.columns and isinstance(df.schema[month].dataType, T.DateType):
+        return (F.col(month) >= F.trunc(start, "MM")) & recent
+    return recent

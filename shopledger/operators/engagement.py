@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.functions.casts import common_id_type
+from shopledger.functions.casts import canonical_id, common_id_type
 from shopledger.functions.dates import AsOf, in_trailing_days
 
 # What the sources call channels, actions and ticket states.
@@ -62,6 +62,7 @@ def omni_channel_engagement(
     days: int = 90,
     zero_fill: bool = True,
     ordered: bool = True,
+    text_ids: bool = False,
 ) -> DataFrame:
     """One row per customer seen in any of the three sources in the trailing window.
 
@@ -69,7 +70,8 @@ def omni_channel_engagement(
     nothing on a customer gives zeros, or NULLs with ``zero_fill=False``. Rows
     without a customer id match nothing, so they stay one row per source. Ids of
     different types are compared as the wider integer, or as text if one of them is
-    none; telling that takes a scan of the ids that are text.
+    none; telling that takes a scan of the ids that are text. With ``text_ids`` nothing is
+    scanned: all ids become text, in which whole numbers have one spelling.
 
     Each source is reduced to one narrow row per customer (one shuffle each,
     after map-side partial counts). The three results are stacked and merged by
@@ -77,12 +79,13 @@ def omni_channel_engagement(
     further shuffle or sort, which a chain of full outer joins would.
     """
     keys = ((orders, "customer_id"), (interactions, "CustomerID"), (tickets, "CustomerID"))
-    key_type = common_id_type(keys)
+    key_type = None if text_ids else common_id_type(keys)
 
     def per_customer(df: DataFrame, key: str, day: str, measures: list[Column]) -> DataFrame:
+        same = canonical_id(F.col(key)) if text_ids else F.col(key).cast(key_type)
         return (
             df.filter(in_trailing_days(df, day, as_of, days))
-            .groupBy(F.col(key).cast(key_type).alias("customer_id"))
+            .groupBy(same.alias("customer_id"))
             .agg(*measures)
         )
 

@@ -8,7 +8,7 @@ a failed one, leaves a row in the audit log.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shopledger import operators as ops
 from shopledger.functions.casts import Types, lost_count
-from shopledger.functions.dates import AsOf, as_of_date, dated
+from shopledger.functions.dates import AsOf, as_of_date, dated, month_column, with_month
 from shopledger.operators.cleaning import ORDER_TYPES
 from shopledger.plans import months
 from shopledger.session import input_bytes_of, sized, tune
@@ -139,6 +139,7 @@ def preprocessing_job(
     as_of: AsOf = None,
     max_rejected: int = 0,
     quarantine: str | None = None,
+    by_month: Mapping[str, str] | None = None,
     input_bytes: int | None = None,
 ) -> Counts:
     """Cleans customers and orders, and publishes them and the other tables in ``database``.
@@ -146,10 +147,17 @@ def preprocessing_job(
     Orders are checked against the customers table just written, so cleaning
     runs once. Amounts that do not fit are counted meanwhile; more than ``max_rejected``
     fail the job. With ``quarantine`` their orders are first written there, with reasons.
+    ``by_month`` maps tables to a date column: these are published in folders by its month,
+    of which the reports on trailing windows read the recent ones.
     """
+    by_month = by_month or {}
 
     def publish(df: DataFrame, table: str, folder: str) -> int:
-        return publish_table(df, f"{output}/{folder}", database, table)
+        parts = []
+        if table in by_month:
+            df = with_month(df, by_month[table])
+            parts = [month_column(by_month[table])]
+        return publish_table(df, f"{output}/{folder}", database, table, partition_by=parts)
 
     def run() -> Counts:
         customers = ops.clean_customers(source("customers"))

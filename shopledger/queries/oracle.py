@@ -103,6 +103,13 @@ SHAPED = {
                CASE k % 3 WHEN 0 THEN 'Open' WHEN 1 THEN 'Resolved' ELSE 'Pending' END AS "Status",
                '{"Status":"' || "Status" || '"}' AS "Issue"
         FROM keyed_events""",
+    "named_interactions": """
+        SELECT * REPLACE ("CustomerID"::varchar AS "CustomerID") FROM interactions""",
+    "named_orders": """
+        SELECT * REPLACE (customer_id::varchar AS customer_id) FROM shifted_orders""",
+    "named_tickets": """
+        SELECT * REPLACE (CASE WHEN "CustomerID" % 9 = 4 THEN 'C' || "CustomerID"
+                               ELSE "CustomerID"::varchar END AS "CustomerID") FROM tickets""",
     "spending": """
         SELECT customer_id, sum(total_amount)::decimal(20,2) AS total_spent,
                count(order_id) AS total_orders, max(order_date) AS last_purchase_date
@@ -323,6 +330,12 @@ ORACLE: dict[str, str] = {
                   total_spent, total_orders, last_purchase_date, spending_rank
            FROM ranked WHERE spending_rank <= 10""",
     ),
+    "top_customers_by_month_folders": _with(
+        "shop_customers shop_orders spending ranked",
+        """SELECT country, customer_id, first_name || ' ' || last_name AS full_name, email,
+                  total_spent, total_orders, last_purchase_date, spending_rank
+           FROM ranked WHERE spending_rank <= 10""",
+    ),
     "customer_ranks": _with(
         "shop_customers shop_orders",
         """SELECT country, customer_id, total_spent,
@@ -354,6 +367,13 @@ ORACLE: dict[str, str] = {
     "omni_channel_engagement_nulls": _with(
         _PROFILE_TABLES, _PROFILE.format(columns=", ".join(_MEASURES))
     ),
+    "omni_channel_engagement_text_ids": _with(
+        _PROFILE_TABLES + " named_interactions named_orders named_tickets",
+        _PROFILE.replace("FROM interactions", "FROM named_interactions")
+        .replace("FROM shifted_orders", "FROM named_orders")
+        .replace("FROM tickets", "FROM named_tickets")
+        .format(columns=", ".join(f"coalesce({m}, 0) AS {m}" for m in _MEASURES)),
+    ),
     "sales_fact": _with("shop_orders sales", "SELECT * FROM sales"),
     "sales_by_order": _with(
         "shop_orders sales",

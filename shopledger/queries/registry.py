@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shopledger import operators as ops
 from shopledger import plans
+from shopledger.functions.dates import month_column, with_month
 from shopledger.queries.adapters import HISTORY_END, LATE_MONTHS, ORDER_SHIFT_DAYS, Retail
 from shopledger.session import tune
 from shopledger.sources import (
@@ -85,6 +86,21 @@ def top_customers_all_columns(t: Retail) -> DataFrame:
     )
 
 
+@_query
+def top_customers_by_month_folders(t: Retail) -> DataFrame:
+    """The same from orders published by month, of which a year's folders are read.
+
+    The result reads the published files, so their folder stays until the application ends.
+    """
+    folder = staging_folder(t.spark)
+    orders = with_month(t.orders(), "order_date")
+    write_dataset(orders, folder, partition_by=[month_column("order_date")], mode="append")
+    published = t.spark.read.schema(orders.schema).parquet(folder)
+    return ops.top_customers_by_country(
+        published, t.customers(), as_of="2001-08-01", country_pattern="NATION_1%"
+    )
+
+
 @_query
 def churn_risk(t: Retail) -> DataFrame:
     return ops.churn_risk(t.orders(), as_of="2001-08-02")
@@ -138,6 +154,22 @@ def omni_channel_engagement_nulls(t: Retail) -> DataFrame:
     return _engagement(t, zero_fill=False)
 
 
+@_query
+def omni_channel_engagement_text_ids(t: Retail) -> DataFrame:
+    """Profiles where one source pads its ids with zeros and another has a prefix in some."""
+    tickets = ops.flatten_support_tickets(t.support())
+    padded = F.lpad(F.col("CustomerID").cast("string"), 12, "0")
+    named = F.when(F.col("CustomerID") % 9 == 4, F.concat(F.lit("C"), F.col("CustomerID")))
+    interactions = ops.flatten_campaign_interactions(t.campaigns())
+    return ops.omni_channel_engagement(
+        t.orders(ORDER_SHIFT_DAYS),
+        interactions.withColumn("CustomerID", padded),
+        tickets.withColumn("CustomerID", F.coalesce(named, F.col("CustomerID").cast("string"))),
+        as_of="2024-04-09",
+        text_ids=True,
+    )
+
+
 @_query
 def sales_fact(t: Retail) -> DataFrame:
     return t.sales()

@@ -166,3 +166,31 @@ def test_ids_of_other_types_are_matched(spark):
     found = ops.omni_channel_engagement(orders, interactions, tickets, as_of="2024-05-31")
     assert dict(found.dtypes)["customer_id"] == "bigint"
     assert found.count() == 8
+
+
+def test_text_ids_meet_in_one_spelling_without_a_job(spark, tmp_path):
+    orders = spark.createDataFrame([(1, 7, day("2024-01-02"), Decimal("5.00"))], ORDERS)
+    interactions = spark.createDataFrame(
+        [("007", day("2024-01-02"), "Email", "Opened"), ("C1", day("2024-01-02"), "Email", "Opened"),
+         ("007a", day("2024-01-02"), "Web", "Opened"), ("-0", day("2024-01-02"), "Web", "Opened")],
+        "CustomerID string, Timestamp date, Channel string, Action string",
+    )
+    tickets = spark.createDataFrame(
+        [(" +7", 1, day("2024-01-02"), "Open"), (None, 2, day("2024-01-02"), "Open"),
+         ("0", 3, day("2024-01-02"), "Open"), ("-007", 4, day("2024-01-02"), "Open")],
+        "CustomerID string, TicketID int, Timestamp date, Status string",
+    )
+    interactions.write.parquet(f"{tmp_path}/i")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "planning")
+    found = ops.omni_channel_engagement(
+        orders, spark.read.parquet(f"{tmp_path}/i"), tickets, as_of="2024-01-03", text_ids=True
+    )
+    planned = [*tracker.getJobIdsForGroup("plan")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(planned) <= 1  # the schema of the files
+    rows = {r.customer_id: (r.emails_opened, r.ad_views, r.purchases, r.total_ticket) for r in found.collect()}
+    assert rows == {
+        "7": (1, 0, 1, 1), "C1": (1, 0, 0, 0), "007a": (0, 1, 0, 0), "0": (0, 1, 0, 1),
+        "-7": (0, 0, 0, 1), None: (0, 0, 0, 1),
+    }

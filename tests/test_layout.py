@@ -1,0 +1,77 @@
+"""Tables published by month: trailing windows read the recent folders only."""
+
+from conftest import bag, day, plan
+from pyspark.sql import functions as F
+
+from shopledger import operators as ops
+from shopledger import plans
+from shopledger.functions.dates import in_trailing_days, month_column, with_month
+from shopledger.queries.adapters import ORDER_SHIFT_DAYS, Retail
+from shopledger.queries.registry import _source
+from shopledger.sources import read_table, write_dataset
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def by_month(spark, path, df, name):
+    write_dataset(with_month(df, name), path, partition_by=[month_column(name)])
+    return spark.read.parquet(path)
+
+
+def first_filters(df):
+    """The partition filters of the scans."""
+    return [line for line in plan(df).splitlines() if "PartitionFilters: [isnotnull" in line]
+
+
+def test_windows_prune_folders_and_give_the_same_rows(spark, tmp_path):
+    t = Retail(spark, FOLDER)
+    plain, late = t.orders(), t.orders(ORDER_SHIFT_DAYS)
+    dated = by_month(spark, f"{tmp_path}/orders", plain, "order_date")
+    shifted = by_month(spark, f"{tmp_path}/shifted", late, "order_date")
+    tickets = ops.flatten_support_tickets(t.support())
+    dated_tickets = by_month(spark, f"{tmp_path}/tickets", tickets, "Timestamp")
+    logins = by_month(spark, f"{tmp_path}/logins", t.logins(), "login_date")
+    interactions = ops.flatten_campaign_interactions(t.campaigns())
+
+    def ranking(orders):
+        return ops.top_customers_by_country(
+            orders, t.customers(), as_of="2001-08-01", country_pattern="NATION_1%"
+        )
+
+    def risk(orders, logins):
+        return ops.high_risk_customers(orders, logins, as_of="2024-01-31")
+
+    def profile(orders, tickets):
+        return ops.omni_channel_engagement(orders, interactions, tickets, as_of="2024-04-09")
+
+    for found, expected, scans in (
+        (ranking(dated), ranking(plain), 1),
+        (risk(shifted, logins), risk(late, t.logins()), 2),
+        (profile(shifted, dated_tickets), profile(late, tickets), 2),
+    ):
+        assert bag(found) == bag(expected)
+        assert len(first_filters(found)) >= scans
+
+
+def test_the_month_of_the_first_day_counts_and_other_columns_do_not(spark, tmp_path):
+    days = [("2024-01-31",), ("2024-02-01",), ("2024-03-02",), (None,)]
+    df = spark.createDataFrame(days, "d string")
+    dated = by_month(spark, f"{tmp_path}/d", df.withColumn("d", F.col("d").cast("date")), "d")
+    found = dated.filter(in_trailing_days(dated, "d", "2024-03-01", 29))
+    assert bag(found.select("d")) == [(day("2024-02-01"),), (day("2024-03-02"),)]
+    odd = df.withColumn("d_month", F.lit("not a month"))
+    assert odd.filter(in_trailing_days(odd, "d", "2024-03-01", 30)).count() == 3
+
+
+def test_preprocessing_publishes_by_month(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS dated")
+    counts = plans.preprocessing_job(
+        spark, _source(Retail(spark, FOLDER)), f"{tmp_path}/silver", "dated", f"{tmp_path}/log",
+        as_of="2000-12-31", by_month={"orders": "order_date", "loginhistory": "login_date"},
+    )
+    orders = read_table(spark, "orders", "dated")
+    assert orders.count() == counts["orders"]
+    found = ops.top_customers_by_country(
+        orders, Retail(spark, FOLDER).customers(), as_of="2000-12-31", country_pattern="NATION_1%"
+    )
+    assert first_filters(found)
