@@ -20,8 +20,20 @@ class DataQualityError(ValueError):
 
 
 def _measures(df: DataFrame, key_column: str | None) -> DataFrame:
-    missing = F.count_if(F.col(key_column).isNull()) if key_column else F.lit(0).cast("long")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), missing.alias("null_keys"))
+    """Rows and missing keys, by plain counts, which file footers can answer.
+
+    Counts from footers are sums over files, which are NULL where there is no row, although
+    Catalyst takes them for counts and would drop a coalesce.
+    """
+    counts = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count(key_column) if key_column else F.count(F.lit(1))).alias("keys"),
+    )
+    some, zero = F.col("n") > 0, F.lit(0).cast("long")
+    return counts.select(
+        F.when(some, F.col("n")).otherwise(zero).alias("row_count"),
+        F.when(some, F.col("n") - F.col("keys")).otherwise(zero).alias("null_keys"),
+    )
 
 
 def validate_data_quality(df: DataFrame, table_name: str, key_column: str | None = None) -> int:

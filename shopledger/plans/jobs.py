@@ -57,6 +57,9 @@ class Counts(dict[str, int]):
 
 REJECTED = "rejected_values"
 
+# Session setting: the id of a run, kept over retries.
+RUN_ID = "spark.shopledger.runId"
+
 
 def _audited(
     spark: SparkSession,
@@ -69,21 +72,27 @@ def _audited(
 ) -> Counts:
     """Runs a job, sized for its input, and logs it with the row count of ``counted``.
 
+    The run's id is that of the setting ``RUN_ID``, if there is one; a scheduler that starts
+    a job again with the same id leaves one row in the log.
+
     Without ``input_bytes`` the size is that of the job's ``tables`` by statistics.
     """
     tune(spark)
-    start = datetime.now()
+    start, run_id = datetime.now(), spark.conf.get(RUN_ID, None)
+    run_id = run_id and f"{run_id}/{job_name}"
     try:
         size = input_bytes_of(tables()) if input_bytes is None else input_bytes
         with sized(spark, size):
             counts = run()
     except Exception as failure:
         try:
-            write_audit_log(spark, audit_path, job_name, "FAILURE", 0, start, datetime.now())
+            write_audit_log(spark, audit_path, job_name, "FAILURE", 0, start, datetime.now(), run_id)
         except Exception as unlogged:
             failure.add_note(f"the failure could not be logged: {unlogged}")
         raise
-    write_audit_log(spark, audit_path, job_name, "SUCCESS", counts[counted], start, datetime.now())
+    write_audit_log(
+        spark, audit_path, job_name, "SUCCESS", counts[counted], start, datetime.now(), run_id
+    )
     return counts
 
 

@@ -22,6 +22,7 @@ from shopledger.sources import (
     drop_staged,
     publish_table,
     read_audit_log,
+    read_footers,
     read_parquet,
     read_path,
     sift,
@@ -227,7 +228,10 @@ def customer_segments(t: Retail) -> DataFrame:
 
 @_query
 def data_quality_report(t: Retail) -> DataFrame:
-    tables = {name: (t.raw(name), key) for name, key in TABLE_KEYS.items()}
+    tables = {
+        name: (read_footers(t.spark, f"{t.folder}/{name}.parquet"), key)
+        for name, key in TABLE_KEYS.items()
+    }
     tables["dirty_customers"] = (t.dirty_customers(), "customer_id")
     tables["dirty_orders"] = (t.dirty_orders(), "order_id")
     return ops.data_quality_report(tables)

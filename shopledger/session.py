@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Counts come from Parquet footers where the table is read for that (read_footers).
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 GB = 1 << 30

@@ -1,10 +1,16 @@
 """Reading, writing, staging and schemas."""
 
-from shopledger.sources.audit import AUDIT_SCHEMA, read_audit_log, write_audit_log
+from shopledger.sources.audit import (
+    AUDIT_SCHEMA,
+    merge_audit_log,
+    read_audit_log,
+    write_audit_log,
+)
 from shopledger.sources.quarantine import Sifted, sift
 from shopledger.sources.reading import (
     catalog_source,
     directory_source,
+    read_footers,
     read_parquet,
     read_path,
     read_table,
@@ -25,9 +31,11 @@ __all__ = [
     "current_folder",
     "directory_source",
     "drop_staged",
+    "merge_audit_log",
     "publish",
     "publish_table",
     "read_audit_log",
+    "read_footers",
     "read_parquet",
     "read_path",
     "read_table",

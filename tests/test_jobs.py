@@ -92,6 +92,20 @@ def test_log_survives_runs_that_overwrite_the_output(spark, tmp_path):
     assert read_parquet(spark, f"{tmp_path}/gold/churn_risk").count() == 1
 
 
+def test_a_retried_run_leaves_one_row(spark, tmp_path):
+    source = {"orders": orders(spark, (1, 1, day("2024-01-01"), "F", D("1")))}
+    gold, log = f"{tmp_path}/gold", f"{tmp_path}/log"
+    spark.conf.set(plans.jobs.RUN_ID, "nightly-7")
+    try:
+        with pytest.raises(KeyError):
+            plans.churn_job(spark, {}.__getitem__, gold, log)
+        for _ in range(2):
+            plans.churn_job(spark, source.__getitem__, gold, log, as_of="2024-03-01")
+    finally:
+        spark.conf.unset(plans.jobs.RUN_ID)
+    assert log_rows(spark, log) == [("churn_risk", "SUCCESS", 0)]
+
+
 def test_failure_is_logged_and_raised(spark, tmp_path):
     with pytest.raises(KeyError, match="orders"):
         plans.churn_job(spark, {}.__getitem__, f"{tmp_path}/gold", f"{tmp_path}/log")

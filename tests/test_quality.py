@@ -1,6 +1,8 @@
 import pytest
-from conftest import bag
+from conftest import bag, plan
 
+from shopledger import operators as ops
+from shopledger import sources
 from shopledger.operators import DataQualityError, data_quality_report, validate_data_quality
 
 
@@ -31,3 +33,23 @@ def test_report(spark):
         ("c", None, 2, 0, True),
         ("d", "id", 0, 0, False),
     ]
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    rows = [(i, None if i % 4 else i, "x") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, key long, other string")
+    df.repartition(3).write.parquet(f"{tmp_path}/t")
+    df.limit(0).write.parquet(f"{tmp_path}/none")
+    tables = {n: sources.read_footers(spark, f"{tmp_path}/{n}") for n in ("t", "none")}
+    report = ops.data_quality_report(
+        {"t": (tables["t"], "key"), "whole": (tables["t"], None), "none": (tables["none"], "key")}
+    )
+    text = plan(report)
+    assert "PushedAggregation: [COUNT(*), COUNT(key)]" in text
+    assert "other" not in text
+    assert [tuple(r)[2:] for r in report.collect()] == [
+        (40, 30, False), (40, 0, True), (0, 0, False)
+    ]
+    # A filtered table still counts right, from its rows.
+    some = ops.data_quality_report({"t": (tables["t"].filter("id < 5"), "key")})
+    assert tuple(some.first())[2:] == (5, 3, False)

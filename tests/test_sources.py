@@ -206,6 +206,28 @@ def test_audit_log_grows(spark, tmp_path):
     assert found == [("first", "SUCCESS", 5, start, end), ("second", "FAILURE", 0, start, end)]
 
 
+def test_a_run_logged_again_counts_once_and_files_stay_few(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    start = datetime(2024, 1, 1, 10)
+    old = [("old", "SUCCESS", 1, start, start, start)] * 2
+    spark.createDataFrame(old, sources.AUDIT_SCHEMA).coalesce(1).write.parquet(path)
+    for status in ("FAILURE", "FAILURE", "SUCCESS"):
+        sources.write_audit_log(spark, path, "job", status, 3, start, start, run_id="r1")
+    sources.write_audit_log(spark, path, "job", "SUCCESS", 4, start, start)
+    log = sources.read_audit_log(spark, path, run_ids=True)
+    found = [(r.job_name, r.status, r.record_count) for r in log.collect()]
+    assert found == [("old", "SUCCESS", 1)] * 2 + [("job", "SUCCESS", 3), ("job", "SUCCESS", 4)]
+    assert log.filter("run_id = 'r1'").count() == 1
+    sources.merge_audit_log(spark, path, most_files=3)
+    assert len(list((tmp_path / "log").glob("*.parquet"))) == 1
+    merged = sources.read_audit_log(spark, path)
+    assert [(r.job_name, r.status, r.record_count) for r in merged.collect()] == found
+    # A merge that is killed before the old files go leaves rows twice.
+    merged = sources.read_audit_log(spark, path, run_ids=True).filter("run_id is not null")
+    merged.coalesce(1).write.mode("append").parquet(path)
+    assert sources.read_audit_log(spark, path).count() == 4
+
+
 def test_staging_lies_in_the_checkpoint_folder(spark):
     folder = sources.staging_folder(spark)
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
