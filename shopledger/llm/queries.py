@@ -26,7 +26,7 @@ from shopledger.llm import (
 )
 from shopledger.llm.batches import small_batches
 from shopledger.session import tune
-from shopledger.sources.staging import staging_folder
+from shopledger.sources.staging import stage, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,16 +42,27 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _held_out(folds: int, fold: int) -> Column:
-    """Whether the crc32 of doc_id's text leaves ``fold`` on division by ``folds``."""
+def _in_fold(folds: int, fold: int) -> Column:
+    """Whether the crc32 of doc_id's text leaves ``fold`` on division by ``folds``; NULL
+    where doc_id is."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold
 
 
+def _held_out(folds: int, fold: int) -> Column:
+    """Rows of one fold; not those without a doc_id, whose fold is unknown."""
+    return F.coalesce(_in_fold(folds, fold), F.lit(False))
+
+
+def _learned(folds: int, fold: int) -> Column:
+    """Rows of the other folds; not those without a doc_id either."""
+    return F.coalesce(~_in_fold(folds, fold), F.lit(False))
+
+
 @_query
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from the two folds that are not held out."""
     docs = _table(spark, folder, "documents")
-    model = langid.fit(docs.filter(~_held_out(3, 1)))
+    model = langid.fit(docs.filter(_learned(3, 1)))
     return langid.predict(docs, model).withColumnRenamed("key", "doc_id").withColumn(
         "held_out", _held_out(3, 1)
     )
@@ -68,11 +79,11 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path, index = f"{staged}/shards", f"{staged}/index"
     tokenizer = tokenizer_file("word_bpe_49k.json").decode()
     tokenfiles.write_shards(docs, path, tokenizer, end_id=2)
-    tokenfiles.write_index(spark, path, index)
-    found = tokenfiles.documents(spark, path)
+    found = stage(tokenfiles.documents(spark, path), staged, "documents")
+    tokenfiles.write_index(found, index)
     return (
         tokenfiles.placed(found, docs, spark.read.parquet(index))
-        .join(tokenfiles.shard_starts(spark, path), "shard")
+        .join(tokenfiles.shard_starts(found), "shard")
         .select(
             F.col("key").alias("doc_id"),
             (F.col("before") + F.col("first")).alias("start"),
@@ -86,7 +97,7 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learned from the four folds not held out."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    model = toxicity.fit(docs, labels.filter(~_held_out(5, 0)), staging_folder(spark))
+    model = toxicity.fit(docs, labels.filter(_learned(5, 0)), staging_folder(spark))
     return (
         toxicity.score(docs, model)
         .withColumnRenamed("key", "doc_id")
@@ -130,9 +141,9 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Log-probabilities of every document, learned from the four folds not held out."""
     docs = _table(spark, folder, "documents")
-    found = lm.score(docs, ~_held_out(5, 1), staging_folder(spark))
+    found = lm.score(docs, _learned(5, 1), staging_folder(spark))
     return found.withColumnRenamed("key", "doc_id").select(
-        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "doc_id", _held_out(5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
         "base_score", "score",
     )
 

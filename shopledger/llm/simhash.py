@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopledger.llm.batches import Fields, keyed_texts, map_slices, texts_of
 from shopledger.llm.components import components
@@ -206,11 +207,12 @@ def keep_one_of_each(
                 [batch.column(row), batch.column("key"), pa.array(found)], [row, "key", print_]
             )
 
-    kinds = hashed.schema
-    schema = f"row {kinds[row].dataType.simpleString()}, key {kinds['key'].dataType.simpleString()}"
+    schema = T.StructType(
+        [hashed.schema[row], hashed.schema["key"], T.StructField(print_, T.LongType())]
+    )
     w = winners.select(F.col("key").alias("w_key"), F.col("fingerprint").alias("w_print"))
     again = (
-        hashed.mapInArrow(run, f"{schema}, fingerprint bigint")
+        hashed.mapInArrow(run, schema)
         .join(w, F.col("key").eqNullSafe(w["w_key"]) & (F.col(print_) == w["w_print"]), "left_semi")
         .dropDuplicates(["key", print_])
         .select("row.*")

@@ -261,9 +261,11 @@ def write_shards(
     source = keyed_texts(docs, fields)
     if not isinstance(source.schema["key"].dataType, T.IntegralType):
         raise ValueError("the key must be an integer")
-    order = ["key", "hash"]
+    order = ["key", "hash", "row"]
+    # The row lets equal rows, of which there may be many, go to several tasks.
     ranged = (
         source.withColumn("hash", F.xxhash64("text"))
+        .withColumn("row", F.monotonically_increasing_id())
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("key", "text")
@@ -372,23 +374,28 @@ def documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFra
     )
 
 
-def shard_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, n, n_keys): ids and documents with a key; one row per shard."""
+def shard_starts(found: DataFrame) -> DataFrame:
+    """(shard, before): the ids in all shards before each; one row per shard.
 
-    def run(shard: Shard) -> pa.RecordBatch:
-        numbers = (shard.number, len(shard.ids), len(shard.keys) - shard.nulls)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([n]) for n in numbers], ["shard", "n", "n_keys"]
-        )
-
-    return _each_shard(shard_files(spark, path), run, "shard bigint, n bigint, n_keys bigint")
-
-
-def shard_starts(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, before): the ids in all shards before each; one row per shard."""
-    sizes = shard_sizes(spark, path)
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    ``found`` are the rows of ``documents``. Shards are numbered task by task, so they are
+    summed by task first, and only tasks are ordered in one place.
+    """
+    sizes = found.groupBy("shard").agg(F.sum("n_ids").alias("n"))
+    sizes = sizes.withColumn("task", F.floor(F.col("shard") / SHARDS_PER_TASK))
+    to_here = (Window.unboundedPreceding, -1)
+    by_task = Window.partitionBy(F.lit(0)).orderBy("task").rowsBetween(*to_here)
+    tasks = (
+        sizes.groupBy("task")
+        .agg(F.sum("n").alias("n"))
+        .select("task", F.coalesce(F.sum("n").over(by_task), F.lit(0)).alias("tasks_before"))
+    )
+    in_task = Window.partitionBy("task").orderBy("shard").rowsBetween(*to_here)
+    before = F.coalesce(F.sum("n").over(in_task), F.lit(0))
+    return (
+        sizes.withColumn("before", before)
+        .join(tasks, "task")
+        .select("shard", (F.col("before") + F.col("tasks_before")).alias("before"))
+    )
 
 
 # --- the index -----------------------------------------------------------------------
@@ -470,28 +477,20 @@ INDEX_SCHEMA = (
 )
 
 
-def write_index(spark: SparkSession, path: str, index_path: str) -> None:
-    """Builds the index of the shard files at ``path`` and writes it as a table.
+def write_index(found: DataFrame, index_path: str) -> None:
+    """Builds the index of shard files from the rows of ``documents`` and writes it as a
+    table. Stage those rows: they are read twice.
 
     A bucket has about KEYS_PER_BUCKET keys whatever the total, so none outgrows a
     task. A repeated key leads to its first document; null keys are not indexed.
     """
-    total = shard_sizes(spark, path).agg(F.sum("n_keys")).first()[0] or 0
-    buckets = max(1, -(-total // KEYS_PER_BUCKET))
-
-    def entries(shard: Shard) -> pa.RecordBatch:
-        some = slice(shard.nulls, None)  # null keys are the first ones
-        keys, starts = shard.keys[some], shard.starts[some]
-        columns = (
-            bucket_of(keys, buckets),
-            keys,
-            np.full(len(keys), shard.number),
-            starts,
-            shard.ends[some] - starts,
-        )
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], ["bucket", "key", "shard", "first", "n_ids"]
-        )
+    keyed = found.filter("key is not null").select("key", "shard", "first", "n_ids")
+    buckets = max(1, -(-keyed.count() // KEYS_PER_BUCKET))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = pa.array(bucket_of(np.asarray(batch.column("key"), np.int64), buckets))
+            yield pa.RecordBatch.from_arrays([own, *batch.columns], ["bucket", *batch.schema.names])
 
     def build(table: pa.Table) -> pa.Table:
         columns = {name: table.column(name).to_numpy() for name in table.column_names}
@@ -511,10 +510,8 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> None:
         return pa.table(row)
 
     (
-        _each_shard(
-            shard_files(spark, path),
-            entries,
-            "bucket bigint, key bigint, shard bigint, first bigint, n_ids bigint",
+        keyed.mapInArrow(
+            dealt, "bucket bigint, key bigint, shard bigint, first bigint, n_ids bigint"
         )
         # A hot key is one entry before its bucket is gathered.
         .groupBy("bucket", "key").agg(F.min(F.struct("shard", "first", "n_ids")).alias("at"))
@@ -570,8 +567,9 @@ def look_up(keys: DataFrame, index: DataFrame, key: str = "doc_id") -> DataFrame
 def placed(found: DataFrame, keys: DataFrame, index: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, shard, first, n_ids, ids_crc32) of every row of ``documents``.
 
-    Looked up are the different ones of ``keys``. The index gives place and length of the first document of each key; documents with a
-    null key or a key that has come before are only in the shards.
+    Looked up are the different ones of ``keys``. The index gives place and length of the
+    first document of each key; documents with a null key or a key that has come before are
+    only in the shards.
     """
     names = ["key", "n_ids"]
     places = look_up(keys.select(key).distinct(), index, key)

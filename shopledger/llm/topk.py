@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from shopledger.sources.staging import stage
 
-# Rows of a cell: what one task holds of each side.
-CANDIDATES_PER_CELL = 1 << 14
-QUERIES_PER_CELL = 1 << 11
+# Rows and bytes of a cell: what one task holds of each side. The rows bound the scores.
+CANDIDATES_PER_CELL, CANDIDATE_BYTES = 1 << 14, 8 << 20
+QUERIES_PER_CELL, QUERY_BYTES = 1 << 11, 1 << 20
 
 # Bins of a round.
 BINS = 1 << 10
@@ -33,8 +33,11 @@ BINS = 1 << 10
 # Queries of a cell that are scored at one time.
 STEP = 128
 
-# Scores beyond it stop there, so that ranges of scores fit into a long.
-MOST = 1 << 61
+# Scores beyond it are an error, so that ranges of scores fit into a long.
+MOST = (1 << 62) - 1
+
+# From here on a double is a whole number.
+ALL_WHOLE = float(1 << 53)
 
 
 def _numbers(n: int) -> Column:
@@ -53,13 +56,23 @@ def integer_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return (
         vectors.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vec"))
         .filter(F.col("key").isNotNull() & x.isNotNull() & ~unfit)
-        # A double, as a bigint would cut off what is out of its range.
-        .select("key", F.transform(x, lambda v: F.floor(v * 256).cast("double")).alias("vec"))
+        # floor gives a bigint, which holds no number beyond its range.
+        .select(
+            "key",
+            F.transform(
+                x,
+                lambda v: F.when(F.abs(v * 256) >= ALL_WHOLE, v * 256).otherwise(
+                    F.floor(v * 256).cast("double")
+                ),
+            ).alias("vec"),
+        )
     )
 
 
-def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """All inner products as whole numbers, exactly up to MOST."""
+def _scores(
+    queries: np.ndarray, candidates: np.ndarray, keys: np.ndarray, others: np.ndarray
+) -> np.ndarray:
+    """All inner products as whole numbers; raises ValueError for one beyond MOST."""
     bound = (np.abs(queries).max(initial=0) * np.abs(candidates).max(initial=0)) * max(
         1, queries.shape[1]
     )
@@ -67,6 +80,12 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
         return (queries @ candidates.T).astype(np.int64)
     whole = [np.array([[int(v) for v in row] for row in m], object) for m in (queries, candidates)]
     found = whole[0].reshape(queries.shape) @ whole[1].reshape(candidates.shape).T
+    beyond = np.argwhere((np.abs(found) > MOST) & (keys[:, None] != others[None, :]))
+    if len(beyond):
+        query, candidate = beyond[0]
+        raise ValueError(
+            f"the score of rows {keys[query]} and {others[candidate]} is beyond +-{MOST}"
+        )
     return np.clip(found, -MOST, MOST).astype(np.int64)
 
 
@@ -99,7 +118,7 @@ def _over_cells(
             keys = right.column("key").to_numpy()
             for at in range(0, len(q), STEP):
                 part = {n: v[at : at + STEP] for n, v in state.items()}
-                found.append(function(_scores(q[at : at + STEP], c), part["key"], keys, part))
+                found.append(function(_scores(q[at : at + STEP], c, part["key"], keys), part["key"], keys, part))
         columns = [
             np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64)
             for i in range(len(names))
@@ -154,6 +173,12 @@ def _best(k: int):
     return choose
 
 
+def _cells(rows: DataFrame, most_rows: int, most_bytes: int) -> int:
+    """How many cells keep ``rows`` below so many rows and bytes a cell, on average."""
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.col("dimension").cast("long") * 8)).first()
+    return max(1, -(-n // most_rows), -(-(size or 0) // most_bytes))
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -167,7 +192,8 @@ def top_k(
     Candidates are all rows but those with the query's own key; ties go to the smaller
     key; a query with fewer candidates gets them all. Only vectors of one length are
     compared. A key that repeats is queried once, with its least vector, and each of its
-    rows is a candidate. ``key`` is of an integer type. Empty tables give no rows.
+    rows is a candidate. ``key`` is of an integer type. Empty tables give no rows. Scores
+    are exact up to 2**62; one beyond that raises an error that names its rows.
     """
     rows = vectors.withColumn("__query", F.coalesce(is_query, F.lit(False)))
     whole = integer_vectors(vectors, key, vector).select(
@@ -176,21 +202,26 @@ def top_k(
     asked = integer_vectors(rows.filter("__query"), key, vector).select(
         F.col("key").cast("long").alias("key"), "vec", F.size("vec").alias("dimension")
     )
-    candidates = stage(whole.filter("dimension > 0"), folder, "candidates")
+    # The number tells rows with one key, and equal rows, apart: it deals them into cells.
+    candidates = stage(
+        whole.filter("dimension > 0").withColumn("number", F.monotonically_increasing_id()),
+        folder,
+        "candidates",
+    )
     queries = stage(
         asked.filter("dimension > 0").groupBy("key").agg(F.min("vec").alias("vec"))
         .withColumn("dimension", F.size("vec")),
         folder,
         "queries",
     )
-    n, n_queries = candidates.count(), queries.count()
-    candidate_cells = max(1, -(-n // CANDIDATES_PER_CELL))
-    query_cells = max(1, -(-n_queries // QUERIES_PER_CELL))
-    # Rows with one key would meet in a cell; the row's vector tells them apart.
-    cell_of_row = F.pmod(F.xxhash64("key", "vec"), F.lit(candidate_cells))
+    candidate_cells = _cells(candidates, CANDIDATES_PER_CELL, CANDIDATE_BYTES)
+    query_cells = _cells(queries, QUERIES_PER_CELL, QUERY_BYTES)
+    cell_of_row = F.pmod(F.xxhash64("number"), F.lit(candidate_cells))
     # Each candidate goes to every query cell and each query to every candidate cell.
     candidates = candidates.select(
-        "*",
+        "key",
+        "vec",
+        "dimension",
         cell_of_row.alias("candidate_cell"),
         F.explode(_numbers(query_cells)).alias("query_cell"),
     )

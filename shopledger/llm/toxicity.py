@@ -162,8 +162,8 @@ def sample(
 ) -> DataFrame:
     """(key, label, text) of at most ``sample_texts`` keys of label 0 and of label 1.
 
-    The keys come from the label table alone: the least hash of each bucket. Copies of
-    a text count once.
+    The keys come from the label table alone: the least hash of each bucket. Of several
+    texts with one key the least counts. Copies of a text count once.
     """
     keyed = labels.select(
         F.col(fields.key).alias("key"), F.col(label).cast("int").alias("label")
@@ -175,7 +175,8 @@ def sample(
     chosen = hashed.join(F.broadcast(least), ["label", "hash"]).select("key", "label").distinct()
     texts = keyed_texts(docs, fields).filter("text is not null")
     found = texts.join(F.broadcast(chosen.limit(2 * settings.sample_texts)), "key")
-    return found.dropDuplicates(["key", "label"]).dropDuplicates(["label", "text"])
+    one = found.groupBy("key", "label").agg(F.min("text").alias("text"))
+    return one.groupBy("label", "text").agg(F.min("key").alias("key")).select("key", "label", "text")
 
 
 def _counted(texts: DataFrame, function, schema: str) -> DataFrame:

@@ -37,7 +37,7 @@ def written(spark, rows, **sizes):
     docs = spark.createDataFrame(rows, "id long, body string").selectExpr("*", "'x' AS key", "1 AS hash")
     fields = Fields("id", "body")
     tokenfiles.write_shards(docs.repartition(3), f"{folder}/shards", CONTENT, END, fields, **sizes)
-    tokenfiles.write_index(spark, f"{folder}/shards", f"{folder}/index")
+    tokenfiles.write_index(tokenfiles.documents(spark, f"{folder}/shards"), f"{folder}/index")
     return f"{folder}/shards", f"{folder}/index"
 
 
@@ -63,7 +63,7 @@ def test_files_hold_all_ids_in_order(spark):
     assert len(shards) > 1
     assert np.concatenate([s.ids for s in shards]).tolist() == [i for own in ids for i in own]
     assert np.concatenate([s.keys for s in shards]).tolist() == list(keys)
-    starts = {r["shard"]: r["before"] for r in tokenfiles.shard_starts(spark, path).collect()}
+    starts = {r["shard"]: r["before"] for r in tokenfiles.shard_starts(tokenfiles.documents(spark, path)).collect()}
     found = {r["key"]: r for r in tokenfiles.documents(spark, path).collect()}
     at = 0
     for key, own in zip(keys, ids):
@@ -135,3 +135,18 @@ def test_query_has_a_row_for_every_document(spark):
     )
     spans = sorted((r["start"], r["start"] + r["n_tokens"]) for r in found)
     assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_a_third_of_equal_rows_goes_to_several_tasks(spark, conf, tmp_path):
+    conf(shuffle__partitions="8", adaptive__coalescePartitions__enabled="false")
+    docs = spark.range(6000).selectExpr(
+        "if(id % 3 = 0, 7, id) as doc_id", "if(id % 3 = 0, 'the same text', string(id)) as text"
+    )
+    tokenfiles.write_shards(docs.repartition(5), f"{tmp_path}/shards", CONTENT, END)
+    found = tokenfiles.documents(spark, f"{tmp_path}/shards")
+    sizes = [r["count"] for r in found.groupBy("shard").count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 1500
+    starts = {r["shard"]: r["before"] for r in tokenfiles.shard_starts(found).collect()}
+    rows = sorted((starts[r.shard] + r.first, r.n_ids, r.key) for r in found.collect())
+    assert [r[0] for r in rows[1:]] == [a + n for a, n, _ in rows][:-1]
+    assert [r[2] for r in rows] == sorted(r[2] for r in rows)

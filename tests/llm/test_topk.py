@@ -75,3 +75,37 @@ def test_fewer_candidates_than_k_and_none(spark):
 def test_any_scale_is_exact(spark, scale):
     rows = [(key, [x * scale for x in vec]) for key, vec in vectors(40, seed=4)]
     assert run(spark, rows, k=3) == brute_force(rows, k=3)
+
+
+def test_copies_of_one_row_are_dealt_over_cells(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES_PER_CELL", 100)
+    sizes = []
+    real = topk._over_cells
+
+    def spied(queries, candidates, *rest):
+        cells = candidates.groupBy("candidate_cell", "query_cell").count().collect()
+        sizes.append([row["count"] for row in cells])
+        return real(queries, candidates, *rest)
+
+    monkeypatch.setattr(topk, "_over_cells", spied)
+    rows = [(5, [1.0, 2.0])] * 400 + vectors(800, size=2)
+    assert run(spark, rows) == brute_force(rows)
+    assert all(max(own) < 250 for own in sizes)
+
+
+def test_cells_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BYTES", 64 * 50)
+    wide = spark.range(100).selectExpr("id", "8 as dimension")
+    assert topk._cells(wide, topk.CANDIDATES_PER_CELL, topk.CANDIDATE_BYTES) == 2
+    rows = vectors(120, seed=3, size=8)
+    assert run(spark, rows) == brute_force(rows)
+
+
+def test_large_scores_are_exact_or_an_error(spark):
+    rows = [(0, [2.0**22, 3.0]), (1, [2.0**22 - 1 / 256, 5.0]), (2, [2.0**22, 1.0]), (3, [1.0, 1.0])]
+    assert run(spark, rows) == brute_force(rows)
+    huge = [(0, [1e17]), (1, [4e17]), (2, [1.0])]
+    with pytest.raises(Exception, match="score of rows 0 and 1 is beyond"):
+        run(spark, huge)
+    apart = [(0, [1 / 256]), (1, [1e15]), (2, [4e15])]
+    assert run(spark, apart) == brute_force(apart)
