@@ -20,7 +20,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.llm.batches import Fields, keyed_texts, slices, texts_of
+from shopledger.sources.staging import stage, staging_folder
 
 # Scripts without spaces between words: Thai, Lao, Myanmar, Khmer, kana, Han.
 _UNSPACED = (
@@ -517,17 +518,45 @@ def keep_clean(
     fields: Fields = Fields(),
     item_fields: Fields = Fields("item_id"),
     settings: Settings = Settings(),
+    folder: str | None = None,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns unchanged, in which no item is found. No shuffle."""
-    for items in item_blocks(benchmark, settings, item_fields):
-        search = Walks(items, settings)
+    """The rows of ``docs``, all columns unchanged, in which no item is found.
 
-        def run(batches, search=search):
+    A benchmark of one block is a filter without a shuffle. With more blocks a task holds
+    one at a time: rows are staged with a number in ``folder`` (one of its own, if none is
+    given), each block's search leaves the numbers of the rows it finds, and these rows are
+    left out at the end.
+    """
+    blocks = item_blocks(benchmark, settings, item_fields)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        search = Walks(first, settings)
+
+        def clean(batches):
             for batch in batches:
                 for part in slices(batch, fields.text):
                     found = {row[0] for row in search.matches(texts_of(part, fields.text))}
                     mask = [at not in found for at in range(part.num_rows)]
                     yield part.filter(pa.array(mask, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return docs.mapInArrow(clean, docs.schema)
+    folder = folder or staging_folder(docs.sparkSession)
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    numbered = stage(
+        docs.select(row, F.monotonically_increasing_id().alias("number")), folder, "numbered"
+    )
+    texts = numbered.select("number", F.col(f"row.`{fields.text}`").alias("text"))
+    dirty = None
+    for at, items in enumerate(chain([first, second], blocks)):
+        search = Walks(items, settings)
+
+        def numbers(batches, search=search):
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    found = sorted({which for which, *_ in search.matches(texts_of(part))})
+                    yield part.select(["number"]).take(pa.array(found, pa.int64()))
+
+        part = stage(texts.mapInArrow(numbers, "number bigint"), folder, f"dirty_{at}")
+        dirty = part if dirty is None else dirty.unionAll(part)
+    kept = numbered.join(dirty, "number", "left_anti")
+    return kept.select(*[F.col(f"row.`{name}`") for name in docs.columns])

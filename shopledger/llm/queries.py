@@ -25,7 +25,7 @@ from shopledger.llm import (
     toxicity,
 )
 from shopledger.llm.batches import small_batches
-from shopledger.session import tune
+from shopledger.session import input_bytes_of, tune
 from shopledger.sources.staging import stage, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +38,17 @@ def _query(build: Query) -> Query:
     return build
 
 
+# Up to this size Spark's own number of reducers will do.
+SMALL = 200 << 30
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; the session is sized for it if it is large."""
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    size = input_bytes_of([table]) or 0
+    if size > SMALL:
+        tune(spark, size)
+    return table
 
 
 def _in_fold(folds: int, fold: int) -> Column:

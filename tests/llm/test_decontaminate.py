@@ -5,6 +5,7 @@ import random
 import pytest
 
 from shopledger.llm import decontaminate as dec
+from shopledger.llm.batches import Fields
 
 
 def distances(item: list[int], text: list[int]) -> tuple[int, int]:
@@ -184,3 +185,23 @@ def test_short_items_and_scripts_without_spaces():
     only_short = dec.Walks(items[:2], dec.Settings())
     assert [row[:2] for row in only_short.matches(texts)] == [(0, 0), (2, 1)]
     assert dec.words_of("Ab_1 c-d 中a文") == ["ab_1", "c", "d", "中", "a", "文"]
+
+
+def test_blocks_are_searched_one_at_a_time(spark, tmp_path):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(words, k=20))) for i in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=30)), 1, "x", i) for i in range(40)]
+    rows += [(100 + i, f"start {items[i][1]} end", 2, "y", i) for i in range(0, 60, 7)]
+    rows += [rows[0], (None, None, None, None, None), (7, items[59][1], 0, "z", 0)]
+    docs = spark.createDataFrame(rows, "key long, `my col` string, `a-b` int, `row` string, number long")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    settings = dec.Settings(block_bytes=1200)
+    assert len(list(dec.item_blocks(benchmark, settings))) >= 4
+    found = dec.keep_clean(
+        docs, benchmark, Fields("key", "my col"), settings=settings, folder=str(tmp_path)
+    )
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == docs.columns
+    kept = [row for row in rows if row[1] is None or not any(text in row[1] for _, text in items)]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(kept, key=repr)

@@ -150,3 +150,13 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs, staging_folder(spark)).count() == 0
     assert simhash.keep_one_of_each(docs, staging_folder(spark)).count() == 0
+
+
+def test_odd_column_names_stay(spark):
+    rows = [(1, "same words here again", 1, "p", 9), (2, "same words here again", 2, "q", 8),
+            (2, "same words here again", 3, "r", 7), (None, "other words of a text", 4, "s", 6)]
+    docs = spark.createDataFrame(rows, "key long, `my col` string, `a-b` int, `row` string, `c.d` int")
+    kept = simhash.keep_one_of_each(docs, staging_folder(spark), simhash.Fields("key", "my col"))
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect() if r[0] is not None) == [rows[0]]
+    assert [tuple(r) for r in kept.collect() if r[0] is None] == [rows[3]]
