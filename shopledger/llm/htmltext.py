@@ -28,13 +28,18 @@ from shopledger.llm.batches import Fields, slices, texts_of
 
 # --- blocks --------------------------------------------------------------------------
 
-# HTML's void, raw-text and inline elements.
+# HTML's void, raw-text and inline elements. Formulas and drawings are part of
+# the text around them; what stands in for an embedded thing is a block of its own inside.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style template noscript iframe object svg math canvas".split())
+RAW = frozenset("script style template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt "
-    "ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math annotation menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot "
+    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics "
+    "svg circle defs ellipse g line path polygon polyline rect symbol text tspan use".split()
 )
+EMBEDDED = frozenset("canvas iframe noscript object".split())
 # An open element that ends where one of these begins.
 ENDS_AT = {
     "li": frozenset(["li"]),
@@ -46,12 +51,13 @@ ENDS_AT = {
     "option": frozenset(["option"]),
 }
 
-# Repetitions are possessive and attribute values bounded, so no page takes long.
+# Repetitions are possessive, so a page takes time in proportion to its length: a quote
+# that is never closed is looked for once. A tag that the page's end cuts is no text.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*+>?"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]{0,60}+)"
-    r"(?P<attrs>(?:[^>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+')*+|[^>]*+)>"
+    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)"
+    r"(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>|\Z)|[^>]*+)(?:>|\Z)"
     r"|[^<]++|<",
     re.S,
 )
@@ -59,7 +65,7 @@ _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
-MAX_PATH = 24  # innermost elements of a path that are looked at
+INNER = 24  # innermost elements of a path that are kept whole
 
 
 @dataclass(frozen=True)
@@ -69,6 +75,23 @@ class Block:
     linked: int  # characters inside links
 
 
+# Tags and name parts that tell main text from the rest.
+NOT_MAIN = frozenset(
+    "nav header footer aside form button select option label textarea input title head "
+    ".nav .navbar .menu .header .footer .sidebar .aside .ad .ads .advert .advertisement .banner "
+    ".sponsor .sponsored .promo .cookie .cookies .consent .notice .alert .popup .modal .overlay "
+    ".comment .comments .reply .replies .respond .disqus .share .social .related .recommended "
+    ".breadcrumb .breadcrumbs .pagination .pager .login .signup .newsletter .subscribe .search "
+    ".widget .toolbar .copyright .legal .form .hidden .navigation .complementary .contentinfo "
+    ".tags .meta .byline".split()
+)
+MAIN = frozenset(
+    "article main .article .main .content .post .entry .story .text .body".split()
+)
+HEADS = frozenset(["header", ".header"])
+TELLING = NOT_MAIN | MAIN
+
+
 def _element(tag: str, attrs: str) -> tuple[str, ...]:
     names = []
     if attrs:
@@ -80,29 +103,78 @@ def _element(tag: str, attrs: str) -> tuple[str, ...]:
     return (tag, *names)
 
 
+class _Open:
+    """The open elements at a place of a page."""
+
+    def __init__(self) -> None:
+        self.elements: list[tuple[str, ...]] = []
+        # Up to each element: its path, and the telling parts outside its innermost ones.
+        self.paths: list[tuple[str, ...]] = [()]
+        self.outer: list[tuple[str, ...]] = [()]
+        self.solid: list[int] = []  # places of the elements that are not inline
+        self.counts: dict[str, int] = {}
+
+    def push(self, element: tuple[str, ...]) -> None:
+        elements = self.elements
+        elements.append(element)
+        outer = self.outer[-1]
+        if len(elements) <= INNER:
+            path = self.paths[-1] + element
+        else:
+            # What leaves the innermost elements is kept as far as it is telling.
+            left = elements[len(elements) - INNER - 1]
+            outer += tuple(p for p in dict.fromkeys(left) if p in TELLING and p not in outer)
+            path = outer + tuple(part for own in elements[-INNER:] for part in own)
+        self.paths.append(path)
+        self.outer.append(outer)
+        tag = element[0]
+        if tag not in INLINE:
+            self.solid.append(len(elements) - 1)
+        self.counts[tag] = self.counts.get(tag, 0) + 1
+
+    def pop_to(self, place: int) -> None:
+        for element in self.elements[place:]:
+            self.counts[element[0]] -= 1
+        del self.elements[place:], self.paths[place + 1 :], self.outer[place + 1 :]
+        while self.solid and self.solid[-1] >= place:
+            self.solid.pop()
+
+    def end(self, tag: str) -> None:
+        """Closes the innermost element of the tag, if one is open, and all inside it."""
+        if self.counts.get(tag):
+            place = len(self.elements) - 1
+            while self.elements[place][0] != tag:
+                place -= 1
+            self.pop_to(place)
+
+    def begin_block(self, tag: str) -> None:
+        """A paragraph ends where a block begins; list items and cells at the next."""
+        if self.solid:
+            name = self.elements[self.solid[-1]][0]
+            if name == "p" or tag in ENDS_AT.get(name, ()):
+                self.pop_to(self.solid[-1])
+
+
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in order; scripts, styles and comments have none."""
+    """The leaf blocks of a page, in order; scripts, styles and comments have none.
+
+    A block's path has its innermost elements whole and, of those further out, every tag
+    and name that tells main text from the rest.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, ...]] = []
+    open_ = _Open()
     pieces: list[str] = []
-    linked = links = 0
-    at = 0
+    linked = at = 0
 
     def close() -> None:
         nonlocal linked
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                path = tuple(part for element in stack[-MAX_PATH:] for part in element)
-                found.append(Block(text, path, linked))
+                found.append(Block(text, open_.paths[-1], linked))
             pieces.clear()
         linked = 0
 
-    def pop_to(place: int) -> None:
-        nonlocal links
-        links -= sum(element[0] == "a" for element in stack[place:])
-        del stack[place:]
-
     while at < len(page):
         match = _TOKEN.match(page, at)
         at = match.end()
@@ -111,7 +183,7 @@ def blocks(page: str) -> list[Block]:
             text = match[0]
             if text[0] != "<" or text == "<":
                 pieces.append(text)
-                linked += len(text) if links > 0 else 0
+                linked += len(text) if open_.counts.get("a") else 0
             continue
         tag = tag.lower()
         inline = tag in INLINE
@@ -121,10 +193,7 @@ def blocks(page: str) -> list[Block]:
         if not inline:
             close()
         if match["end"]:
-            for place in range(len(stack) - 1, max(-1, len(stack) - 1 - 256), -1):
-                if stack[place][0] == tag:
-                    pop_to(place)
-                    break
+            open_.end(tag)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
@@ -132,39 +201,15 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in VOID:
             continue
-        if not inline:
-            # A paragraph ends where a block begins; list items and cells at the next.
-            for place in range(len(stack) - 1, max(-1, len(stack) - 1 - 64), -1):
-                name = stack[place][0]
-                if name == "p" or tag in ENDS_AT.get(name, ()):
-                    pop_to(place)
-                    break
-                if name not in INLINE:
-                    break
-        stack.append(_element(tag, match["attrs"]))
-        links += tag == "a"
+        if not inline and tag not in EMBEDDED:
+            open_.begin_block(tag)
+        open_.push(_element(tag, match["attrs"]))
     close()
     return found
 
 
 # --- the rule that labels training pages ----------------------------------------------
 
-# Tags and name parts that tell main text from the rest.
-NOT_MAIN = frozenset(
-    "nav header footer aside form button select option label textarea input title head "
-    ".nav .navbar .menu .header .footer .sidebar .aside .ad .ads .advert .advertisement .banner "
-    ".sponsor .sponsored .promo .cookie .cookies .consent .notice .alert .popup .modal .overlay "
-    ".comment .comments .reply .replies .respond .disqus .share .social .related .recommended "
-    ".breadcrumb .breadcrumbs .pagination .pager .login .signup .newsletter .subscribe .search "
-    ".widget .toolbar .copyright .legal .form .hidden .navigation .complementary .contentinfo "
-    ".tags .meta .byline".split()
-)
-MAIN = frozenset(
-    "article main .article .main .content .post .entry .story .text .body".split()
-)
-HEADS = frozenset(["header", ".header"])
-
-
 def by_rule(page: list[Block]) -> list[bool]:
     """Main text by tags and names; a heading part inside an article belongs to it."""
     labels = []
@@ -486,11 +531,13 @@ def extract(
 ) -> DataFrame:
     """(key, main_text, n_blocks, n_main, *carried) of every page, from its whole html.
 
-    ``carried`` names further columns to keep.
+    ``carried`` names further columns to keep; none may be called as the four.
 
     Main blocks are joined by a line feed. Null and empty pages have an empty text.
     Repeated rows stay; other columns are ignored. No shuffle.
     """
+    if clash := {"key", "text", "main_text", "n_blocks", "n_main"}.intersection(carried):
+        raise ValueError(f"carried columns must have other names than {sorted(clash)}")
     source = pages.select(
         F.col(fields.key).alias("key"), F.col(fields.text).alias("text"), *carried
     )

@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pytest
 
 from shopledger.llm import htmltext as ht
 from shopledger.llm.batches import Fields
@@ -152,3 +153,94 @@ def test_fit_takes_a_bounded_sample(spark):
     assert all(np.allclose(one.weights[k], w) for k, w in other.weights.items())
     empty = ht.fit(pages.limit(0), settings=settings)
     assert text_of("<p>all of it</p>", empty) == "all of it"
+
+
+def test_formulas_drawings_and_embedded_things_are_text():
+    found = ht.blocks(
+        "<article><p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is <svg><text>so</text></svg> it"
+        "</p><noscript>plain <b>form</b></noscript><object>in <iframe>place</iframe></object>"
+        "<canvas>of it</canvas><template>no</template></article>"
+    )
+    assert [b.text for b in found] == ["Energy E=m is so it", "plain form", "in", "place", "of it"]
+    assert found[1].path == ("article", "noscript")
+
+
+@pytest.mark.parametrize("depth", [5, 30, 400])
+def test_telling_elements_count_at_any_depth(depth):
+    wrapped = "<div class='x wrap'>" * depth
+    for outer, telling in (("<nav>", "nav"), ("<div class='comments'>", ".comments"), ("<article>", "article")):
+        (block,) = ht.blocks(f"<body>{outer}{wrapped}<p>text of it")
+        assert telling in block.path and block.path[-4:] == ("div", ".x", ".wrap", "p")
+        assert ht.by_rule([block]) == [telling == "article"]
+    # A header inside the article belongs to it, one around it does not count as main text.
+    inside, = ht.blocks(f"<article><header>{wrapped}<p>words of a heading here")
+    around, = ht.blocks(f"<header><article>{wrapped}<p>words of a heading here")
+    assert ht.by_rule([inside]) == [True] and ht.by_rule([around]) == [False]
+
+
+def test_long_attributes_and_cut_tags():
+    long = "a > b " * 2000
+    found = ht.blocks(f"<p title=\"{long}\" class='c'>one</p><p title='{long}'>two<p data=\"x>three")
+    assert [b.text for b in found] == ["one", "two", "three"]
+    for cut in ('<div class="x', "<div class='x", "<div", "</div", '<div class="x" id=', "<div class=x "):
+        assert [b.text for b in ht.blocks(f"<p>kept</p>{cut}")] == ["kept"]
+    assert [b.text for b in ht.blocks("<p>1 < 2</p>a <")] == ["1 < 2", "a <"]
+
+
+def test_an_end_tag_closes_its_element_however_many_are_open():
+    found = ht.blocks("<nav>" + "<span>" * 300 + "<div>" * 300 + "in</nav>out<p>" + "<b>" * 200 + "x<p>y")
+    assert [b.text for b in found] == ["in", "out", "x", "y"]
+    assert found[1].path == () and found[3].path == ("p",)
+
+
+def test_odd_pages_take_time_in_proportion():
+    for part in ("<div>", "<b>", "</div>", "<p a='>", '<a b="x', "<", "<!--", "<script>", "<nav><b>x", "<p title='"):
+        times = []
+        for n in (20_000, 80_000):
+            begin = time.perf_counter()
+            ht.blocks(part * n + "text")
+            times.append(time.perf_counter() - begin)
+        assert times[1] < 12 * times[0] + 0.2, part
+
+
+def plain_logits(net: ht.Network, vectors: np.ndarray) -> list[float]:
+    """One page, one block and one number at a time."""
+    w, size = net.weights, ht.HIDDEN
+
+    def sigmoid(x: float) -> float:
+        return 1 / (1 + np.exp(-x))
+
+    def states(way: str, rows: list[np.ndarray]) -> list[list[float]]:
+        h, c, out = [0.0] * size, [0.0] * size, []
+        for x in rows:
+            gates = [
+                float(sum(x[k] * w["x" + way][k, j] for k in np.flatnonzero(x)))
+                + sum(h[k] * w["h" + way][k, j] for k in range(size)) + w["c" + way][j]
+                for j in range(4 * size)
+            ]
+            i, f, o = ([sigmoid(g) for g in gates[n * size : (n + 1) * size]] for n in range(3))
+            c = [f[k] * c[k] + i[k] * np.tanh(gates[3 * size + k]) for k in range(size)]
+            h = [o[k] * np.tanh(c[k]) for k in range(size)]
+            out.append(h)
+        return out
+
+    rows = list(vectors)
+    both = zip(states("f", rows), states("b", rows[::-1])[::-1])
+    return [sum(a * b for a, b in zip((*f, *b), w["o"])) + float(w["oc"][0]) for f, b in both]
+
+
+def test_labels_equal_a_plain_forward_pass():
+    rng = random.Random(31)
+    pages = [ht.blocks(page(rng)[0]) for _ in range(4)]
+    found = ht.label(pages, NETWORK, ht.Vectors(), ht.Settings())
+    for blocks, own in zip(pages, found):
+        logits = plain_logits(NETWORK, ht.Vectors()(blocks))
+        assert [x > 0 for x in logits] == own.tolist()
+        x, mask = ht._batch([ht.Vectors()(blocks)])
+        assert np.allclose(NETWORK.logits(x, mask)[0], logits, atol=1e-3)
+
+
+def test_carried_names_may_not_clash(spark):
+    pages = spark.createDataFrame([(1, "<p>x", "u")], "page_id long, html string, `text` string")
+    with pytest.raises(ValueError, match="text"):
+        ht.extract(pages, NETWORK, carried=("text",))
