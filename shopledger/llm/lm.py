@@ -32,14 +32,14 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopledger.llm.batches import Fields, slices
-from shopledger.sources.staging import stage
+from shopledger.session import input_bytes_of
 
 ORDER = 3
 
@@ -53,12 +53,20 @@ class Settings:
     """Sizes of blocks.
 
     A block holds about ``block_bytes`` of text; a longer text is a block of its own. A
-    slice is what ``blocks_per_slice`` blocks ask for.
+    slice is what ``blocks_per_slice`` blocks ask for. A block sends a row to every slice,
+    so their number grows with blocks * slices; for corpora of many terabytes raise both
+    sizes with the memory of the executors. Of ``n`` distinct n-grams longer than a word a
+    share of about n / 2 ** ``gram_bits`` meet another one's hash.
     """
 
     order: int = ORDER
     block_bytes: int = 2 << 20
     blocks_per_slice: int = 12
+    gram_bits: int = 48
+
+    def bits(self, n: int) -> int:
+        """Bits of the hashes of n-grams of one order."""
+        return 64 if n == 1 else self.gram_bits
 
 
 # --- texts in blocks -------------------------------------------------------------------
@@ -69,54 +77,135 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def _buckets(spark: SparkSession) -> int:
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the least width that holds them all, one byte of each at a time.
+
+    Bytes of one rank lie together, so what compresses the result finds the high ones,
+    most of which are zero.
+    """
+    most = int(numbers.max(initial=0))
+    width = max(1, -(-most.bit_length() // 8))
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + planes.T.tobytes()
+
+
+def _unpacked_bits(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return _unpacked_bits(data).view(np.int64)
+
+
+def _packed_hashes(sorted_: np.ndarray) -> bytes:
+    """Sorted hashes as a first one and differences, which are mostly short."""
+    return _packed(np.diff(sorted_, prepend=np.uint64(0)).astype(np.uint64))
+
+
+def _unpacked_hashes(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked_bits(data), dtype=np.uint64)
+
+
+# Texts of one block bucket, by the size of the input files.
+BUCKET_BYTES = 64 << 20
+
+
+def _buckets(df: DataFrame) -> int:
+    """How many buckets: as many as a shuffle has partitions, or more for a large input."""
+    conf = df.sparkSession.conf
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    return int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    least = int(conf.get(name, None) or conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-(input_bytes_of([df]) or 0) // BUCKET_BYTES))
 
 
-def _bucketed(df: DataFrame, path: str, table: str) -> DataFrame:
+def _bucketed(df: DataFrame, path: str, table: str, buckets: int) -> DataFrame:
     """``df`` added to a table bucketed by its block, which later passes need not shuffle."""
     spark = df.sparkSession
     (
         df.write.mode("append")
         .option("path", path)
         .option("compression", "zstd")
-        .bucketBy(_buckets(spark), "block")
+        .bucketBy(buckets, "block")
         .saveAsTable(table, format="parquet")
     )
     return spark.table(table)
 
 
+def _numbered(texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(words, sizes, numbers): the distinct words in order of their first use, how many
+    words each text has, and all texts' words by number. The first two numbers are the end
+    and the beginning."""
+    numbers: dict[bytes, int] = {_END_WORD: END, _BEGIN_WORD: BEGIN}
+    split = [words_of(text) for text in texts]
+    for words in split:
+        for word in words:
+            if word not in numbers:
+                numbers[word] = len(numbers)
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    inner = np.fromiter(
+        map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum())
+    )
+    # White space is in no word, so that it can part them.
+    return b" ".join(list(numbers)[2:]), sizes, inner
+
+
 def in_blocks(
-    docs: DataFrame, train: Column, folder: str, fields: Fields = Fields(), settings: Settings = Settings()
+    docs: DataFrame,
+    train: Column,
+    folder: str,
+    table: str,
+    fields: Fields = Fields(),
+    settings: Settings = Settings(),
 ) -> DataFrame:
-    """(block, row, key, text, train) of every row, staged. Rows do not move: a block is
-    made of rows that one task reads one after the other."""
+    """(block, keys, train, sizes, numbers, words), staged as ``table``: one row a block, with its texts
+    as word numbers. Rows do not move: a block is made of rows that one task reads one
+    after the other, and texts are cut into words once."""
     source = docs.select(
         F.col(fields.key).alias("key"),
         F.col(fields.text).alias("text"),
         F.coalesce(train, F.lit(False)).alias("train"),
     )
-    kind = source.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size, row = TaskContext.get().partitionId() << 24, 0, 0
+        block, size = TaskContext.get().partitionId() << 24, 0
+        parts: list[pa.RecordBatch] = []
+
+        def packed() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(parts).combine_chunks()
+            words, sizes, numbers = _numbered(rows.column("text").to_pylist())
+            whole = np.array([0, rows.num_rows], np.int32)
+            lists = [
+                pa.ListArray.from_arrays(whole, rows.column(name).combine_chunks())
+                for name in ("key", "train")
+            ]
+            blobs = [pa.array([x], pa.binary()) for x in (_packed(sizes), _packed(numbers), words)]
+            names = ["block", "keys", "train", "sizes", "numbers", "words"]
+            return pa.RecordBatch.from_arrays([pa.array([block]), *lists, *blobs], names)
+
         for batch in batches:
             for part in slices(batch, "text", settings.block_bytes // 4):
-                n = part.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), pa.array(np.arange(row, row + n)), *part.columns],
-                    ["block", "row", *part.schema.names],
-                )
-                row += n
+                parts.append(part)
                 size += part.column("text").nbytes
                 if size >= settings.block_bytes:
-                    block, size = block + 1, 0
-
-    made = source.mapInArrow(
-        run, f"block bigint, row bigint, key {kind}, text string, train boolean"
+                    yield packed()
+                    parts, block, size = [], block + 1, 0
+        if parts:
+            yield packed()
+
+    schema = T.StructType(
+        [
+            T.StructField("block", T.LongType()),
+            T.StructField("keys", T.ArrayType(source.schema["key"].dataType)),
+            T.StructField("train", T.ArrayType(T.BooleanType())),
+            *(T.StructField(name, T.BinaryType()) for name in ("sizes", "numbers", "words")),
+        ]
     )
-    return _bucketed(made, f"{folder}/lm_blocks", f"lm_blocks_{uuid4().hex}")
+    made = source.mapInArrow(run, schema)
+    return _bucketed(made, f"{folder}/lm_blocks", table, _buckets(docs))
 
 
 # --- n-grams of a block ------------------------------------------------------------------
@@ -143,10 +232,6 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return in_order[first], order[first], inverse
 
 
-def _bits(order: int) -> int:
-    return 64 if order == 1 else 48
-
-
 @dataclass
 class Grams:
     """The distinct n-grams of one order in a block, sorted by hash."""
@@ -162,22 +247,32 @@ class Grams:
 class BlockTexts:
     """The texts of a block as local word numbers, and their n-grams."""
 
-    def __init__(self, rows: pa.Table, order: int):
+    def __init__(self, rows: pa.Table, order: int, settings: Settings = Settings()):
+        """Of a table (row, key, text, train)."""
         rows = rows.sort_by("row")
-        self.keys = rows.column("key")
+        texts = rows.column("text").to_pylist()
         train = np.asarray(rows.column("train"), bool)
-        numbers: dict[bytes, int] = {_END_WORD: END, _BEGIN_WORD: BEGIN}
-        split = [words_of(text.as_py()) for text in rows.column("text")]
-        for words in split:
-            for word in words:
-                if word not in numbers:
-                    numbers[word] = len(numbers)
-        sizes = np.fromiter(map(len, split), np.int64, len(split)) + 2
+        self._build(rows.column("key"), train, *_numbered(texts), order, settings)
+
+    @classmethod
+    def of(cls, block: pa.Table, order: int, settings: Settings) -> BlockTexts:
+        """Of a row of ``in_blocks``."""
+        texts = cls.__new__(cls)
+        numbers = [_unpacked(block.column(name)[0].as_py()) for name in ("sizes", "numbers")]
+        train = np.asarray(block.column("train")[0].values.to_numpy(zero_copy_only=False), bool)
+        words = block.column("words")[0].as_py()
+        texts._build(block.column("keys")[0].values, train, words, *numbers, order, settings)
+        return texts
+
+    def _build(
+        self, keys, train: np.ndarray, words: bytes, inner_sizes: np.ndarray, inner: np.ndarray,
+        order: int, settings: Settings,
+    ) -> None:
+        self.keys, self.train = keys, train
+        numbers = [_END_WORD, _BEGIN_WORD, *words.split()]
+        sizes = inner_sizes + 2
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        inner = np.fromiter(
-            map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()) - 2 * len(sizes)
-        )
         self.text = np.full(int(sizes.sum()), END, np.int64)
         place = np.ones(len(self.text), bool)
         place[self.starts] = place[self.ends - 1] = False
@@ -185,12 +280,10 @@ class BlockTexts:
         self.text[place] = inner
         self.n_words = len(numbers)
         in_train = np.repeat(train, sizes)
-        first = np.zeros(len(self.text), np.int64)
-        first[self.starts] = 1
         depth = np.arange(len(self.text)) - np.repeat(self.starts, sizes)
 
         digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(w) for w in numbers), np.uint64, len(numbers))
+        hashes = np.fromiter(map(digest, numbers), np.uint64, len(numbers))
         order_ = np.argsort(hashes, kind="stable")
         rank = np.empty_like(order_)
         rank[order_] = np.arange(len(order_))
@@ -204,7 +297,7 @@ class BlockTexts:
             whole = depth >= n - 1
             end = np.nonzero(whole)[0]
             hashed = _joined(below.hashes[below.at[end - 1]], hashes[self.text[end]])
-            hashed >>= np.uint64(64 - _bits(n))
+            hashed >>= np.uint64(64 - settings.bits(n))
             distinct, sample, inverse = _distinct(hashed)
             sample = end[sample]
             at = np.full(len(self.text), -1, np.int64)
@@ -215,35 +308,9 @@ class BlockTexts:
             )
 
 
-def _packed(numbers: np.ndarray) -> bytes:
-    """Whole numbers in the least width that holds them all."""
-    most = int(numbers.max(initial=0))
-    width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w))
-    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
-
-
-def _packed_hashes(sorted_: np.ndarray) -> bytes:
-    """Sorted hashes as a first one and differences, which are mostly short."""
-    return _packed(np.diff(sorted_, prepend=np.uint64(0)).astype(np.uint64))
-
-
-def _unpacked_hashes(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.uint64)
-    return np.cumsum(steps, dtype=np.uint64)
-
-
-def _slice_bounds(order: int, slices_: int) -> np.ndarray:
-    """Where each slice of the hash range begins, and where the last one ends."""
-    top = 1 << _bits(order)
-    return np.array([top * i // slices_ for i in range(slices_)], np.uint64)
-
-
-def _cuts(hashes: np.ndarray, order: int, slices_: int) -> np.ndarray:
-    return np.append(np.searchsorted(hashes, _slice_bounds(order, slices_), "left"), len(hashes))
+def _slice_bounds(bits: int, slices_: int) -> np.ndarray:
+    """Where each slice of the range of hashes begins."""
+    return np.array([(i << bits) // slices_ for i in range(slices_)], np.uint64)
 
 
 def _elsewhere(texts: BlockTexts, shared: list[np.ndarray], n: int) -> np.ndarray:
@@ -264,55 +331,75 @@ ASKED = "slice bigint, block bigint, n int, hashes binary, counts binary"
 
 
 def _asked(
-    blocks: DataFrame, answers: DataFrame | None, orders: tuple[int, ...], slices_: int
+    blocks: DataFrame,
+    answers: DataFrame | None,
+    orders: tuple[int, ...],
+    slices_: int,
+    settings: Settings,
 ) -> DataFrame:
     """What the blocks ask and tell of these orders, after the answers to the ones below."""
+    bounds = {n: _slice_bounds(settings.bits(n), slices_) for n in orders}
 
-    def asked_by(rows: pa.Table, found: pa.Table | None) -> pa.Table:
-        block = rows.column("block")[0].as_py()
-        texts = BlockTexts(rows, max(orders))
-        _, known = _counts_of(texts, found, min(orders) - 1) if found is not None else ([], [])
-        out: dict[str, list] = {"slice": [], "block": [], "n": [], "hashes": [], "counts": []}
+    def asked_by(block: pa.Table, found: pa.Table | None) -> pa.Table:
+        texts = BlockTexts.of(block, max(orders), settings)
+        known = _counts_of(texts, found, min(orders) - 1)[1] if found is not None else []
+        out: dict[str, list] = {"slice": [], "n": [], "hashes": [], "counts": []}
         for n in orders:
             grams = texts.grams[n - 1]
             wanted = _elsewhere(texts, known, n)
             hashes, counts = grams.hashes[wanted], grams.counts[wanted]
-            cuts = _cuts(hashes, n, slices_)
+            cuts = np.append(np.searchsorted(hashes, bounds[n], "left"), len(hashes))
             for i in np.nonzero(np.diff(cuts))[0].tolist():
                 own = slice(cuts[i], cuts[i + 1])
-                base = _slice_bounds(n, slices_)[i]
                 out["slice"].append(i)
-                out["block"].append(block)
                 out["n"].append(n)
-                out["hashes"].append(_packed_hashes(hashes[own] - base))
+                out["hashes"].append(_packed_hashes(hashes[own] - bounds[n][i]))
                 out["counts"].append(_packed(counts[own]))
+        number = block.column("block")[0].as_py()
         return pa.table(
             {
                 "slice": pa.array(out["slice"], pa.int64()),
-                "block": pa.array(out["block"], pa.int64()),
+                "block": pa.array([number] * len(out["n"]), pa.int64()),
                 "n": pa.array(out["n"], pa.int32()),
                 "hashes": pa.array(out["hashes"], pa.binary()),
                 "counts": pa.array(out["counts"], pa.binary()),
             }
         )
 
-    groups = blocks.groupBy("block")
-    if answers is None:
-        return groups.applyInArrow(lambda rows: asked_by(rows, None), ASKED)
-    found = _to_blocks(answers).groupBy("block")
-    return groups.cogroup(found).applyInArrow(lambda rows, known: asked_by(rows, known), ASKED)
+    if answers is not None:
+        return _with_answers(blocks, answers, asked_by, ASKED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                block = pa.Table.from_batches([batch.slice(at, 1)])
+                yield from asked_by(block, None).to_batches()
+
+    return blocks.mapInArrow(run, ASKED)
+
+
+def _with_answers(blocks: DataFrame, answers: DataFrame, function, schema) -> DataFrame:
+    """``function`` of every block and its answers, both of which lie in the block's bucket."""
+    own = answers.filter("block >= 0").select("block", "n", "slice", "counts")
+
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        return function(block, found)
+
+    return blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(run, schema)
 
 
 _BEGIN_HASH = np.uint64(xxhash.xxh64_intdigest(_BEGIN_WORD))
 
 
-def _answered(asked: DataFrame, slices_: int) -> DataFrame:
+def _answered(asked: DataFrame, slices_: int, settings: Settings) -> DataFrame:
     """(block, n, slice, counts, kinds, tokens): what each block asked, over all blocks.
 
     ``kinds`` and ``tokens`` are the slice's share of V and N, on one row of the slice
     with block -1.
     """
 
+    words_from = _slice_bounds(settings.bits(1), slices_)
+
     def run(rows: pa.Table) -> pa.Table:
         which = rows.column("slice")[0].as_py()
         order = np.asarray(rows.column("n"))
@@ -332,7 +419,7 @@ def _answered(asked: DataFrame, slices_: int) -> DataFrame:
                 answers[int(i)] = _packed(answer[inverse[at : at + len(own)]])
                 at += len(own)
             if n == 1:
-                words = distinct + _slice_bounds(1, slices_)[which] != _BEGIN_HASH
+                words = distinct + words_from[which] != _BEGIN_HASH
                 kinds = int((totals[words] > 0).sum())
                 tokens = int(totals[words].sum())
         size = rows.num_rows
@@ -438,28 +525,66 @@ class Automaton:
                 if n > 1:
                     fail_to[here] = state[n - 2][own.suffix]
                 fail_weight[here] = np.log10(1 - found.weights[n - 1])
-        self.n_words = texts.n_words
-        all_keys = np.concatenate(keys).tolist()
-        self.arcs = dict(zip(all_keys, range(len(all_keys))))
-        self.weights = np.concatenate(weights).tolist()
-        self.targets = np.concatenate(targets).tolist()
-        self.fail_to, self.fail_weight = fail_to.tolist(), fail_weight.tolist()
-        self.start = int(state[0][texts.rank[BEGIN]])
-
-    def score(self, words: list[int]) -> float:
-        """The log10 probability of a text: its words' numbers and the end."""
-        state, total = self.start, 0.0
-        arcs, weights, targets, n_words = self.arcs, self.weights, self.targets, self.n_words
-        fail_to, fail_weight = self.fail_to, self.fail_weight
-        for word in words:
-            arc = arcs.get(state * n_words + word)
-            while arc is None:
-                total += fail_weight[state]
-                state = fail_to[state]
-                arc = arcs.get(state * n_words + word)
-            total += weights[arc]
-            state = targets[arc]
-        return total
+        # Arcs by state and word, in order, to be found by binary search.
+        arcs = np.concatenate(keys)
+        in_order = np.argsort(arcs)
+        self.arcs = arcs[in_order]
+        self.weights = np.concatenate(weights)[in_order]
+        self.targets = np.concatenate(targets)[in_order]
+        self.fail_to, self.fail_weight = fail_to, fail_weight
+        self.n_words, self.memory = texts.n_words, order - 1
+        self.begin = int(state[0][texts.rank[BEGIN]])
+
+    def _step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 probabilities of the words, next states) from the states.
+
+        Where a state has no arc for its word, its failure arc is taken, again and again;
+        the empty context has an arc for every word.
+        """
+        weight, states = np.zeros(len(states)), states.copy()
+        at = np.searchsorted(self.arcs, states * self.n_words + words)
+        while True:
+            arcs = states * self.n_words + words
+            at[at == len(self.arcs)] = 0
+            lost = np.flatnonzero(self.arcs[at] != arcs)
+            if not len(lost):
+                return weight + self.weights[at], self.targets[at]
+            weight[lost] += self.fail_weight[states[lost]]
+            states[lost] = self.fail_to[states[lost]]
+            at[lost] = np.searchsorted(self.arcs, states[lost] * self.n_words + words[lost])
+
+    def score(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The log10 probabilities of the texts that lie in ``words`` from start to end.
+
+        All are read side by side, a word at a time, each carrying its state. Long texts are
+        cut into stretches: a state depends on no more than the last ``memory`` words, so a
+        stretch begins so many words early, in the empty context, and counts from its own
+        first word on.
+        """
+        counts = -(-(ends - starts) // STRETCH)
+        text = np.repeat(np.arange(len(starts)), counts)
+        part = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        first = starts[text] + part * STRETCH
+        last = np.minimum(first + STRETCH, ends[text])
+        order = np.argsort(first - last, kind="stable")
+        text, part, first, last = text[order], part[order], first[order], last[order]
+        before = first - starts[text]
+        # With fewer words before it, a stretch goes back to the text's beginning.
+        states = np.where(before < self.memory, self.begin, 0)
+        for back in range(self.memory, 0, -1):
+            begun = np.flatnonzero(before >= back)
+            _, states[begun] = self._step(states[begun], words[first[begun] - back])
+        total = np.zeros(len(text))
+        lengths = last - first
+        for at in range(int(lengths[0]) if len(lengths) else 0):
+            active = int(np.searchsorted(-lengths, -at, "left"))
+            weight, states[:active] = self._step(states[:active], words[first[:active] + at])
+            total[:active] += weight
+        return np.bincount(text, total, len(starts))
+
+
+# Words of a stretch of a text that is read beside others.
+STRETCH = 256
 
 
 # --- mixing weights ----------------------------------------------------------------------
@@ -467,13 +592,12 @@ class Automaton:
 RATIOS = 81  # bins of log10 of a share over the shorter context's probability
 
 
-def _ratio_counts(texts: BlockTexts, rows: pa.Table, counts: list[np.ndarray], mixture: Mixture):
+def _ratio_counts(texts: BlockTexts, counts: list[np.ndarray], mixture: Mixture):
     """(n, level, bin, times): training words, each left out of its own counts.
 
     Bin 0 is for words not seen otherwise after the context.
     """
-    train = np.asarray(rows.sort_by("row").column("train"), bool)
-    in_train = np.repeat(train, texts.ends - texts.starts)
+    in_train = np.repeat(texts.train, texts.ends - texts.starts)
     found = Probabilities(texts, counts, mixture)
     out = []
     for n in range(2, len(texts.grams) + 1):
@@ -505,10 +629,6 @@ def fit_weight(times: np.ndarray, rounds: int = 100) -> float:
     return weight
 
 
-def _to_blocks(answers: DataFrame) -> DataFrame:
-    return answers.filter("block >= 0").select("block", "n", "slice", "counts")
-
-
 def _counts_of(
     texts: BlockTexts, answers: pa.Table, most: int
 ) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -550,53 +670,56 @@ def score(
     have the end as their only token. Repeated rows stay and count as often as they
     occur; other columns are ignored. Without training texts all tokens are unknown.
     """
-    spark = docs.sparkSession
-    blocks = in_blocks(docs, train, folder, fields, settings)
-    n_blocks = blocks.select("block").distinct().count()
+    spark, buckets = docs.sparkSession, _buckets(docs)
+    tables = [f"lm_{name}_{uuid4().hex}" for name in ("blocks", "answers")]
+    blocks = in_blocks(docs, train, folder, tables[0], fields, settings)
+    n_blocks = blocks.select("block").count()
     slices_ = max(1, -(-n_blocks // settings.blocks_per_slice))
     answers, rounds = None, [tuple(range(1, min(settings.order, 2) + 1))]
     rounds += [(n,) for n in range(3, settings.order + 1)]
-    table = f"lm_answers_{uuid4().hex}"
     for orders in rounds:
-        answered = _answered(_asked(blocks, answers, orders, slices_), slices_)
-        dealt = answered.repartition(_buckets(spark), "block")
-        answers = _bucketed(dealt, f"{folder}/lm_answers", table)
+        asked = _asked(blocks, answers, orders, slices_, settings)
+        dealt = _answered(asked, slices_, settings).repartition(buckets, "block")
+        answers = _bucketed(dealt, f"{folder}/lm_answers", tables[1], buckets)
     size = answers.filter("block = -1").agg(F.sum("kinds"), F.sum("tokens")).first()
     first = Mixture(size[1] or 0, size[0] or 0, (FIRST_WEIGHTS,) * (settings.order - 1))
     if weights is None:
         weights = _fitted(blocks, answers, first, settings)
     mixture = Mixture(first.tokens, first.kinds, weights)
 
-    kind = blocks.schema["key"].dataType.simpleString()
-
-    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
-        texts = BlockTexts(rows, settings.order)
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        texts = BlockTexts.of(block, settings.order, settings)
         counts, _ = _counts_of(texts, found, settings.order)
         automaton = Automaton(texts, counts, mixture)
-        unigram = np.log10(mixture.unigram(counts[0]))
-        words = texts.text.tolist()
-        spans = list(zip((texts.starts + 1).tolist(), texts.ends.tolist()))
+        starts, ends = texts.starts + 1, texts.ends
         at = texts.grams[0].at
-        known = (counts[0] > 0)[at]
+        known = np.concatenate(([0], np.cumsum((counts[0] > 0)[at])))
+        unigram = np.log10(mixture.unigram(counts[0]))[at]
+        text = np.repeat(np.arange(len(starts)), texts.ends - texts.starts)
+        unigram[texts.starts] = 0  # the beginning is no token
         return pa.table(
             {
                 "key": texts.keys,
-                "train": rows.sort_by("row").column("train"),
-                "n_tokens": pa.array([j - i for i, j in spans], pa.int64()),
-                "n_known": pa.array([int(known[i:j].sum()) for i, j in spans], pa.int64()),
-                "train_tokens": pa.array([mixture.tokens] * len(spans), pa.int64()),
-                "base_score": pa.array([float(unigram[at[i:j]].sum()) for i, j in spans], pa.float64()),
-                "score": pa.array([automaton.score(words[i:j]) for i, j in spans], pa.float64()),
+                "train": pa.array(texts.train),
+                "n_tokens": pa.array(ends - starts),
+                "n_known": pa.array(known[ends] - known[starts]),
+                "train_tokens": pa.array(np.full(len(starts), mixture.tokens)),
+                "base_score": pa.array(np.bincount(text, unigram, len(starts))),
+                "score": pa.array(automaton.score(texts.text, starts, ends)),
             }
         )
 
-    schema = (
-        f"key {kind}, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-        "base_score double, score double"
+    schema = T.StructType(
+        [T.StructField("key", blocks.schema["keys"].dataType.elementType)]
+        + [T.StructField("train", T.BooleanType())]
+        + [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")]
+        + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]
     )
-
-    own = _to_blocks(answers).groupBy("block")
-    return blocks.groupBy("block").cogroup(own).applyInArrow(run, schema)
+    scored = _with_answers(blocks, answers, run, schema)
+    # The plan knows the tables' files; their names need not stay in a shared catalog.
+    for name in tables:
+        spark.sql(f"DROP TABLE {name}")
+    return scored
 
 
 def _fitted(
@@ -607,18 +730,16 @@ def _fitted(
         return first.weights
     names = ["n", "level", "bin", "times"]
 
-    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
-        if not pc.any(rows.column("train")).as_py():
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        if not any(block.column("train")[0].as_py()):
             return pa.table([pa.array([], pa.int64())] * len(names), names=names)
-        texts = BlockTexts(rows, settings.order)
+        texts = BlockTexts.of(block, settings.order, settings)
         counts, _ = _counts_of(texts, found, settings.order)
-        columns = _ratio_counts(texts, rows, counts, first)
+        columns = _ratio_counts(texts, counts, first)
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
 
     told = (
-        blocks.groupBy("block")
-        .cogroup(_to_blocks(answers).groupBy("block"))
-        .applyInArrow(run, "n bigint, level bigint, bin bigint, times bigint")
+        _with_answers(blocks, answers, run, "n bigint, level bigint, bin bigint, times bigint")
         .groupBy("n", "level", "bin").agg(F.sum("times").alias("times"))
     )
     rows = told.collect()  # at most orders * LEVELS * RATIOS

@@ -165,3 +165,72 @@ def test_weights_are_fitted_on_all_blocks(spark):
         found = lm.score(docs, F.lit(True), staging_folder(spark), settings=settings)
         got.append({r["key"]: r["score"] for r in found.collect()})
     assert got[0] == pytest.approx(got[1], rel=1e-9)
+
+
+def test_texts_side_by_side_carry_their_states(monkeypatch):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(9)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 3, 7, 40, 300]))) for _ in range(60)]
+    rows = pa.table({
+        "row": list(range(60)), "key": list(range(60)), "text": texts,
+        "train": [i % 3 > 0 for i in range(60)],
+    })
+    for order in (1, 2, 3, 4):
+        block = lm.BlockTexts(rows, order)
+        counts = [g.counts.astype(np.int64) for g in block.grams]
+        mixture = lm.Mixture(5000, 9, tuple(WEIGHTS[0] for _ in range(order - 1)))
+        automaton = lm.Automaton(block, counts, mixture)
+        weights, targets = (dict(zip(automaton.arcs.tolist(), x.tolist())) for x in (automaton.weights, automaton.targets))
+        plain = []
+        for start, end in zip(block.starts + 1, block.ends):
+            state, total = automaton.begin, 0.0
+            for word in block.text[start:end].tolist():
+                while state * automaton.n_words + word not in weights:
+                    total += automaton.fail_weight[state]
+                    state = int(automaton.fail_to[state])
+                arc = state * automaton.n_words + word
+                total, state = total + weights[arc], targets[arc]
+            plain.append(total)
+        for stretch in (1, 2, 5, 256):
+            monkeypatch.setattr(lm, "STRETCH", stretch)
+            found = automaton.score(block.text, block.starts + 1, block.ends)
+            assert found == pytest.approx(plain, rel=1e-9, abs=1e-12)
+
+
+def test_packed_blocks_are_the_texts(spark, tmp_path):
+    rows = [(1, "B a b", True), (None, None, False), (3, "", True), (4, "a" * 9000 + " x", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, t boolean").coalesce(1)
+    settings = lm.Settings(block_bytes=4000)
+    blocks = lm.in_blocks(docs, F.col("t"), str(tmp_path), "lm_test_blocks", settings=settings)
+    found = sorted(blocks.toArrow().to_pylist(), key=lambda row: row["block"])
+    assert [key for row in found for key in row["keys"]] == [1, None, 3, 4]
+    for row in found:
+        block = lm.BlockTexts.of(pa.table({n: [v] for n, v in row.items()}), 2, settings)
+        own = [r for r in rows if r[0] in row["keys"]]
+        plain = lm.BlockTexts(
+            pa.table({"row": range(len(own)), "key": [r[0] for r in own], "text": [r[1] for r in own],
+                      "train": [r[2] for r in own]}), 2)
+        for a, b in zip(block.grams, plain.grams):
+            assert (a.hashes == b.hashes).all() and (a.counts == b.counts).all() and (a.at == b.at).all()
+    spark.sql("DROP TABLE lm_test_blocks")
+
+
+def test_no_table_stays_in_the_catalog(spark):
+    docs = spark.createDataFrame(corpus(30), "doc_id long, text string")
+    found = lm.score(docs, F.lit(True), staging_folder(spark))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("lm_")]
+    assert found.count() == 30
+
+
+def test_rows_sent_grow_with_the_text_until_slices_multiply(spark, tmp_path):
+    """Eight and sixty-four blocks: a block sends each slice one row an order."""
+    for blocks, copies in ((8, 1), (64, 8)):
+        docs = spark.createDataFrame(corpus(80) * copies, "doc_id long, text string").coalesce(1)
+        size = sum(len(t) for _, t in corpus(80) * copies) // blocks
+        settings = lm.Settings(block_bytes=size, blocks_per_slice=64)
+        made = lm.in_blocks(docs, F.lit(True), f"{tmp_path}/{blocks}", f"lm_rows_{blocks}", settings=settings)
+        n = made.count()
+        slices = max(1, -(-n // settings.blocks_per_slice))
+        assert lm._asked(made, None, (1, 2), slices, settings).count() <= 2 * n * slices
+        assert slices <= 2
+        spark.sql(f"DROP TABLE lm_rows_{blocks}")
