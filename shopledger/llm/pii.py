@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import lru_cache
 from hashlib import blake2b
+from ipaddress import IPv6Address
 from math import isqrt
 
 import pyarrow as pa
@@ -32,6 +33,11 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
 DIGIT = "0123456789"
 
+# Letters beyond ASCII stay as they are; A to Z and the accented ones of Latin-1 fold.
+_TO_LOWER = {
+    code: chr(code + 32) for code in (*range(0x41, 0x5B), *range(0xC0, 0xDF)) if code != 0xD7
+}
+
 
 class Permutation:
     """A keyed permutation of 0..size-1 for any size and tweak."""
@@ -101,13 +107,14 @@ def _permuted_text(p: Permutation, kind: str, text: str, inverse: bool) -> str:
     Letters are permuted in lower case and get their case back, so that two spellings
     of one address stay linked.
     """
-    value, alphabets = _mixed(text.lower())
+    lower = text.translate(_TO_LOWER)
+    value, alphabets = _mixed(lower)
     size = 1
     for own in alphabets:
         size *= len(own) if own else 1
     # The pattern of classes is the format: each has a permutation of its own.
-    shape = "".join("a" if x == LOWER else "0" if x == DIGIT else c for x, c in zip(alphabets, text))
-    mapped = _unmixed(p(f"{kind}|{shape}", value, size, inverse), alphabets, text.lower())
+    shape = "".join("a" if x == LOWER else "0" if x == DIGIT else c for x, c in zip(alphabets, lower))
+    mapped = _unmixed(p(f"{kind}|{shape}", value, size, inverse), alphabets, lower)
     return "".join(m.upper() if c in UPPER else m for m, c in zip(mapped, text))
 
 
@@ -192,6 +199,19 @@ def _ip(p: Permutation, text: str, inverse: bool) -> str | None:
     return ".".join(map(str, p("ip", value, 1 << 32, inverse).to_bytes(4, "big")))
 
 
+def _ipv6(p: Permutation, text: str, inverse: bool) -> str | None:
+    groups = [group for group in text.split(":") if group]
+    # Two short words around a double colon may be names in a program.
+    if len(groups) < 3 or not any(c in DIGIT for c in text):
+        return None
+    try:
+        value = int(IPv6Address(text))
+    except ValueError:
+        return None
+    moved = IPv6Address(p("ipv6", value, 1 << 128, inverse)).compressed
+    return moved.upper() if text == text.upper() else moved
+
+
 def _iban(p: Permutation, text: str, inverse: bool) -> str | None:
     plain = text.replace(" ", "")
     value = lambda s: int("".join(str(int(c, 36)) for c in s)) % 97
@@ -241,6 +261,7 @@ _NUMBERS = re.compile(
     r"(?<![0-9A-Za-z.])(?:"
     r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
     r"|(?P<ip>(?:[0-9]{1,3}\.){3}[0-9]{1,3})"
+    r"|(?P<ipv6>(?<!:)(?:[0-9A-Fa-f]{0,4}:){2,7}(?:[0-9A-Fa-f]{1,4}|(?<=::))(?!:[0-9A-Fa-f:]))"
     r"|(?P<date>[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}"
     r"|[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})"
@@ -250,8 +271,9 @@ _NUMBERS = re.compile(
     r"|\+[2-9][0-9](?:[ .-]?\(?[0-9]{1,4}\)?){2,6}"
     r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
     r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})"
-    # A date with the year in front may be followed by a time.
-    r")(?:(?![0-9A-Za-z]|\.[0-9])|(?(s1)(?=[Tt][0-9]{2})|(?!)))"
+    # A date with the year in front may be followed by a time, a phone by an extension.
+    r")(?:(?![0-9A-Za-z]|\.[0-9])|(?(s1)(?=[Tt][0-9]{2})|(?!))"
+    r"|(?(phone)(?=[xX][0-9]{1,6}(?![0-9A-Za-z]))|(?!)))"
 )
 # Where a match of these kinds may end: before a separator.
 _TOKEN_END = re.compile(r"(?<=[0-9A-Z)])(?=[ .-])")
@@ -270,12 +292,13 @@ IBAN_LENGTHS = {
     }.items()
     for country in countries.split()
 }
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
+_LOCAL = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F0-9._%+-]{1,64}\Z")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 
 KINDS: dict[str, Callable[[Permutation, str, bool], str | None]] = {
     "iban": _iban,
     "ip": _ip,
+    "ipv6": _ipv6,
     "date": _date,
     "ssn": _ssn,
     "card": _card,

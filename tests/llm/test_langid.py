@@ -95,3 +95,49 @@ def test_sample_does_not_depend_on_order_or_copies(spark):
     assert one == other
     named = frame(spark, rows).withColumnsRenamed({"doc_id": "id", "text": "body"})
     assert langid.fit(named, Fields("id", "body"), settings=small) == one
+
+
+def test_predictions_equal_plain_compression(spark):
+    import zstandard
+
+    settings = langid.Settings(block_bytes=64)
+    dictionaries = langid.fit(frame(spark, labelled(60)), settings=settings)
+    rows = labelled(60, seed=5) + [(900, "the sch ein", None), (901, "q" * 700, None), (902, None, None)]
+    found = langid.predict(frame(spark, rows), dictionaries, settings=settings)
+    by_key = {r["key"]: r for r in found.collect()}
+    for key, text, _ in rows:
+        clean = langid.normalised(text or "")
+        sizes = {}
+        for label in sorted(dictionaries):
+            content = zstandard.ZstdCompressionDict(
+                dictionaries[label], dict_type=zstandard.DICT_TYPE_RAWCONTENT
+            )
+            total = 0
+            for start in range(0, len(clean), 64):
+                plain = zstandard.ZstdCompressor(
+                    level=settings.level, dict_data=content, write_content_size=False,
+                    write_checksum=False, write_dict_id=False,
+                )
+                total += len(plain.compress(clean[start : start + 64]))
+            sizes[label] = total - 4
+        row = by_key[key]
+        if not clean:
+            assert (row["lang_pred"], row["score"]) == (langid.UNDETERMINED, 0)
+            continue
+        best = min(sizes, key=lambda label: (sizes[label], label))
+        second = min(size for label, size in sizes.items() if label != best)
+        margin = (second - sizes[best]) / max(1, second)
+        assert row["lang_pred"] == best
+        assert row["margin"] == pytest.approx(margin) and row["score"] == pytest.approx(margin / (margin + 0.05))
+
+
+def test_rows_without_a_key_are_predicted_and_not_learned_from(spark, tmp_path):
+    from shopledger.llm.queries import QUERIES
+
+    rows = labelled(200) + [(None, "the and ing ion", "zz")] * 50
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op1_language_id"](spark, str(tmp_path))
+    assert found.count() == len(rows)
+    own = found.filter("doc_id is null").select("held_out", "lang_pred").distinct().collect()
+    assert [tuple(r) for r in own] == [(False, "aa")]
+    assert found.filter("held_out is null").count() == 0

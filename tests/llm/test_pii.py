@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
 import re
 from datetime import date
+from ipaddress import IPv6Address
 
 import pytest
 
@@ -145,3 +147,91 @@ def test_what_is_not_valid_hides_nothing_behind_it():
     assert spans(f"+49 30 1234567 {card}") == [("phone", "+49 30 1234567"), ("card", card)]
     assert spans("at 2020-01-02T10:00, 2020-01-02t10:00:00Z") == [("date", "2020-01-02")] * 2
     assert spans("2020-01-02Times 2020-01-02T 123-45-6789T10:00") == []
+
+
+def test_accented_addresses_extensions_and_ipv6():
+    moved = new("Schreib an josé.núñez@example.com heute").split()[2]
+    assert re.fullmatch(r"[a-z]{3}é\.[a-z]ú.[a-z]{2}@[a-z]{7}\.com", moved) and "ñ" in moved
+    assert moved != "josé.núñez@example.com"
+    assert new("JOSÉ@example.com").lower() == new("josé@example.com")
+    phone = new("+1-212-555-2485")
+    assert new("+1-212-555-2485x12") == f"{phone}x12" and new("+1-212-555-2485xyz") == "+1-212-555-2485xyz"
+    for text in ("2001:db8::1", "2001:0DB8:85A3:0000:0000:8A2E:0370:7334", "fe80::1ff:fe23:4567:890a"):
+        found = new(f"from {text}: ok")
+        address = re.fullmatch(r"from ([0-9a-fA-F:]+): ok", found)[1]
+        assert IPv6Address(address) != IPv6Address(text)
+        back = re.fullmatch(r"from (.+): ok", CHANGE.replace(found, inverse=True)[0])[1]
+        assert IPv6Address(back) == IPv6Address(text)
+    assert new("2001:DB8::1").lower() == new("2001:0db8::0001")
+    for text in ("at 10:30:45", "std::vector a::b ::1 ::", "12:34:56:78", "1:2:3:4:5:6:7:8:9", "face::add::b1:c"):
+        assert new(text) == text
+
+
+def luhn_valid(digits: str) -> bool:
+    return luhn(digits) and len(set(digits)) > 1
+
+
+def plain_kind(token: str) -> str | None:
+    """The kind of a token without white space, by definition."""
+    def is_date(parts: list[str], orders) -> bool:
+        for y, m, d in orders:
+            try:
+                return 1900 <= date(int(parts[y]), int(parts[m]), int(parts[d])).year <= 2099
+            except ValueError:
+                pass
+        return False
+
+    if re.fullmatch(r"[a-z0-9.]+@[a-z0-9]+\.[a-z]{2,3}", token):
+        return "email"
+    if re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", token):
+        parts = token.split(".")
+        return "ip" if all(int(x) < 256 and str(int(x)) == x for x in parts) else None
+    if re.fullmatch(r"\d{3}-\d\d-\d{4}", token):
+        a, g, n = token.split("-")
+        return "ssn" if a not in ("000", "666") and a < "900" and g != "00" and n != "0000" else None
+    if re.fullmatch(r"\d{4}-\d\d-\d\d", token):
+        return "date" if is_date(token.split("-"), [(0, 1, 2)]) else None
+    if re.fullmatch(r"\d\d\.\d\d\.\d{4}", token):
+        return "date" if is_date(token.split("."), [(2, 1, 0), (2, 0, 1)]) else None
+    if re.fullmatch(r"\d{13,19}", token):
+        return "card" if luhn_valid(token) else None
+    if re.fullmatch(r"\d{3}-\d{3}-\d{4}", token):
+        return "phone" if token[0] > "1" and token[4] > "1" else None
+    if re.fullmatch(r"\+1\d{10}", token):
+        return "phone"
+    return None
+
+
+def test_findings_equal_a_finder_by_token():
+    rng = random.Random(12)
+
+    def digits(n: int) -> str:
+        return "".join(rng.choices("0123456789", k=n))
+
+    def card() -> str:
+        own = digits(15)
+        return own + str(pii.luhn_check(own)) if rng.random() < 0.6 else digits(16)
+
+    makers = [
+        lambda: f"{rng.choice('abc')}{digits(2)}.{rng.choice('xyz')}@mail{digits(1)}.com",
+        lambda: ".".join(str(rng.randint(0, 300)) for _ in range(4)),
+        lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+        lambda: f"{rng.choice(['19', '20', '31'])}{digits(2)}-{rng.randint(1, 14):02d}-{rng.randint(1, 33):02d}",
+        lambda: f"{rng.randint(1, 33):02d}.{rng.randint(1, 14):02d}.{rng.choice(['19', '20'])}{digits(2)}",
+        card,
+        lambda: f"{digits(3)}-{digits(3)}-{digits(4)}",
+        lambda: f"+1{digits(10)}",
+        lambda: digits(rng.randint(1, 9)),
+        lambda: "".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) + rng.choice(["", ",", "."]),
+    ]
+    for _ in range(400):
+        tokens = [rng.choice(makers)() for _ in range(rng.randint(1, 30))]
+        # Words part the numbers, so that none can go on in the next token.
+        text = " and ".join(tokens)
+        expected, at = [], 0
+        for token in tokens:
+            kind = plain_kind(token)
+            if kind:
+                expected.append((kind, at, at + len(token)))
+            at += len(token) + len(" and ")
+        assert [(f.kind, f.start, f.end) for f in CHANGE.findings(text)] == expected, text

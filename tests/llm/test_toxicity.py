@@ -101,3 +101,54 @@ def test_without_both_labels(spark):
     assert toxicity.score(docs, model).first()["score"] < 0.5
     none, no_labels = frames(spark, [], [])
     assert toxicity.score(none, toxicity.fit(none, no_labels, staging_folder(spark))).count() == 0
+
+
+def plain_density(model: toxicity.Model, text: str) -> tuple[float, int]:
+    """Every term and phrase looked for at every place."""
+    folded = toxicity.fold(text)
+
+    def ends_word(at: int) -> bool:
+        return at >= len(folded) or not folded[at].isalnum()
+
+    counted, excused = {}, []
+    for start in range(len(folded)):
+        if start and folded[start - 1].isalnum():
+            continue
+        for phrase in model.exceptions:
+            end = start + len(toxicity.fold(phrase))
+            if folded[start:end] == toxicity.fold(phrase) and ends_word(end):
+                excused.append((start, end))
+        for term, weight in model.weights.items():
+            word = term.rstrip(toxicity.WHOLE)
+            end = start + len(word)
+            if folded[start:end] == word and (word == term or ends_word(end)):
+                if start not in counted or weight > counted[start][1]:
+                    counted[start] = (end, weight)
+    kept = {
+        start: weight
+        for start, (end, weight) in counted.items()
+        if not any(a <= start and end <= b for a, b in excused)
+    }
+    return sum(kept.values()) / (len(text.split()) + model.prior_words) if kept else 0.0, len(kept)
+
+
+def test_hits_equal_a_plain_scan():
+    weights = {"bad\n": 3.0, "ba": 1.5, "badd": 2.5, "viie": 4.0, "oniy\n": 2.0}
+    model = toxicity.Model(weights, ("mister bad", "bad bad boy", "not viie"), 2.0, -1.0, 5.0)
+    scorer = toxicity.Scorer(model)
+    rng = random.Random(3)
+    words = ["bad", "BAD", "b4d", "badder", "bade", "vile", "v1le", "only", "mister", "boy", "not", "ba", "xbad", "b-bad", "аbаd"]
+    for _ in range(500):
+        text = rng.choice([" ", ", ", "  "]).join(rng.choices(words, k=rng.randint(0, 14)))
+        density, hits = scorer.density(text)
+        expected, n = plain_density(model, text)
+        assert hits == n and abs(density - expected) < 1e-9, text
+
+
+def test_the_least_text_of_a_repeated_key_is_learned_from(spark):
+    docs, labels = frames(spark, [(1, "b"), (1, "a"), (2, "c"), (3, "c"), (None, "d")], [(1, 1), (2, 0), (3, 0), (None, 1)])
+    for parts in (1, 4):
+        found = toxicity.sample(
+            docs.repartition(parts), labels, "toxic", toxicity.Fields(), toxicity.Settings()
+        )
+        assert sorted(map(tuple, found.collect())) == [(1, 1, "a"), (2, 0, "c")]
