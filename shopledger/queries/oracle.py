@@ -520,6 +520,17 @@ ORACLE: dict[str, str] = {
     "csv_round_trip": _with(
         "shop_orders", "SELECT columns(*)::varchar FROM shop_orders"
     ),
+    "csv_malformed_lines": _with(
+        "shop_orders",
+        """SELECT concat_ws(',', CASE WHEN order_id % 97 = 3 THEN 'no number'
+                                    ELSE order_id::varchar END,
+                            CASE WHEN order_id % 89 <> 4 THEN customer_id::varchar END,
+                            total_amount::varchar,
+                            CASE WHEN order_id % 83 = 5 THEN 'spare' END) AS line
+           FROM shop_orders
+           WHERE order_id % 97 = 3 OR (order_id % 89 = 4) <> (order_id % 83 = 5)
+              OR (order_id % 89 = 4 AND order_id % 83 = 5)""",
+    ),
     "publish_passthrough": _with(
         "dirty_customers cleaned_customers shop_orders dirty_orders cleaned_orders "
         "sales history logins keyed_events tickets",
@@ -553,3 +564,13 @@ ORACLE: dict[str, str] = {
         ),
     ),
 }
+
+# The same reports over current and stored sales.
+_BOTH = _with("sales history all_sales", "")
+for _report in ("customer_purchase_trend", "product_mom_growth", "yoy_comparison"):
+    _start, _end = ORACLE[_report].split(SHAPED["sales"])
+    ORACLE[f"{_report}_all_sales"] = (
+        _start
+        + _BOTH.removeprefix("WITH sales AS (").rstrip().removesuffix(")")
+        + _end.replace("FROM sales", "FROM all_sales").replace("sales.product_id", "all_sales.product_id")
+    )

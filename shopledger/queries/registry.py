@@ -342,6 +342,49 @@ def csv_round_trip(t: Retail) -> DataFrame:
     return read_path(t.spark, path)
 
 
+@_query
+def csv_malformed_lines(t: Retail) -> DataFrame:
+    """Lines of a CSV file that do not fit its schema, as they are in the file.
+
+    The result reads the staged rows, so their folder stays until the application ends.
+    """
+    folder = staging_folder(t.spark)
+    path = f"{folder}/lines"
+    key = F.col("order_id")
+    lines = t.orders().select(
+        F.concat_ws(
+            ",",
+            F.when(key % 97 == 3, F.lit("no number")).otherwise(key.cast("string")),
+            F.when(key % 89 != 4, F.col("customer_id").cast("string")),
+            F.col("total_amount").cast("string"),
+            F.when(key % 83 == 5, F.lit("spare")),
+        ).alias("value")
+    )
+    write_dataset(lines, path, fmt="text")
+    schema = "order_id bigint, customer_id bigint, total_amount decimal(10,2)"
+    found = read_path(t.spark, path, options={"header": "false"}, schema=schema, malformed="line")
+    return stage(found, folder, "parsed").filter("line is not null").select("line")
+
+
+def _all_sales(t: Retail) -> DataFrame:
+    return ops.sales_with_history(t.sales(t.orders_since(HISTORY_END)), t.history())
+
+
+@_query
+def customer_purchase_trend_all_sales(t: Retail) -> DataFrame:
+    return ops.customer_purchase_trend(_all_sales(t))
+
+
+@_query
+def product_mom_growth_all_sales(t: Retail) -> DataFrame:
+    return ops.product_mom_growth(ops.sales_by_month(_all_sales(t)), t.products())
+
+
+@_query
+def yoy_comparison_all_sales(t: Retail) -> DataFrame:
+    return ops.yoy_comparison(_all_sales(t), t.products())
+
+
 def _source(t: Retail) -> Callable[[str], DataFrame]:
     """The shaped tables by the names the jobs ask for."""
     tables = {

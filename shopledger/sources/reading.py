@@ -46,12 +46,24 @@ def read_path(
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
     schema: T.StructType | str | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Any format Spark reads. By default CSV with a header, all columns text.
 
-    Of a versioned dataset the current version is read. A schema spares an inference pass and types the columns; see also ``conform``.
+    Of a versioned dataset the current version is read. A schema spares an inference pass and types the columns; see also ``conform``. For CSV and JSON
+    ``malformed`` names a column to add: the whole line where it has too few or too many
+    fields, or one that is not of its type, and NULL elsewhere. That needs a schema, and all
+    columns are parsed; Spark wants the result staged before the column is asked for alone.
     """
     reader = spark.read.format(fmt).options(**(options or {"header": "true"}))
+    if malformed is not None:
+        if schema is None:
+            raise ValueError("malformed lines are told by a schema")
+        if not isinstance(schema, T.StructType):
+            schema = T.StructType.fromDDL(schema)
+        schema = T.StructType([*schema, T.StructField(malformed, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", malformed).option("mode", "PERMISSIVE")
+        reader = reader.option("columnPruning", "false")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(current_folder(spark, path))

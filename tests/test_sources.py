@@ -19,6 +19,18 @@ def test_csv_by_default_with_header_as_text(spark, tmp_path):
     assert bag(typed) == rows
 
 
+def test_malformed_lines_are_shown(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text("id,day,amount\n1,2024-01-02,3.50\nx,2024-01-02,1\n2,2024-01-03\n3,,7,8\n")
+    found = sources.read_path(
+        spark, f"{tmp_path}/orders.csv", schema="id int, day date, amount decimal(10,2)", malformed="line"
+    )
+    assert found.columns == ["id", "day", "amount", "line"]
+    assert sorted(r.line for r in found.collect() if r.line) == ["2,2024-01-03", "3,,7,8", "x,2024-01-02,1"]
+    assert [r.id for r in found.collect() if not r.line] == [1]
+    with pytest.raises(ValueError, match="schema"):
+        sources.read_path(spark, f"{tmp_path}/orders.csv", malformed="line")
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
 def test_other_formats(spark, tmp_path, fmt):
     assert sources.write_dataset(spark.range(3), f"{tmp_path}/t", fmt=fmt) == 3
